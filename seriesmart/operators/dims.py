@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesmart import fixed_values as fixed
 from seriesmart.functions import periods
+from seriesmart.operators.lookup import constants
 from seriesmart.operators.numbering import number_rows
 from seriesmart.operators.upsert import as_layout, latest_per_key, without_matched
 from seriesmart.schemas import DIM_DATE, DIM_GEOGRAPHY, DIM_INDICATOR
@@ -51,19 +52,19 @@ def calendar_for(facts: DataFrame, date_id: str = "date_id") -> DataFrame:
 
 def seed_geography(spark: SparkSession) -> DataFrame:
     rows = [(at, *row) for at, row in enumerate(fixed.CITIES, start=1)]
-    return spark.createDataFrame(rows, DIM_GEOGRAPHY)
+    return constants(spark, rows, DIM_GEOGRAPHY.fieldNames())
 
 
 def seed_indicators(spark: SparkSession) -> DataFrame:
     rows = [(at, *row) for at, row in enumerate(fixed.INDICATORS, start=1)]
-    return spark.createDataFrame(rows, DIM_INDICATOR)
+    return constants(spark, rows, DIM_INDICATOR.fieldNames())
 
 
 def seed_spellings(spark: SparkSession) -> DataFrame:
     rows = [(label, name) for name, labels in fixed.CITY_SPELLINGS.items() for label in labels]
-    return spark.createDataFrame(rows, "label STRING, canonical STRING")
+    return constants(spark, rows, ["label", "canonical"])
 
 
 def seed_members(spark: SparkSession) -> DataFrame:
     rows = [(region, name) for region, names in fixed.PROVINCE_MEMBERS.items() for name in names]
-    return spark.createDataFrame(rows, "region STRING, canonical STRING")
+    return constants(spark, rows, ["region", "canonical"])

@@ -8,16 +8,29 @@ execution splits hot keys. ``spread`` salts the fallback by hand for keys known
 to be hot.
 """
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesmart.functions.text import trimmed
 
 
-def fixed_table(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """A broadcast table of constants written in the program."""
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+def constants(spark: SparkSession, rows, names: list[str]) -> DataFrame:
+    """A table of constants written in the program, text and whole numbers.
+
+    Sent as Arrow it is a local relation, which Spark sizes exactly and joins
+    and filters without a job.
+    """
+    columns = zip(*rows)
+    arrays = [
+        pa.array(column, pa.int32() if all(isinstance(v, int) for v in column) else pa.string())
+        for column in columns
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=names))
+
+
+def fixed_table(spark: SparkSession, rows, names: list[str]) -> DataFrame:
+    """Constants to be broadcast: their size is bounded by the program text."""
+    return F.broadcast(constants(spark, rows, names))
 
 
 def lookup(
@@ -102,7 +115,3 @@ def fan_out(df: DataFrame, members: DataFrame, region: str) -> DataFrame:
     """
     keyed = df.withColumn("region", trimmed(F.col(region)))
     return keyed.join(members, "region").drop("region")
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

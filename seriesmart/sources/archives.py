@@ -8,6 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from seriesmart.sources.tasks import sent_by_value
+
+sent_by_value(__name__)
+
 ROWS_PER_BATCH = 8_192
 
 

@@ -31,11 +31,17 @@ def read_records(spark: SparkSession, path, layout: StructType) -> DataFrame:
         return spark.createDataFrame([], layout)
 
 
-def read_yearly(spark: SparkSession, path, layout: StructType) -> DataFrame:
-    """Many files of one shape, each row with the year written in its file's name."""
+def read_yearly(
+    spark: SparkSession,
+    path,
+    layout: StructType,
+    pattern: str = r"(20\d{2})",
+    written_in: str = "file_name",
+) -> DataFrame:
+    """Many files of one shape, each row with the year written in its file's name (or path)."""
     table = _csv(spark).schema(layout).csv(path)
-    name = F.col("_metadata.file_name")
-    return table.select("*", name.alias("file"), year_in_text(name).alias("file_year"))
+    name = F.col(f"_metadata.{written_in}")
+    return table.select("*", year_in_text(name, pattern).alias("file_year"))
 
 
 def read_staging(spark: SparkSession, path, layout: StructType) -> DataFrame:

@@ -29,6 +29,11 @@ def latest_by_name(files: DataFrame, pattern: str, order: list[int]) -> DataFram
     return fitting.agg(F.max_by("path", F.struct(*parts, F.col("path"))).alias("path"))
 
 
+def folder_of(path: str) -> str:
+    """The snapshot folder a file lies in, for snapshots written as folders of parts."""
+    return path.rpartition("/")[0]
+
+
 def one_path(latest: DataFrame) -> str:
     row = latest.first()
     if row is None or row["path"] is None:

@@ -13,6 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesmart.schemas import CELL_GRID
+from seriesmart.sources.tasks import sent_by_value
+
+sent_by_value(__name__)
 
 ROWS_PER_BATCH = 4_096
 _ARROW_GRID = pa.schema(
