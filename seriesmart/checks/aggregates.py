@@ -6,11 +6,9 @@ from seriesmart import fixed_values as fixed
 from seriesmart.checks.base import (
     check,
     credit_grid,
-    number,
     published,
     rate_grid,
     seeds,
-    survey_grid,
     tenure_grid,
 )
 from seriesmart.checks.transforms import cpi_inputs, income_rows, target_and_batch, tenure
@@ -20,9 +18,9 @@ from seriesmart.operators.fill import forward_fill
 from seriesmart.operators.reshape import cell, pivot_first, unpivot_by_header, unpivot_positions
 from seriesmart.operators.upsert import latest_per_key, union_all
 from seriesmart.plans import questions
-from seriesmart.plans.availability import Family, annual_years, availability_report, family_years
+from seriesmart.plans.availability import Family, availability_report, family_years
 from seriesmart.plans.series import city_series
-from seriesmart.plans.trade import month_of_date, order_mart, table, trade_mart
+from seriesmart.plans.trade import order_mart, table, trade_mart
 
 TRADE_FAMILIES = [
     Family("order_value", "Order values", "Order value%"),

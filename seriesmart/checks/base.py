@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesmart import fixed_values as fixed
 from seriesmart.functions import numbers, periods
-from seriesmart.operators import dims
-from seriesmart.plans.series import Dims
+from seriesmart.plans.runs import published_dims as seeds  # noqa: F401 - used by the checks
 from seriesmart.plans.trade import PRIORITIES, TRADE_INDICATORS, table
 
 
@@ -51,72 +50,62 @@ STATISTIC_BY_STATUS = dict(zip("FOP", fixed.INCOME_STATISTICS))
 FUEL = next(iter(fixed.FUEL_LABELS))
 
 
-def _pick(column, labels: dict[str, str]):
-    out = F.lit(None).cast("string")
-    for key, label in labels.items():
-        out = F.when(column == key, F.lit(label)).otherwise(out)
-    return out
+def literal(text: str) -> str:
+    return '"' + text + '"'
+
+
+def pick(column: str, labels: dict[str, str]) -> str:
+    whens = " ".join(f"when {literal(k)} then {literal(v)}" for k, v in labels.items())
+    return f"case {column} {whens} end"
+
+
+def item(labels, index: str) -> str:
+    """The label at an index counted from 0."""
+    return f"element_at(array({', '.join(map(literal, labels))}), cast({index} as int) + 1)"
+
+
+def as_text(number: str) -> str:
+    return f"cast(cast({number} as decimal(12,2)) as string)"
+
+
+PRICE = "cast(cast(o_totalprice as decimal(18,2)) as string)"
 
 
 def published(spark: SparkSession, folder: str) -> DataFrame:
     """One text row per order, placed by its customer."""
-    orders = table(spark, folder, "orders")
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
-    nation = F.col("c_nationkey")
-    place = F.element_at(
-        F.array(*map(F.lit, PLACES)), (nation * 2 + key % 2 + 1).cast("int")
-    )
-    priced = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    return rows.select(
-        key.alias("row_order"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("REF_DATE"),
-        F.date_format("o_orderdate", "yyyy").alias("REF_YEAR"),
-        F.when(key % 3 == 0, F.concat(F.lit("  "), place, F.lit(" "))).otherwise(place).alias("GEO"),
-        F.element_at(F.array(*map(F.lit, PROVINCES)), (nation % 5 + 1).cast("int")).alias("PROVINCE"),
-        F.when(status == "P", F.lit("1992=100")).otherwise(F.lit(fixed.CPI_BASE)).alias("UOM"),
-        F.concat(_pick(F.col("o_orderpriority"), CPI_BY_PRIORITY), F.lit(" ")).alias("product"),
-        F.when(status == "F", F.lit(FUEL)).otherwise(F.lit("Premium unleaded gasoline")).alias("fuel"),
-        _pick(status, FOOD_BY_STATUS).alias("food"),
-        _pick(status, HOUSE_BY_STATUS).alias("house_index"),
-        _pick(status, STATISTIC_BY_STATUS).alias("Statistics"),
-        F.concat(F.lit(" "), F.col("c_mktsegment")).alias("Income source"),
-        F.col("o_orderpriority").alias("Age group"),
-        F.when(F.col("c_custkey") % 2 == 0, F.lit("Males")).otherwise(F.lit("Females")).alias("Sex"),
-        F.when(key % 17 == 0, F.lit(""))
-        .when(key % 19 == 0, F.lit(".."))
-        .when(key % 23 == 0, F.lit(None))
-        .otherwise(priced)
-        .alias("VALUE"),
+    rows = table(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    place = item(PLACES, "c_nationkey * 2 + o_orderkey % 2")
+    return rows.selectExpr(
+        "o_orderkey as row_order",
+        "date_format(o_orderdate, 'yyyy-MM') as REF_DATE",
+        "date_format(o_orderdate, 'yyyy') as REF_YEAR",
+        f"if(o_orderkey % 3 = 0, concat('  ', {place}, ' '), {place}) as GEO",
+        f"{item(PROVINCES, 'c_nationkey % 5')} as PROVINCE",
+        f"if(o_orderstatus = 'P', '1992=100', {literal(fixed.CPI_BASE)}) as UOM",
+        f"concat({pick('o_orderpriority', CPI_BY_PRIORITY)}, ' ') as product",
+        f"if(o_orderstatus = 'F', {literal(FUEL)}, 'Premium unleaded gasoline') as fuel",
+        f"{pick('o_orderstatus', FOOD_BY_STATUS)} as food",
+        f"{pick('o_orderstatus', HOUSE_BY_STATUS)} as house_index",
+        f"{pick('o_orderstatus', STATISTIC_BY_STATUS)} as Statistics",
+        "concat(' ', c_mktsegment) as `Income source`",
+        "o_orderpriority as `Age group`",
+        "if(c_custkey % 2 = 0, 'Males', 'Females') as Sex",
+        "case when o_orderkey % 17 = 0 then '' when o_orderkey % 19 = 0 then '..' "
+        f"when o_orderkey % 23 = 0 then null else {PRICE} end as VALUE",
     )
 
 
 def order_text(spark: SparkSession, folder: str) -> DataFrame:
     """Text columns that need the orders alone."""
-    key = F.col("o_orderkey")
-    priced = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    return table(spark, folder, "orders").select(
-        key.alias("row_order"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("REF_DATE"),
-        F.when(key % 17 == 0, F.lit("--"))
-        .when(key % 19 == 0, F.lit("**"))
-        .when(key % 23 == 0, F.lit(""))
-        .when(key % 29 == 0, F.lit("about"))
-        .when(key % 31 == 0, F.lit(None))
-        .otherwise(F.concat(F.lit("$"), priced, F.lit("%")))
-        .alias("raw"),
-        F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" ")).alias("padded"),
-        F.col("o_orderstatus").alias("status"),
-    )
-
-
-def seeds(spark: SparkSession) -> Dims:
-    return Dims(
-        geography=F.broadcast(dims.seed_geography(spark)),
-        indicators=F.broadcast(dims.seed_indicators(spark)),
-        spellings=F.broadcast(dims.seed_spellings(spark)),
-        members=F.broadcast(dims.seed_members(spark)),
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderkey as row_order",
+        "date_format(o_orderdate, 'yyyy-MM') as REF_DATE",
+        "case when o_orderkey % 17 = 0 then '--' when o_orderkey % 19 = 0 then '**' "
+        "when o_orderkey % 23 = 0 then '' when o_orderkey % 29 = 0 then 'about' "
+        f"when o_orderkey % 31 = 0 then null else concat('$', {PRICE}, '%') end as raw",
+        "concat('  ', o_orderpriority, ' ') as padded",
+        "o_orderstatus as status",
     )
 
 
@@ -146,161 +135,115 @@ def annual_balances(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- Cell grids from events ---------------------------------------------------
 
-
-def _text(value):
-    return value.cast("decimal(12,2)").cast("string")
+CREDIT_BY_TYPE = {
+    "signup": "DATA_1", "view": "DATA_7", "click": "DATA_13", "purchase": "DATA_25", "error": "NOTES",
+}
+MONTH_NAMES = [*map(str.title, fixed.MONTHS), "TOTAL"]
+TENURE_BY_TYPE = {
+    "signup": "All Households", "view": "All Households", "click": "Renter",
+    "purchase": "Owner", "error": "Notes",
+}
 
 
 def credit_grid(spark: SparkSession, folder: str) -> DataFrame:
     """One file per user and a data sheet per event type, in event order."""
-    events = table(spark, folder, "events")
-    key = F.col("event_id")
-    sheet = _pick(
-        F.col("event_type"),
-        {"signup": "DATA_1", "view": "DATA_7", "click": "DATA_13", "purchase": "DATA_25", "error": "NOTES"},
-    )
-    full = F.concat((key % 9 + 2015).cast("string"), F.lit("Q"), (key % 5 + 1).cast("string"))
     label = (
-        F.when(key % 11 == 0, F.lit("Source: survey"))
-        .when(key % 5 == 0, full)
-        .otherwise(F.concat(F.lit("Q"), (key % 4 + 1).cast("string")))
+        "case when event_id % 11 = 0 then 'Source: survey' "
+        "when event_id % 5 = 0 then concat(event_id % 9 + 2015, 'Q', event_id % 5 + 1) "
+        "else concat('Q', event_id % 4 + 1) end"
     )
-    value = F.col("value")
-    return events.select(
-        F.concat(F.lit("trends-"), F.col("user_id").cast("string"), F.lit(".xlsx")).alias("file"),
-        F.lit(0).alias("sheet_idx"),
-        sheet.alias("sheet"),
-        (key + 1).alias("row_idx"),
-        F.array(
-            label,
-            _text(value),
-            F.when(key % 7 != 0, _text(value * 2)),
-            F.when(key % 13 == 0, F.lit("n/a")).otherwise(_text(value * 3)),
-            _text(value * 4),
-            _text(value * 5),
-        ).alias("cells"),
+    return table(spark, folder, "events").selectExpr(
+        "concat('trends-', user_id, '.xlsx') as file",
+        "0 as sheet_idx",
+        f"{pick('event_type', CREDIT_BY_TYPE)} as sheet",
+        "event_id + 1 as row_idx",
+        f"array({label}, {as_text('value')}, if(event_id % 7 <> 0, {as_text('value * 2')}, null), "
+        f"if(event_id % 13 = 0, 'n/a', {as_text('value * 3')}), {as_text('value * 4')}, "
+        f"{as_text('value * 5')}) as cells",
     )
 
 
 def rate_grid(spark: SparkSession, folder: str) -> DataFrame:
     """One file per user; the year stands beside every 12th row, footers every 37th."""
-    key = F.col("event_id")
-    year = F.when(key % 37 == 0, F.lit("Source: lenders")).when(
-        key % 12 == 0, (key % 9 + 2015).cast("string")
-    )
-    month = F.element_at(
-        F.array(*map(F.lit, [*map(str.title, fixed.MONTHS), "TOTAL"])), (key % 13 + 1).cast("int")
+    year = (
+        "case when event_id % 37 = 0 then 'Source: lenders' "
+        "when event_id % 12 = 0 then cast(event_id % 9 + 2015 as string) end"
     )
-    value = F.col("value")
-    return table(spark, folder, "events").select(
-        F.concat(F.lit("rates-"), F.col("user_id").cast("string"), F.lit(".xlsx")).alias("file"),
-        F.lit(0).alias("sheet_idx"),
-        F.when(F.col("event_type") == "error", F.lit("Notes")).otherwise(F.lit(fixed.RATE_SHEET)).alias("sheet"),
-        (key + 1).alias("row_idx"),
-        F.array(
-            year,
-            month,
-            _text(value),
-            F.when(key % 7 != 0, _text(value * 2)),
-            F.when(key % 13 == 0, F.lit("..")).otherwise(_text(value * 3)),
-        ).alias("cells"),
+    return table(spark, folder, "events").selectExpr(
+        "concat('rates-', user_id, '.xlsx') as file",
+        "0 as sheet_idx",
+        f"if(event_type = 'error', 'Notes', {literal(fixed.RATE_SHEET)}) as sheet",
+        "event_id + 1 as row_idx",
+        f"array({year}, {item(MONTH_NAMES, 'event_id % 13')}, {as_text('value')}, "
+        f"if(event_id % 7 <> 0, {as_text('value * 2')}, null), "
+        f"if(event_id % 13 = 0, '..', {as_text('value * 3')})) as cells",
     )
 
 
 def survey_grid(spark: SparkSession, folder: str) -> DataFrame:
     """Survey files per user: two of three with a CSD sheet, one with occupied rents.
 
-    The first event of a file stands in its title row; all others are data rows.
+    The first event of a file gives its title row; every event gives a data row.
     """
-    key, user = F.col("event_id"), F.col("user_id")
     events = table(spark, folder, "events")
-    occupied = user % 3 == 2
-    file = F.concat((user % 6 + 2018).cast("string"), F.lit("_survey_"), user.cast("string"), F.lit(".xlsx"))
-    sheet = F.when(occupied, F.lit(fixed.OCCUPIED_SHEET)).otherwise(F.lit("CSD - SDR"))
-    titles = events.groupBy("user_id").agg(F.min("event_id").alias("event_id"))
-    title = F.when(user % 3 == 0, F.lit("Vacancy Rates (%)")).otherwise(F.lit("Average Rents ($)"))
-    title_rows = titles.select(
-        file.alias("file"),
-        F.lit(0).alias("sheet_idx"),
-        sheet.alias("sheet"),
-        F.lit(1).cast("bigint").alias("row_idx"),
-        F.array(title, F.lit("by bedroom type")).alias("cells"),
+    names = [
+        "concat(user_id % 6 + 2018, '_survey_', user_id, '.xlsx') as file",
+        "0 as sheet_idx",
+        f"if(user_id % 3 = 2, {literal(fixed.OCCUPIED_SHEET)}, 'CSD - SDR') as sheet",
+    ]
+    title_rows = events.groupBy("user_id").agg(F.min("event_id").alias("event_id")).selectExpr(
+        *names,
+        "cast(1 as bigint) as row_idx",
+        "array(if(user_id % 3 = 0, 'Vacancy Rates (%)', 'Average Rents ($)'), 'by bedroom type') as cells",
     )
-    place = F.element_at(F.array(*map(F.lit, PLACES)), (key % 50 + 1).cast("int"))
-    zone = F.when(key % 10 == 0, F.concat(F.lit("Remainder of "), place, F.lit(" CMA"))).otherwise(
-        F.when(place.endswith("CMA"), place).otherwise(F.concat(place, F.lit(" CMA")))
+    place = item(PLACES, "event_id % 50")
+    zone = (
+        f"case when event_id % 10 = 0 then concat('Remainder of ', {place}, ' CMA') "
+        f"when {place} like '%CMA' then {place} else concat({place}, ' CMA') end"
     )
-    value = F.col("value")
+    stated = "if(event_id % 4 <> 0, cast(event_id % 6 + 2018 as string), null)"
     mark = (
-        F.when(key % 7 == 0, F.lit("--"))
-        .when(key % 11 == 0, F.lit("**"))
-        .otherwise(F.concat(F.lit("$"), _text(value), F.lit("%")))
+        "case when event_id % 7 = 0 then '--' when event_id % 11 = 0 then '**' "
+        f"else concat('$', {as_text('value')}, '%') end"
     )
-    survey = F.array(
-        F.lit("Province"),
-        F.when(key % 9 == 0, F.lit("Total")).otherwise(F.concat(F.lit(" "), place)),
-        F.lit("Total"),
-        F.when(key % 8 == 0, F.lit("Row")).otherwise(F.lit("Total")),
-        mark, F.lit("a"), _text(value * 2), F.lit("b"), F.lit(None).cast("string"), F.lit("c"),
-        _text(value * 4), F.lit("d"), _text(value * 5),
-    )
-    stated = F.when(key % 4 != 0, (key % 6 + 2018).cast("string"))
-    blanks = [F.lit(None).cast("string")] * 4
-    occupied_cells = F.array(
-        zone, stated, F.lit("x"), F.lit("y"), _text(value), *blanks, mark, *blanks, _text(value * 3),
-        *blanks, F.concat(F.lit("1,"), F.lit("234.5")),
-    )
-    data_rows = events.select(
-        file.alias("file"),
-        F.lit(0).alias("sheet_idx"),
-        sheet.alias("sheet"),
-        (key + 11).alias("row_idx"),
-        F.when(occupied, occupied_cells).otherwise(survey).alias("cells"),
+    survey = (
+        f"array('Province', if(event_id % 9 = 0, 'Total', concat(' ', {place})), 'Total', "
+        f"if(event_id % 8 = 0, 'Row', 'Total'), {mark}, 'a', {as_text('value * 2')}, 'b', null, 'c', "
+        f"{as_text('value * 4')}, 'd', {as_text('value * 5')})"
+    )
+    occupied = (
+        f"array({zone}, {stated}, 'x', 'y', {as_text('value')}, null, null, null, null, {mark}, null, null, "
+        f"null, null, {as_text('value * 3')}, null, null, null, null, '1,234.5')"
+    )
+    data_rows = events.selectExpr(
+        *names, "event_id + 11 as row_idx", f"if(user_id % 3 = 2, {occupied}, {survey}) as cells"
     )
     return title_rows.unionByName(data_rows)
 
 
-TENURE_BY_TYPE = {
-    "signup": "All Households", "view": "All Households", "click": "Renter",
-    "purchase": "Owner", "error": "Notes",
-}
-
-
 def tenure_grid(spark: SparkSession, folder: str, measure: str) -> DataFrame:
     """The median (or average) file: every event a data row, one header per sheet.
 
     The two files hold events of the same kinds but leave out different figures.
     """
-    key, value = F.col("event_id"), F.col("value")
-    events = table(spark, folder, "events")
-    sheet = _pick(F.col("event_type"), TENURE_BY_TYPE)
-    place = F.element_at(F.array(*map(F.lit, PLACES)), (F.col("user_id") % 50 + 1).cast("int"))
-    shift, file = (0, "median.xlsx") if measure == "median" else (1, "average.xlsx")
-    header = ["Geography", "2006", "", "2011", "q", "1999", "q", " 2016 "]
-    headers = events.groupBy(sheet.alias("sheet")).agg(F.min("event_id").alias("event_id"))
-    header_rows = headers.select(
-        F.lit(file).alias("file"),
-        F.lit(0).alias("sheet_idx"),
-        "sheet",
-        F.lit(fixed.TENURE_HEADER_ROW).cast("bigint").alias("row_idx"),
-        F.array(*map(F.lit, header)).alias("cells"),
+    events = table(spark, folder, "events").withColumn("sheet", F.expr(pick("event_type", TENURE_BY_TYPE)))
+    shift = 0 if measure == "median" else 1
+    names = [f"'{measure}.xlsx' as file", "0 as sheet_idx", "sheet"]
+    header_rows = events.groupBy("sheet").agg(F.min("event_id").alias("event_id")).selectExpr(
+        *names,
+        f"cast({fixed.TENURE_HEADER_ROW} as bigint) as row_idx",
+        "array('Geography', '2006', '', '2011', 'q', '1999', 'q', ' 2016 ') as cells",
+    )
+    label = (
+        "case when event_id % 21 = 0 then 'End of worksheet' "
+        f"when event_id % 22 <> 0 then concat(' ', {item(PLACES, 'user_id % 50')}) end"
     )
-    label = F.when(key % 21 == 0, F.lit("End of worksheet")).when(key % 22 != 0, F.concat(F.lit(" "), place))
-    data_rows = events.select(
-        F.lit(file).alias("file"),
-        F.lit(0).alias("sheet_idx"),
-        sheet.alias("sheet"),
-        (key + 9).alias("row_idx"),
-        F.array(
-            label,
-            F.when(F.col("user_id") % 3 != shift, _text(value)),
-            F.lit("A"),
-            F.when(key % 5 == 0, F.lit("x")).otherwise(_text(value * (2 + shift))),
-            F.lit("B"),
-            _text(value),
-            F.lit("C"),
-            F.when(F.col("user_id") % 4 != shift, _text(value * 3)),
-        ).alias("cells"),
+    data_rows = events.selectExpr(
+        *names,
+        "event_id + 9 as row_idx",
+        f"array({label}, if(user_id % 3 <> {shift}, {as_text('value')}, null), 'A', "
+        f"if(event_id % 5 = 0, 'x', {as_text(f'value * {2 + shift}')}), 'B', {as_text('value')}, 'C', "
+        f"if(user_id % 4 <> {shift}, {as_text('value * 3')}, null)) as cells",
     )
     return header_rows.unionByName(data_rows)
 
@@ -458,7 +401,7 @@ regional AS (
 ),
 credit_grid AS (
     SELECT 'trends-' || user_id || '.xlsx' AS file,
-        {sql_case("event_type", {"signup": "DATA_1", "view": "DATA_7", "click": "DATA_13", "purchase": "DATA_25", "error": "NOTES"})} AS sheet,
+        {sql_case("event_type", CREDIT_BY_TYPE)} AS sheet,
         event_id + 1 AS row_idx,
         CASE WHEN event_id % 11 = 0 THEN 'Source: survey'
              WHEN event_id % 5 = 0 THEN (event_id % 9 + 2015) || 'Q' || (event_id % 5 + 1)
@@ -489,7 +432,7 @@ rate_grid AS (
         event_id + 1 AS row_idx,
         CASE WHEN event_id % 37 = 0 THEN 'Source: lenders'
              WHEN event_id % 12 = 0 THEN CAST(event_id % 9 + 2015 AS VARCHAR) END AS year_text,
-        {sql_list([*map(str.title, fixed.MONTHS), "TOTAL"])}[event_id % 13 + 1] AS month_text,
+        {sql_list(MONTH_NAMES)}[event_id % 13 + 1] AS month_text,
         [{sql_text("value")}, CASE WHEN event_id % 7 <> 0 THEN {sql_text("value * 2")} END,
          CASE WHEN event_id % 13 = 0 THEN '..' ELSE {sql_text("value * 3")} END] AS texts
     FROM events

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from seriesmart import fixed_values as fixed
 from seriesmart.checks.base import (
-    CPI_BY_PRIORITY,
     FUEL,
     check,
     credit_grid,
@@ -20,7 +19,7 @@ from seriesmart.functions import numbers, periods, text
 from seriesmart.operators.reshape import cell
 from seriesmart.operators.upsert import as_layout
 from seriesmart.plans.grids import survey_sheets
-from seriesmart.plans.trade import cents, month_of_date, table
+from seriesmart.plans.trade import month_of_date, table
 from seriesmart.schemas import FACT_MONTHLY, staging
 
 
@@ -201,7 +200,7 @@ def type_projection(spark, folder):
     return table(spark, folder, "orders").select(
         "o_orderkey",
         F.col("o_custkey").cast("int").alias("geography_id"),
-        cents(F.col("o_totalprice")).alias("cents"),
+        numbers.whole_count(F.col("o_totalprice") * 100).alias("cents"),
         F.col("o_orderdate").cast("date").cast("string").alias("day"),
     )
 

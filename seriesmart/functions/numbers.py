@@ -5,14 +5,14 @@ from pyspark.sql import Column, functions as F
 from seriesmart.functions.text import trimmed
 
 # Decimal notation only: the JVM would also take "1d" or hexadecimal floats.
-DECIMAL_NOTATION = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Exponents beyond two digits would overflow every figure column, so they are bad text too.
+DECIMAL_NOTATION = r"^[+-]?(\d+\.?\d*|\.\d+)([eE](\+?\d{1,2}|-\d+))?$"
 
 
 def safe_double(text: Column) -> Column:
-    """Text as a finite double, or NULL."""
+    """Text as a double, or NULL."""
     plain = trimmed(text)
-    number = F.when(plain.rlike(DECIMAL_NOTATION), plain.try_cast("double"))
-    return F.when(F.abs(number) != F.lit(float("inf")), number)
+    return F.when(plain.rlike(DECIMAL_NOTATION), plain.try_cast("double"))
 
 
 def safe_int(text: Column) -> Column:

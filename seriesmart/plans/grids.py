@@ -129,7 +129,7 @@ def tenure_records(
     upsert would do later, and keeps the merge of two files one row to one row.
     """
     tenures = lookup.fixed_table(grid.sparkSession, fixed.TENURE_SHEETS.items(), ["sheet", "tenure"])
-    cells = unpivot_by_header(grid.join(tenures, "sheet").drop("tenure"), header_row)
+    cells = unpivot_by_header(grid.filter(F.col("sheet").isin(list(fixed.TENURE_SHEETS))), header_row)
     label = text.trimmed(F.col("label"))
     figures = (
         cells.filter(text.has_text(label) & ~label.isin(fixed.TENURE_SKIP_LABELS))

@@ -7,6 +7,7 @@ of all orders is a handful of rows by the time keys are shuffled.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from seriesmart.functions import periods
 from seriesmart.operators.dims import calendar_for
@@ -22,17 +23,24 @@ TRADE_INDICATORS = [
 ]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A parquet table. Its schema is inferred once per path, as that takes a job."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def trade_geography(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        (F.col("n_nationkey") + 1).cast("int").alias("geography_id"),
-        F.col("n_name").alias("cma_name"),
-        F.col("r_name").alias("province"),
-        F.col("n_nationkey").cast("string").alias("cma_code"),
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+        "cast(n_nationkey + 1 as int) as geography_id",
+        "n_name as cma_name",
+        "r_name as province",
+        "cast(n_nationkey as string) as cma_code",
     )
 
 
@@ -41,62 +49,55 @@ def trade_indicators(spark: SparkSession) -> DataFrame:
     return fixed_table(spark, rows, DIM_INDICATOR.fieldNames())
 
 
-def cents(amount: Column) -> Column:
-    return F.round(amount * 100).cast("bigint")
-
-
 def month_of_date(date: Column) -> Column:
     return periods.month_id(F.year(date), F.month(date))
 
 
-def quarter_of_date(date: Column) -> Column:
-    return periods.month_id(F.year(date), F.quarter(date) * 3)
-
-
-def _means(reduced: DataFrame, owners: DataFrame, owner: str, prefix: str) -> DataFrame:
-    placed = reduced.join(owners, owner)
-    sums = placed.groupBy("nationkey", "date_id", "label").agg(
-        F.sum("total").alias("total"), F.sum("rows").alias("rows")
+def _reduced(rows: DataFrame, owner: str, date_id: str, label: str, amount: str) -> DataFrame:
+    """Sums in whole cents per (owner, period, label), before any join."""
+    keyed = rows.selectExpr(
+        f"{owner} as owner",
+        f"cast({date_id} as int) as date_id",
+        f"{label} as label",
+        f"cast(round({amount} * 100) as bigint) as cents",
     )
-    # Cents to units of 1/10000, halves up, in whole numbers: exact in any order of summing.
-    units = F.expr("(200 * total + rows) div (2 * rows)")
-    return sums.select(
-        (F.col("nationkey") + 1).cast("int").alias("geography_id"),
-        "date_id",
-        F.concat(F.lit(prefix), F.col("label")).alias("indicator_name"),
-        (units / F.lit(10000)).cast("decimal(12,4)").alias("value"),
+    return keyed.groupBy("owner", "date_id", "label").agg(
+        F.sum("cents").alias("total"), F.count("*").alias("n")
     )
 
 
-def _reduced(rows: DataFrame, owner: str, date: Column, label: str, amount: str) -> DataFrame:
-    return rows.groupBy(F.col(owner).alias("owner"), date.alias("date_id"), F.col(label).alias("label")).agg(
-        F.sum(cents(F.col(amount))).alias("total"), F.count("*").alias("rows")
+def _means(reduced: DataFrame, owners: DataFrame, prefix: str) -> DataFrame:
+    """Mean amounts per (nation, period, label) as DECIMAL(12,4).
+
+    Cents become units of 1/10000, halves up, in whole numbers: exact in any
+    order of summing.
+    """
+    sums = reduced.join(owners, "owner").groupBy("nationkey", "date_id", "label")
+    sums = sums.agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return sums.selectExpr(
+        "cast(nationkey + 1 as int) as geography_id",
+        "date_id",
+        f"concat('{prefix}', label) as indicator_name",
+        "cast(((200 * total + n) div (2 * n)) / 10000 as decimal(12,4)) as value",
     )
 
 
 def order_values(spark: SparkSession, folder: str, orders: DataFrame | None = None) -> DataFrame:
-    """Mean order value per nation, month and priority."""
+    """Mean order value per nation of the customer, month and priority."""
     orders = orders if orders is not None else table(spark, folder, "orders")
-    customers = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("owner"), F.col("c_nationkey").alias("nationkey")
-    )
-    reduced = _reduced(orders, "o_custkey", month_of_date(F.col("o_orderdate")), "o_orderpriority", "o_totalprice")
-    return _means(reduced, customers, "owner", "Order value - ")
+    owners = table(spark, folder, "customer").selectExpr("c_custkey as owner", "c_nationkey as nationkey")
+    month = "year(o_orderdate) * 100 + month(o_orderdate)"
+    reduced = _reduced(orders, "o_custkey", month, "o_orderpriority", "o_totalprice")
+    return _means(reduced, owners, "Order value - ")
 
 
 def ship_prices(spark: SparkSession, folder: str) -> DataFrame:
     """Mean line price per nation of the supplier, quarter and return flag."""
-    suppliers = table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("owner"), F.col("s_nationkey").alias("nationkey")
-    )
-    reduced = _reduced(
-        table(spark, folder, "lineitem"),
-        "l_suppkey",
-        quarter_of_date(F.col("l_shipdate")),
-        "l_returnflag",
-        "l_extendedprice",
-    )
-    return _means(reduced, suppliers, "owner", "Ship price - ")
+    owners = table(spark, folder, "supplier").selectExpr("s_suppkey as owner", "s_nationkey as nationkey")
+    quarter = "year(l_shipdate) * 100 + quarter(l_shipdate) * 3"
+    lines = table(spark, folder, "lineitem")
+    reduced = _reduced(lines, "l_suppkey", quarter, "l_returnflag", "l_extendedprice")
+    return _means(reduced, owners, "Ship price - ")
 
 
 def with_indicator_ids(named: DataFrame) -> DataFrame:
@@ -106,19 +107,16 @@ def with_indicator_ids(named: DataFrame) -> DataFrame:
 
 def trade_facts(spark: SparkSession, folder: str) -> DataFrame:
     """fact_monthly of the trade mart."""
-    named = order_values(spark, folder).unionByName(ship_prices(spark, folder))
-    return with_indicator_ids(named)
+    return with_indicator_ids(order_values(spark, folder).unionByName(ship_prices(spark, folder)))
 
 
 def trade_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """The calendar of the trade mart, from the ends of the two date columns alone."""
-    ends = [
-        table(spark, folder, name).agg(F.min(date).alias("low"), F.max(date).alias("high"))
-        for name, date in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
-    ]
-    low_high = ends[0].unionByName(ends[1])
-    dates = low_high.select(F.explode(F.array("low", "high")).alias("date"))
-    return calendar_for(dates.select(month_of_date(F.col("date")).alias("date_id")))
+    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+    ends = orders.selectExpr("min(o_orderdate) as low", "max(o_orderdate) as high").union(
+        lines.selectExpr("min(l_shipdate)", "max(l_shipdate)")
+    )
+    return calendar_for(ends.selectExpr("explode(array(year(low) * 100, year(high) * 100)) as date_id"))
 
 
 def trade_mart(spark: SparkSession, folder: str) -> Mart:

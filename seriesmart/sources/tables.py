@@ -7,12 +7,14 @@ every executor can reach.
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesmart.functions.periods import year_of
 from seriesmart.operators.upsert import latest_per_key, upsert
 
+PARTITIONED_BY = ["year"]
 SORTED_BY = ["date_id", "geography_id"]
 
 
@@ -29,20 +31,40 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def write_by_year(df: DataFrame, path: str, sort_by: list[str] = SORTED_BY, mode: str = "overwrite"):
-    """Write a fact table partitioned by year.
+def write_facts(
+    df: DataFrame,
+    path: str,
+    partition_by: list[str] = PARTITIONED_BY,
+    sort_by: list[str] = SORTED_BY,
+    overwrite: str = "static",
+) -> None:
+    """Write a fact table partitioned by the year of its date ids, or more finely.
 
-    The rebalance hint gathers each year into few files and splits a year that
-    is too large for one task; sorting lets row groups be skipped by date.
+    The rebalance hint gathers each partition into few files and splits one that
+    is too large for a task; sorting lets row groups be skipped by date. With
+    ``partition_by=["indicator_id", "year"]`` a question about one indicator
+    prunes whole partitions; that pays once a partition holds many files.
     """
-    yearly = df.withColumn("year", year_of(F.col("date_id"))).hint("rebalance", F.col("year"))
-    writer = yearly.sortWithinPartitions("year", *sort_by).write.partitionBy("year")
-    writer.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
+    yearly = df.withColumn("year", year_of(F.col("date_id")))
+    gathered = yearly.hint("rebalance", *(F.col(name) for name in partition_by))
+    writer = gathered.sortWithinPartitions(*partition_by, *sort_by).write.partitionBy(*partition_by)
+    writer.mode("overwrite").option("partitionOverwriteMode", overwrite).parquet(path)
+
+
+def staged(spark: SparkSession, batch: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
+    """The batch reduced to one row per key and written once to the shared folder.
+
+    An upsert reads its batch twice, and Spark then knows how large it is.
+    """
+    path = fresh_folder(spark, "batch")
+    fresh = latest_per_key(batch, keys, order or []).drop(*(order or []))
+    fresh.withColumn("loaded_at", F.current_timestamp()).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _published_version(spark: SparkSession, root: str) -> int:
     try:
-        newest = spark.read.parquet(f"{root}/published").agg(F.max("version")).first()[0]
+        newest = spark.read.schema("version INT").parquet(f"{root}/published").agg(F.max("version")).first()[0]
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -50,24 +72,27 @@ def _published_version(spark: SparkSession, root: str) -> int:
     return newest or 0
 
 
-def publish(spark: SparkSession, df: DataFrame, root: str, sort_by: list[str] = SORTED_BY) -> int:
+def publish(
+    spark: SparkSession, df: DataFrame, root: str, partition_by: list[str] = PARTITIONED_BY
+) -> int:
     """Write ``df`` as a new version, then point readers at it.
 
     Readers see the old version until the pointer row is committed; a failed
     attempt leaves at most an unpublished folder, which the next one replaces.
     """
     version = _published_version(spark, root) + 1
-    write_by_year(df, f"{root}/v{version}", sort_by)
-    pointer = spark.createDataFrame([(version,)], "version INT").coalesce(1)
+    write_facts(df, f"{root}/v{version}", partition_by)
+    pointer = spark.createDataFrame(pa.table({"version": pa.array([version], pa.int32())}))
     pointer.write.mode("append").parquet(f"{root}/published")
     return version
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
+    """The published version; a filter on ``year`` prunes its partitions."""
     version = _published_version(spark, root)
     if version == 0:
         raise FileNotFoundError(f"nothing published under {root}")
-    return spark.read.parquet(f"{root}/v{version}").drop("year")
+    return spark.read.parquet(f"{root}/v{version}")
 
 
 def upsert_published(
@@ -75,38 +100,25 @@ def upsert_published(
 ) -> int:
     """Upsert a batch and publish the outcome as a new version."""
     if _published_version(spark, root) == 0:
-        fresh = latest_per_key(batch, keys, order or [])
-        fresh = fresh.drop(*(order or [])).withColumn("loaded_at", F.current_timestamp())
-        return publish(spark, fresh, root)
-    return publish(spark, upsert(read_published(spark, root), batch, keys, order), root)
+        fresh = latest_per_key(batch, keys, order or []).drop(*(order or []))
+        return publish(spark, fresh.withColumn("loaded_at", F.current_timestamp()), root)
+    target = read_published(spark, root).drop("year")
+    return publish(spark, upsert(target, staged(spark, batch, keys, order), keys), root)
 
 
 def upsert_years(
     spark: SparkSession, path: str, batch: DataFrame, keys: list[str], order: list[str] | None = None
 ) -> list[int]:
-    """Upsert into a table written by :func:`write_by_year`, touching only the batch's years.
+    """Upsert into a table written by :func:`write_facts`, touching only the batch's years.
 
-    For tables too large to rewrite. The batch is reduced and written once to
-    the shared folder; the years it touches (at most one per calendar year) pick
-    the partitions to read and to replace.
+    For tables too large to rewrite. The years a batch touches, at most one per
+    calendar year, pick the partitions to read and to replace.
     """
-    staged_at = fresh_folder(spark, "batch")
-    fresh = latest_per_key(batch, keys, order or []).drop(*(order or []))
-    fresh.withColumn("loaded_at", F.current_timestamp()).write.parquet(staged_at)
-    staged = spark.read.parquet(staged_at)
-    years = sorted(
-        row[0] for row in staged.select(year_of(F.col("date_id")).alias("year")).distinct().collect()
-    )
+    fresh = staged(spark, batch, keys, order)
+    year = year_of(F.col("date_id")).alias("year")
+    years = sorted(row[0] for row in fresh.select(year).distinct().collect())
     touched = spark.read.parquet(path).filter(F.col("year").isin(years)).drop("year")
-    merged = upsert(touched, staged, keys).withColumn("year", year_of(F.col("date_id")))
-    (
-        merged.hint("rebalance", F.col("year"))
-        .sortWithinPartitions("year", *SORTED_BY)
-        .write.partitionBy("year")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    write_facts(upsert(touched, fresh, keys), path, overwrite="dynamic")
     return years
 
 

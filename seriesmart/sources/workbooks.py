@@ -133,10 +133,19 @@ def workbook_grid(workbooks: DataFrame, sheets: list[str] | None = None) -> Data
 
 
 def read_workbooks(
-    spark: SparkSession, path: str, name_glob: str = "*.xlsx", sheets: list[str] | None = None
+    spark: SparkSession,
+    path: str,
+    name_glob: str = "*.xlsx",
+    sheets: list[str] | None = None,
+    skip_names: list[str] | None = None,
 ) -> DataFrame:
-    """The cell grid of every workbook whose name fits; each pipeline has its own names."""
+    """The cell grid of the workbooks whose name fits and matches none of ``skip_names``.
+
+    Workbooks of several publications may share a folder; each plan takes its own.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(path)
+    for pattern in skip_names or []:
+        files = files.filter(~F.col("path").rlike(pattern))
     return workbook_grid(files, sheets)
 
 
