@@ -116,8 +116,22 @@ def refresh(
     dims: Dims | None = None,
     sources: list[str] | None = None,
 ) -> dict[str, int]:
-    """Conform the chosen sources (all by default) and upsert them; raises if any fails."""
+    """Conform the chosen sources (all by default) and upsert them.
+
+    Every source is tried; those that fail are reported together at the end.
+    """
     dims = dims or published_dims(spark)
     plans = runs(spark, raw_root, workbook_folder, dims)
-    chosen = sources or list(plans)
-    return load(spark, mart_root, [(name, plans[name]()) for name in chosen])
+    batches, problems, versions = [], [], {}
+    for name in sources or list(plans):
+        try:
+            batches.append((name, plans[name]()))
+        except Exception as problem:  # noqa: BLE001 - reported with the others below
+            problems.append(ExceptionGroup(f"{name} failed", [problem]))
+    try:
+        versions = load(spark, mart_root, batches)
+    except ExceptionGroup as problem:
+        problems.append(problem)
+    if problems:
+        raise ExceptionGroup("some sources failed", problems)
+    return versions
