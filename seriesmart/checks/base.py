@@ -145,6 +145,19 @@ TENURE_BY_TYPE = {
 }
 
 
+def grid_rows(rows: DataFrame, file: str, sheet: str, row_idx: str, cells: str) -> DataFrame:
+    """Grid rows from SQL expressions, one per row.
+
+    They come out of a generator, so each cell is computed once; plain columns
+    would be computed again in every filter that Spark pushes below them.
+    """
+    row = (
+        f"named_struct('file', {file}, 'sheet_idx', 0, 'sheet', {sheet}, "
+        f"'row_idx', cast({row_idx} as bigint), 'cells', {cells})"
+    )
+    return rows.selectExpr(f"inline(array({row}))")
+
+
 def credit_grid(spark: SparkSession, folder: str) -> DataFrame:
     """One file per user and a data sheet per event type, in event order."""
     label = (
@@ -152,14 +165,14 @@ def credit_grid(spark: SparkSession, folder: str) -> DataFrame:
         "when event_id % 5 = 0 then concat(event_id % 9 + 2015, 'Q', event_id % 5 + 1) "
         "else concat('Q', event_id % 4 + 1) end"
     )
-    return table(spark, folder, "events").selectExpr(
-        "concat('trends-', user_id, '.xlsx') as file",
-        "0 as sheet_idx",
-        f"{pick('event_type', CREDIT_BY_TYPE)} as sheet",
-        "event_id + 1 as row_idx",
-        f"array({label}, {as_text('value')}, if(event_id % 7 <> 0, {as_text('value * 2')}, null), "
+    return grid_rows(
+        table(spark, folder, "events"),
+        file="concat('trends-', user_id, '.xlsx')",
+        sheet=pick("event_type", CREDIT_BY_TYPE),
+        row_idx="event_id + 1",
+        cells=f"array({label}, {as_text('value')}, if(event_id % 7 <> 0, {as_text('value * 2')}, null), "
         f"if(event_id % 13 = 0, 'n/a', {as_text('value * 3')}), {as_text('value * 4')}, "
-        f"{as_text('value * 5')}) as cells",
+        f"{as_text('value * 5')})",
     )
 
 
@@ -169,32 +182,30 @@ def rate_grid(spark: SparkSession, folder: str) -> DataFrame:
         "case when event_id % 37 = 0 then 'Source: lenders' "
         "when event_id % 12 = 0 then cast(event_id % 9 + 2015 as string) end"
     )
-    return table(spark, folder, "events").selectExpr(
-        "concat('rates-', user_id, '.xlsx') as file",
-        "0 as sheet_idx",
-        f"if(event_type = 'error', 'Notes', {literal(fixed.RATE_SHEET)}) as sheet",
-        "event_id + 1 as row_idx",
-        f"array({year}, {item(MONTH_NAMES, 'event_id % 13')}, {as_text('value')}, "
+    return grid_rows(
+        table(spark, folder, "events"),
+        file="concat('rates-', user_id, '.xlsx')",
+        sheet=f"if(event_type = 'error', 'Notes', {literal(fixed.RATE_SHEET)})",
+        row_idx="event_id + 1",
+        cells=f"array({year}, {item(MONTH_NAMES, 'event_id % 13')}, {as_text('value')}, "
         f"if(event_id % 7 <> 0, {as_text('value * 2')}, null), "
-        f"if(event_id % 13 = 0, '..', {as_text('value * 3')})) as cells",
+        f"if(event_id % 13 = 0, '..', {as_text('value * 3')}))",
     )
 
 
 def survey_grid(spark: SparkSession, folder: str) -> DataFrame:
     """Survey files per user: two of three with a CSD sheet, one with occupied rents.
 
-    The first event of a file gives its title row; every event gives a data row.
+    Each file has a title row, and a data row per event.
     """
     events = table(spark, folder, "events")
-    names = [
-        "concat(user_id % 6 + 2018, '_survey_', user_id, '.xlsx') as file",
-        "0 as sheet_idx",
-        f"if(user_id % 3 = 2, {literal(fixed.OCCUPIED_SHEET)}, 'CSD - SDR') as sheet",
-    ]
-    title_rows = events.groupBy("user_id").agg(F.min("event_id").alias("event_id")).selectExpr(
-        *names,
-        "cast(1 as bigint) as row_idx",
-        "array(if(user_id % 3 = 0, 'Vacancy Rates (%)', 'Average Rents ($)'), 'by bedroom type') as cells",
+    names = {
+        "file": "concat(user_id % 6 + 2018, '_survey_', user_id, '.xlsx')",
+        "sheet": f"if(user_id % 3 = 2, {literal(fixed.OCCUPIED_SHEET)}, 'CSD - SDR')",
+    }
+    title = "if(user_id % 3 = 0, 'Vacancy Rates (%)', 'Average Rents ($)')"
+    title_rows = grid_rows(
+        events.select("user_id").distinct(), **names, row_idx="1", cells=f"array({title}, 'by bedroom type')"
     )
     place = item(PLACES, "event_id % 50")
     zone = (
@@ -215,9 +226,8 @@ def survey_grid(spark: SparkSession, folder: str) -> DataFrame:
         f"array({zone}, {stated}, 'x', 'y', {as_text('value')}, null, null, null, null, {mark}, null, null, "
         f"null, null, {as_text('value * 3')}, null, null, null, null, '1,234.5')"
     )
-    data_rows = events.selectExpr(
-        *names, "event_id + 11 as row_idx", f"if(user_id % 3 = 2, {occupied}, {survey}) as cells"
-    )
+    cells = f"if(user_id % 3 = 2, {occupied}, {survey})"
+    data_rows = grid_rows(events, **names, row_idx="event_id + 11", cells=cells)
     return title_rows.unionByName(data_rows)
 
 
@@ -228,22 +238,24 @@ def tenure_grid(spark: SparkSession, folder: str, measure: str) -> DataFrame:
     """
     events = table(spark, folder, "events").withColumn("sheet", F.expr(pick("event_type", TENURE_BY_TYPE)))
     shift = 0 if measure == "median" else 1
-    names = [f"'{measure}.xlsx' as file", "0 as sheet_idx", "sheet"]
-    header_rows = events.groupBy("sheet").agg(F.min("event_id").alias("event_id")).selectExpr(
-        *names,
-        f"cast({fixed.TENURE_HEADER_ROW} as bigint) as row_idx",
-        "array('Geography', '2006', '', '2011', 'q', '1999', 'q', ' 2016 ') as cells",
+    names = {"file": f"'{measure}.xlsx'", "sheet": "sheet"}
+    header_rows = grid_rows(
+        events.select("sheet").distinct(),
+        **names,
+        row_idx=f"{fixed.TENURE_HEADER_ROW}",
+        cells="array('Geography', '2006', '', '2011', 'q', '1999', 'q', ' 2016 ')",
     )
     label = (
         "case when event_id % 21 = 0 then 'End of worksheet' "
         f"when event_id % 22 <> 0 then concat(' ', {item(PLACES, 'user_id % 50')}) end"
     )
-    data_rows = events.selectExpr(
-        *names,
-        "event_id + 9 as row_idx",
-        f"array({label}, if(user_id % 3 <> {shift}, {as_text('value')}, null), 'A', "
+    data_rows = grid_rows(
+        events,
+        **names,
+        row_idx="event_id + 9",
+        cells=f"array({label}, if(user_id % 3 <> {shift}, {as_text('value')}, null), 'A', "
         f"if(event_id % 5 = 0, 'x', {as_text(f'value * {2 + shift}')}), 'B', {as_text('value')}, 'C', "
-        f"if(user_id % 4 <> {shift}, {as_text('value * 3')}, null)) as cells",
+        f"if(user_id % 4 <> {shift}, {as_text('value * 3')}, null))",
     )
     return header_rows.unionByName(data_rows)
 

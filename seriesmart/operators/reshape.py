@@ -17,7 +17,7 @@ def unpivot_positions(
     pairs = F.array(
         *(F.struct(F.lit(label).alias(name), cell(at).alias(value)) for at, label in positions.items())
     )
-    return grid.select(*keep, F.inline(pairs))
+    return grid.select(*keep, F.inline_outer(pairs))
 
 
 def header_years(header: Column, first: int = 2000, last: int = 2100) -> Column:

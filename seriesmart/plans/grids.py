@@ -18,10 +18,11 @@ SHEET = ["file", "sheet"]
 
 
 def survey_sheets(grid: DataFrame) -> DataFrame:
-    """(file, sheet, kind): the sheet to read in each survey file and what it holds.
+    """(file, sheet, kind, file_year): the sheet to read in each survey file and what it holds.
 
     A file with an occupied-rent sheet is read from there, otherwise from its
-    first CSD sheet, whose title says vacancy or rent.
+    first CSD sheet, whose title says vacancy or rent. The kind is NULL for a
+    file that fits neither.
     """
     title = F.when(F.col("row_idx") <= 2, F.array_join("cells", " "))
     said = grid.groupBy("file", "sheet").agg(
@@ -34,12 +35,22 @@ def survey_sheets(grid: DataFrame) -> DataFrame:
         F.col("sheet").startswith("CSD"), F.col("sheet_idx")
     )
     chosen = said.groupBy("file").agg(F.min_by(F.struct("sheet", kind.alias("kind")), rank).alias("pick"))
-    unknown = F.raise_error(F.concat(F.lit("unrecognised survey file: "), F.col("file")))
+    stem = F.regexp_extract("file", r"^(.*?)(\.[^.]*)?$", 1)
     return chosen.select(
-        "file", "pick.sheet", F.coalesce(F.col("pick.kind"), unknown.cast("string")).alias("kind")
+        "file",
+        "pick.sheet",
+        "pick.kind",
+        periods.year_in_text(stem).alias("file_year"),
     )
 
 
+def require_recognised(grid: DataFrame) -> None:
+    """Raise when a survey file has no sheet of a known kind."""
+    unknown = survey_sheets(grid).filter("kind IS NULL").select("file").limit(10).collect()
+    if unknown:
+        raise ValueError(f"unrecognised survey files: {[row[0] for row in unknown]}")
+
+
 def _figures(positions: dict[int, str]):
     return F.array(
         *(F.struct(F.lit(n).alias("bedroom_type"), cell(p).alias("text")) for p, n in positions.items())
@@ -48,46 +59,43 @@ def _figures(positions: dict[int, str]):
 
 def rental_records(grid: DataFrame, spellings: DataFrame) -> DataFrame:
     """(year, centre, bedroom_type, value, data_type) from both survey layouts."""
-    sheets = survey_sheets(grid)
-    occupied = F.col("kind") == "occupied_rent"
+    occupied = F.col("sheet") == fixed.OCCUPIED_SHEET
     zone = text.trimmed(cell(0))
     wanted = F.when(
         occupied, (F.col("row_idx") >= fixed.OCCUPIED_FIRST_ROW) & text.is_city_zone(zone)
     ).otherwise((F.col("row_idx") >= fixed.SURVEY_FIRST_ROW) & text.is_total_row(F.col("cells")))
+    rows = grid.filter(wanted).join(survey_sheets(grid).filter("kind IS NOT NULL"), SHEET)
 
-    file_year = periods.year_in_text(F.regexp_extract("file", r"^(.*?)(\.[^.]*)?$", 1))
     row_year = F.when(occupied, F.nullif(numbers.safe_int(cell(1)), F.lit(0)))
     no_year = F.raise_error(F.concat(F.lit("no year in file name: "), F.col("file"))).cast("int")
-    rows = grid.join(sheets, SHEET).filter(wanted)
     rows = rows.select(
         "kind",
-        F.coalesce(row_year, file_year, no_year).alias("year"),
+        F.coalesce(row_year, F.col("file_year"), no_year).alias("year"),
         F.when(occupied, zone).otherwise(text.trimmed(cell(1))).alias("label"),
         F.when(occupied, text.without_city_suffix(zone)).alias("short_label"),
         F.when(occupied, _figures(fixed.OCCUPIED_POSITIONS))
         .otherwise(_figures(fixed.SURVEY_POSITIONS))
         .alias("figures"),
     )
-    # The zone as written may itself be a known spelling; only then try it shortened.
+    # The zone as written may itself be a known spelling; otherwise its short form counts.
     short = spellings.select(
         F.col("label").alias("short_label"), F.col("canonical").alias("short_canonical")
     )
     rows = rows.join(spellings, "label", "left").join(short, "short_label", "left")
     rows = rows.withColumn("centre", F.coalesce("canonical", "short_canonical"))
-    rows = rows.filter(F.col("centre").isNotNull())
+    figures = rows.filter("centre IS NOT NULL").select("kind", "year", "centre", F.inline_outer("figures"))
 
-    value = F.when(occupied, numbers.cleaned_double(F.col("text"), ",")).otherwise(
-        numbers.cleaned_double(F.col("text"))
-    )
+    rent_only = F.col("kind") == "occupied_rent"
+    bare = F.translate("text", ",", "")
+    plain = F.when(rent_only, bare).otherwise(F.translate(bare, "%$", ""))
     return (
-        rows.select("kind", "year", "centre", F.inline("figures"))
-        .filter(~text.is_marked_empty(F.col("text")))
+        figures.filter(~text.is_marked_empty(F.col("text")))
         .select(
             "year",
             "centre",
             "bedroom_type",
-            value.alias("value"),
-            F.when(occupied, F.lit("rent")).otherwise(F.col("kind")).alias("data_type"),
+            numbers.safe_double(plain).alias("value"),
+            F.when(rent_only, F.lit("rent")).otherwise(F.col("kind")).alias("data_type"),
         )
         .na.drop(subset=["value"])
     )

@@ -10,6 +10,7 @@ from seriesmart.plans import grids, series
 from seriesmart.plans.loads import load
 from seriesmart.plans.series import Dims
 from seriesmart.sources import archives, delimited, snapshots, workbooks
+from seriesmart.sources.tables import stage
 
 CITY_SPECS = {
     "cpi_cma": series.CPI,
@@ -61,14 +62,15 @@ def series_run(spark: SparkSession, raw_root: str, table: str, dims: Dims) -> Da
 def rental_run(spark: SparkSession, folder: str, dims: Dims) -> DataFrame:
     """October facts from every survey workbook in the folder."""
     others = [RATE_NAME, CREDIT_NAME, TENURE_NAME]
-    grid = workbooks.read_workbooks(spark, folder, skip_names=others)
+    grid = stage(workbooks.read_workbooks(spark, folder, skip_names=others), "survey")
+    grids.require_recognised(grid)
     return grids.rental_facts(grids.rental_records(grid, dims.spellings), dims)
 
 
 def _newest_edition(spark: SparkSession, folder: str, pattern: str, order: list[int], sheets: list[str]):
     files = snapshots.list_files(spark, folder, "*.xlsx")
     newest = snapshots.one_path(snapshots.latest_by_name(files, pattern, order))
-    grid = workbooks.read_workbooks(spark, newest, sheets=sheets)
+    grid = stage(workbooks.read_workbooks(spark, newest, sheets=sheets), "edition")
     workbooks.require_sheets(grid, sheets)
     return grid
 
@@ -90,7 +92,7 @@ def tenure_run(spark: SparkSession, folder: str, dims: Dims) -> DataFrame:
     """Incomes by tenure from the median and the average workbook."""
     records = []
     for glob, column in ((MEDIAN_GLOB, "median_income"), (AVERAGE_GLOB, "avg_income")):
-        grid = workbooks.read_workbooks(spark, folder, glob)
+        grid = stage(workbooks.read_workbooks(spark, folder, glob), "tenure")
         workbooks.require_sheets(grid, list(fixed.TENURE_SHEETS))
         records.append(grids.tenure_records(grid, dims.spellings, column))
     return grids.tenure_facts(*records, dims).orderBy("geography_id", "date_id", "tenure")

@@ -51,15 +51,24 @@ def write_facts(
     writer.mode("overwrite").option("partitionOverwriteMode", overwrite).parquet(path)
 
 
-def staged(spark: SparkSession, batch: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table once to the shared folder and read it from there.
+
+    For rows that are costly to make and read more than once. Unlike a cache, the
+    written table outlives the executors that made it.
+    """
+    path = fresh_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged(batch: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
     """The batch reduced to one row per key and written once to the shared folder.
 
     An upsert reads its batch twice, and Spark then knows how large it is.
     """
-    path = fresh_folder(spark, "batch")
     fresh = latest_per_key(batch, keys, order or []).drop(*(order or []))
-    fresh.withColumn("loaded_at", F.current_timestamp()).write.parquet(path)
-    return spark.read.parquet(path)
+    return stage(fresh.withColumn("loaded_at", F.current_timestamp()), "batch")
 
 
 def _published_version(spark: SparkSession, root: str) -> int:
@@ -103,7 +112,7 @@ def upsert_published(
         fresh = latest_per_key(batch, keys, order or []).drop(*(order or []))
         return publish(spark, fresh.withColumn("loaded_at", F.current_timestamp()), root)
     target = read_published(spark, root).drop("year")
-    return publish(spark, upsert(target, staged(spark, batch, keys, order), keys), root)
+    return publish(spark, upsert(target, staged(batch, keys, order), keys), root)
 
 
 def upsert_years(
@@ -114,7 +123,7 @@ def upsert_years(
     For tables too large to rewrite. The years a batch touches, at most one per
     calendar year, pick the partitions to read and to replace.
     """
-    fresh = staged(spark, batch, keys, order)
+    fresh = staged(batch, keys, order)
     year = year_of(F.col("date_id")).alias("year")
     years = sorted(row[0] for row in fresh.select(year).distinct().collect())
     touched = spark.read.parquet(path).filter(F.col("year").isin(years)).drop("year")

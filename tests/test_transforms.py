@@ -173,8 +173,8 @@ def test_rental_survey(spark, dims):
 
 
 def test_unknown_survey_files_fail(spark, dims):
-    with pytest.raises(Exception, match="unrecognised survey file: 2021.xlsx"):
-        grids.rental_records(grid(spark, survey("2021.xlsx", "Starts", [["x"]])), dims.spellings).collect()
+    with pytest.raises(ValueError, match="unrecognised survey files: .'2021.xlsx'"):
+        grids.require_recognised(grid(spark, survey("2021.xlsx", "Starts", [["x"]])))
     rows = survey("rents.xlsx", "Average Rent", [["AB", "Calgary", "Total", "Total", "1"]])
     with pytest.raises(Exception, match="no year in file name"):
         grids.rental_records(grid(spark, rows), dims.spellings).collect()
