@@ -38,8 +38,14 @@ def series(mart: Mart, indicators: list[str] | None = None, cities: list[str] |
 
 
 def only_years(mart: Mart, first: int, last: int) -> Mart:
-    """The mart for a span of years: a range on date_id that the scan can use."""
+    """The mart for a span of years.
+
+    The range on date_id reaches the scan; where the facts carry the year they
+    are partitioned by, whole partitions are left out as well.
+    """
     kept = mart.monthly.filter(periods.in_years(F.col("date_id"), first, last))
+    if "year" in kept.columns:
+        kept = kept.filter(F.col("year").between(first, last))
     return Mart(mart.geography, mart.indicators, mart.calendar, kept)
 
 

@@ -121,12 +121,20 @@ def upsert_years(
     """Upsert into a table written by :func:`write_facts`, touching only the batch's years.
 
     For tables too large to rewrite. The years a batch touches, at most one per
-    calendar year, pick the partitions to read and to replace.
+    calendar year, pick the partitions to read and to replace. The first batch
+    makes the table.
     """
     fresh = staged(batch, keys, order)
     year = year_of(F.col("date_id")).alias("year")
     years = sorted(row[0] for row in fresh.select(year).distinct().collect())
-    touched = spark.read.parquet(path).filter(F.col("year").isin(years)).drop("year")
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        write_facts(fresh, path)
+        return years
+    touched = table.filter(F.col("year").isin(years)).drop("year")
     write_facts(upsert(touched, fresh, keys), path, overwrite="dynamic")
     return years
 

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from seriesmart.sources.tables import upsert_published
+from seriesmart.sources.tables import upsert_published, upsert_years
 
 
 def ingest_new_files(
@@ -18,13 +18,15 @@ def ingest_new_files(
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     order: list[str] | None = None,
     files_per_batch: int | None = None,
+    by_year: bool = False,
 ) -> int:
     """Upsert the files that arrived since the last run; returns the rows read.
 
     The checkpoint remembers loaded files, so a second run reads nothing. Should
     a run die after the upsert but before the checkpoint is committed, the batch
     is loaded again, and the upsert leaves the same table. Within a batch the
-    newest file wins a key unless ``order`` says otherwise.
+    newest file wins a key unless ``order`` says otherwise. With ``by_year`` the
+    table at ``root`` has no versions, and each batch rewrites only its years.
     """
     reader = spark.readStream.schema(layout).option("header", True).option("escape", '"')
     if files_per_batch:
@@ -34,7 +36,8 @@ def ingest_new_files(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch)
-        upsert_published(batch.sparkSession, root, rows, keys, order or ["file_time", "file_name"])
+        load_batch = upsert_years if by_year else upsert_published
+        load_batch(batch.sparkSession, root, rows, keys, order or ["file_time", "file_name"])
 
     query = (
         incoming.writeStream.foreachBatch(load)

@@ -6,6 +6,7 @@ import __spark_entry__ as entry
 from seriesmart.checks import aggregates
 from seriesmart.plans import questions
 from seriesmart.plans.trade import table, trade_facts
+from seriesmart.sources import tables
 
 QUERIES = entry.queries()
 # Queries whose call itself writes and reads files; their plans are only final reads.
@@ -36,6 +37,11 @@ def test_filters_and_columns_reach_the_scan(spark, folder, tmp_path):
     assert "GreaterThanOrEqual(date_id,199700), LessThanOrEqual(date_id,199812)" in text
     assert "ReadSchema: struct<date_id:int>" in text
 
+    tables.write_facts(facts, f"{path}-by-year")
+    mart = questions.Mart(None, None, None, spark.read.parquet(f"{path}-by-year"))
+    text = plan(questions.only_years(mart, 1997, 1998).monthly.select("value"))
+    assert "PartitionFilters: [isnotnull(year" in text and "(year" in text.split("PartitionFilters")[1]
+
 
 def test_coverage_reads_each_fact_source_once(spark, folder):
     df = aggregates.trade_years(spark, folder)

@@ -158,12 +158,15 @@ def test_shared_folder_comes_from_the_session(spark):
     assert tables.fresh_folder(spark, "x") != tables.fresh_folder(spark, "x")
 
 
-def test_incremental_ingest_loads_each_file_once(spark, tmp_path):
+@pytest.mark.parametrize("by_year", [False, True])
+def test_incremental_ingest_loads_each_file_once(spark, tmp_path, by_year):
     drop, root, progress = tmp_path / "drop", str(tmp_path / "mart"), str(tmp_path / "progress")
     drop.mkdir()
 
     def run():
-        return ingest_new_files(spark, str(drop), FACT, root, schemas.MONTHLY_KEY, progress, files_per_batch=1)
+        return ingest_new_files(
+            spark, str(drop), FACT, root, schemas.MONTHLY_KEY, progress, files_per_batch=1, by_year=by_year
+        )
 
     (drop / "a.csv").write_text("geography_id,date_id,indicator_id,value\n1,202001,1,1.0\n2,202001,1,2.0\n")
     assert run() == 2
@@ -171,5 +174,6 @@ def test_incremental_ingest_loads_each_file_once(spark, tmp_path):
     time.sleep(0.05)
     (drop / "b.csv").write_text("geography_id,date_id,indicator_id,value\n2,202001,1,5.0\n3,202001,1,3.0\n")
     assert run() == 2
-    rows = tables.read_published(spark, root).orderBy("geography_id").collect()
+    table = spark.read.parquet(root) if by_year else tables.read_published(spark, root)
+    rows = table.orderBy("geography_id").collect()
     assert [(r.geography_id, float(r.value)) for r in rows] == [(1, 1.0), (2, 5.0), (3, 3.0)]
