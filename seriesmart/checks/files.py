@@ -17,7 +17,7 @@ from seriesmart.operators import lookup
 from seriesmart.operators.reshape import cell
 from seriesmart.operators.upsert import as_layout, latest_per_key, union_all
 from seriesmart.plans.grids import rate_records
-from seriesmart.plans.trade import month_of_date, table, trade_facts, trade_geography, trade_indicators
+from seriesmart.plans.trade import table, trade_facts, trade_geography, trade_indicators
 from seriesmart.schemas import FACT_MONTHLY, MONTHLY_KEY, RATE_RECORD, staging
 from seriesmart.sources import archives, delimited, snapshots, tables, workbooks
 from seriesmart.sources.tasks import sent_by_value

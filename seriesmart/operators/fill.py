@@ -15,11 +15,13 @@ def forward_fill(
 ) -> DataFrame:
     """Carry the last non-null ``value`` forward within each key.
 
-    ``order`` is a whole-number column, unique within the key. A key may hold
-    any number of rows, so it is never windowed as one group: rows are cut into
-    blocks of at most ``rows_per_block`` order values, each block is filled on
-    its own, and the value it starts from comes from a summary with one row per
-    block that has a value. Only that summary is windowed by the whole key.
+    ``order`` is a whole-number column, unique and not null within the key. A key
+    may hold any number of rows, so it is never windowed as one group: rows are
+    cut into blocks of at most ``rows_per_block`` order values, and each block is
+    filled on its own. The value a block starts from comes from a summary with
+    one row per block; only that summary is windowed by the whole key. Starting
+    values enter the blocks as extra first rows, so the rows need no join and are
+    shuffled and sorted once.
     """
     block = F.floor(F.col(order) / F.lit(rows_per_block)).cast("bigint")
     blocked = df.withColumn("_block", block)
@@ -30,16 +32,20 @@ def forward_fill(
     earlier = (
         Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = ends.withColumn("_start", F.last("_end", ignorenulls=True).over(earlier)).drop("_end")
+    starts = ends.withColumn("_start", F.last("_end", ignorenulls=True).over(earlier))
+    first_rows = starts.filter("_start IS NOT NULL").select(
+        *in_block, F.col("_start").alias(value), F.lit(True).alias("_is_start")
+    )
 
     inside = (
         Window.partitionBy(*in_block)
-        .orderBy(order)
+        .orderBy(F.col(order).asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = F.coalesce(F.last(value, ignorenulls=True).over(inside), F.col("_start"))
     return (
-        blocked.join(starts, in_block, "left")
-        .withColumn(filled, carried)
-        .drop("_block", "_start")
+        blocked.withColumn("_is_start", F.lit(False))
+        .unionByName(first_rows, allowMissingColumns=True)
+        .withColumn(filled, F.last(value, ignorenulls=True).over(inside))
+        .filter(~F.col("_is_start"))
+        .drop("_block", "_is_start")
     )
