@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from seriesmart import fixed_values as fixed
 from seriesmart.operators import dims as dimension
 from seriesmart.plans import grids, series
-from seriesmart.plans.loads import load
+from seriesmart.operators.upsert import union_all
+from seriesmart.plans.loads import INCOME, MONTHLY, TENURE, load
+from seriesmart.plans.questions import Mart
 from seriesmart.plans.series import Dims
 from seriesmart.sources import archives, delimited, snapshots, workbooks
-from seriesmart.sources.tables import stage
+from seriesmart.sources.tables import publish, published_version, read_published, stage
 
 CITY_SPECS = {
     "cpi_cma": series.CPI,
@@ -36,6 +38,58 @@ def published_dims(spark: SparkSession) -> Dims:
     )
 
 
+def _grown(spark: SparkSession, root: str, seed: DataFrame, keys: list[str], id_column: str) -> DataFrame:
+    """The stored dimension with the seed rows it lacks; ids already given stay."""
+    if published_version(spark, root) == 0:
+        publish(spark, seed, root, partition_by=[])
+        return read_published(spark, root)
+    stored, new = read_published(spark, root), seed.drop(id_column)
+    if not dimension.absent_rows(new, stored, keys).isEmpty():
+        publish(spark, dimension.insert_absent(stored, new, keys, id_column), root, partition_by=[])
+    return read_published(spark, root)
+
+
+def stored_dims(spark: SparkSession, mart_root: str) -> Dims:
+    """The dimensions kept with the mart, made on first use."""
+    seeds = published_dims(spark)
+    return Dims(
+        geography=_grown(
+            spark, f"{mart_root}/dim_geography", dimension.seed_geography(spark), ["cma_name"], "geography_id"
+        ),
+        indicators=_grown(
+            spark,
+            f"{mart_root}/dim_indicator",
+            dimension.seed_indicators(spark),
+            ["indicator_name", "source"],
+            "indicator_id",
+        ),
+        spellings=seeds.spellings,
+        members=seeds.members,
+    )
+
+
+def publish_calendar(spark: SparkSession, mart_root: str) -> None:
+    """A calendar over the years of all facts, taken from their partitions alone."""
+    roots = [f"{mart_root}/{table.name}" for table in (MONTHLY, INCOME, TENURE)]
+    years = [
+        read_published(spark, root).selectExpr("year * 100 as date_id")
+        for root in roots
+        if published_version(spark, root)
+    ]
+    if years:
+        publish(spark, dimension.calendar_for(union_all(years)), f"{mart_root}/dim_date", partition_by=[])
+
+
+def open_mart(spark: SparkSession, mart_root: str) -> Mart:
+    """The published mart, for the questions."""
+    return Mart(
+        geography=read_published(spark, f"{mart_root}/dim_geography"),
+        indicators=read_published(spark, f"{mart_root}/dim_indicator"),
+        calendar=read_published(spark, f"{mart_root}/dim_date"),
+        monthly=read_published(spark, f"{mart_root}/{MONTHLY.name}"),
+    )
+
+
 def newest_table(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
     """The newest snapshot in a folder, whether plain text or still in its archive."""
     newest = snapshots.one_path(
@@ -122,7 +176,7 @@ def refresh(
 
     Every source is tried; those that fail are reported together at the end.
     """
-    dims = dims or published_dims(spark)
+    dims = dims or stored_dims(spark, mart_root)
     plans = runs(spark, raw_root, workbook_folder, dims)
     batches, problems, versions = [], [], {}
     for name in sources or list(plans):
@@ -134,6 +188,8 @@ def refresh(
         versions = load(spark, mart_root, batches)
     except ExceptionGroup as problem:
         problems.append(problem)
+    if batches:
+        publish_calendar(spark, mart_root)
     if problems:
         raise ExceptionGroup("some sources failed", problems)
     return versions

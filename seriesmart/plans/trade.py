@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from seriesmart.functions import periods
 from seriesmart.operators.dims import calendar_for
 from seriesmart.operators.lookup import fixed_table
+from seriesmart.operators.upsert import union_all
 from seriesmart.plans.questions import Mart
 from seriesmart.schemas import DIM_INDICATOR
 
@@ -110,11 +111,14 @@ def trade_facts(spark: SparkSession, folder: str) -> DataFrame:
     return with_indicator_ids(order_values(spark, folder).unionByName(ship_prices(spark, folder)))
 
 
-def trade_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    """The calendar of the trade mart, from the ends of the two date columns alone."""
-    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
-    ends = orders.selectExpr("min(o_orderdate) as low", "max(o_orderdate) as high").union(
-        lines.selectExpr("min(l_shipdate)", "max(l_shipdate)")
+def trade_calendar(spark: SparkSession, folder: str, dates: dict[str, str] | None = None) -> DataFrame:
+    """The calendar of the trade mart, from the ends of its date columns alone."""
+    dates = dates or {"orders": "o_orderdate", "lineitem": "l_shipdate"}
+    ends = union_all(
+        [
+            table(spark, folder, name).selectExpr(f"min({date}) as low", f"max({date}) as high")
+            for name, date in dates.items()
+        ]
     )
     return calendar_for(ends.selectExpr("explode(array(year(low) * 100, year(high) * 100)) as date_id"))
 
@@ -133,6 +137,6 @@ def order_mart(spark: SparkSession, folder: str) -> Mart:
     return Mart(
         geography=trade_geography(spark, folder),
         indicators=trade_indicators(spark),
-        calendar=trade_calendar(spark, folder),
+        calendar=trade_calendar(spark, folder, {"orders": "o_orderdate"}),
         monthly=with_indicator_ids(order_values(spark, folder)),
     )

@@ -71,7 +71,7 @@ def staged(batch: DataFrame, keys: list[str], order: list[str] | None) -> DataFr
     return stage(fresh.withColumn("loaded_at", F.current_timestamp()), "batch")
 
 
-def _published_version(spark: SparkSession, root: str) -> int:
+def published_version(spark: SparkSession, root: str) -> int:
     try:
         newest = spark.read.schema("version INT").parquet(f"{root}/published").agg(F.max("version")).first()[0]
     except AnalysisException as problem:
@@ -86,19 +86,22 @@ def publish(
 ) -> int:
     """Write ``df`` as a new version, then point readers at it.
 
-    Readers see the old version until the pointer row is committed; a failed
+    Facts are partitioned; a dimension is given ``partition_by=[]``. Readers see the old version until the pointer row is committed; a failed
     attempt leaves at most an unpublished folder, which the next one replaces.
     """
-    version = _published_version(spark, root) + 1
-    write_facts(df, f"{root}/v{version}", partition_by)
+    version = published_version(spark, root) + 1
+    if partition_by:
+        write_facts(df, f"{root}/v{version}", partition_by)
+    else:
+        df.write.mode("overwrite").parquet(f"{root}/v{version}")
     pointer = spark.createDataFrame(pa.table({"version": pa.array([version], pa.int32())}))
     pointer.write.mode("append").parquet(f"{root}/published")
     return version
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
-    """The published version; a filter on ``year`` prunes its partitions."""
-    version = _published_version(spark, root)
+    """The published version; in facts a filter on ``year`` prunes partitions."""
+    version = published_version(spark, root)
     if version == 0:
         raise FileNotFoundError(f"nothing published under {root}")
     return spark.read.parquet(f"{root}/v{version}")
@@ -108,7 +111,7 @@ def upsert_published(
     spark: SparkSession, root: str, batch: DataFrame, keys: list[str], order: list[str] | None = None
 ) -> int:
     """Upsert a batch and publish the outcome as a new version."""
-    if _published_version(spark, root) == 0:
+    if published_version(spark, root) == 0:
         fresh = latest_per_key(batch, keys, order or []).drop(*(order or []))
         return publish(spark, fresh.withColumn("loaded_at", F.current_timestamp()), root)
     target = read_published(spark, root).drop("year")

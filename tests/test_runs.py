@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from builders import archive_bytes, as_tuples, workbook_bytes
 from seriesmart import fixed_values as fixed
-from seriesmart.plans import runs
+from seriesmart.plans import questions, runs
 from seriesmart.plans.loads import load
-from seriesmart.sources.tables import read_published
+from seriesmart.sources.tables import publish, read_published
 
 
 def put(path, content, at):
@@ -85,11 +85,28 @@ def test_refresh_from_files(spark, folders, tmp_path):
     tenure = read_published(spark, f"{mart}/fact_annual_income_tenure")
     assert tenure.count() == 3 and float(tenure.first().avg_income) == 80000.0
 
+    opened = runs.open_mart(spark, mart)
+    rate = questions.value_of(opened, "Mortgage rate - 5 year", "Canada", 2025).collect()
+    assert [(r.year, r.month, r.unit, float(r.value)) for r in rate] == [(2025, 1, "Percent", 5.5)]
+    assert opened.calendar.agg(F.min("year"), F.max("year")).first()[:] == (1981, 2025)
+
     again = runs.refresh(spark, raw, books, mart, sources=["cpi_cma", "mortgage_rates"])
     assert again == {"fact_monthly": 2}
     assert read_published(spark, f"{mart}/fact_monthly").count() == 15
 
 
+def test_stored_dimensions_keep_their_ids(spark, tmp_path):
+    root = str(tmp_path)
+    seed = runs.stored_dims(spark, root).geography
+    ids = {r.cma_name: r.geography_id for r in seed.collect()}
+    fewer = seed.filter("cma_name <> 'Calgary'")
+    publish(spark, fewer, f"{root}/dim_geography", partition_by=[])
+    grown = {r.cma_name: r.geography_id for r in runs.stored_dims(spark, root).geography.collect()}
+    assert grown.pop("Calgary") == 18  # a fresh number, after the highest given
+    ids.pop("Calgary")
+    assert grown == ids
+
+
 def test_refresh_loads_what_it_can_and_reports_the_rest(spark, folders, tmp_path):
     raw, books = folders
     mart = str(tmp_path / "mart")
