@@ -39,14 +39,12 @@ def unpivot_by_header(grid: DataFrame, header_row: int, value: str = "text") ->
         "file", "sheet", header_years(F.col("cells")).alias("years")
     )
     data = grid.filter(F.col("row_idx") > header_row)
-    pairs = F.transform(
-        F.col("years"),
-        lambda pair: F.struct(
-            pair["year"].alias("year"), F.get(F.col("cells"), pair["position"]).alias(value)
-        ),
+    columns = data.join(headers, ["file", "sheet"]).select(
+        "file", "sheet", "row_idx", "cells", F.explode("years").alias("column")
     )
-    return data.join(headers, ["file", "sheet"]).select(
-        "file", "sheet", "row_idx", cell(0).alias("label"), F.inline(pairs)
+    text = F.get(F.col("cells"), F.col("column.position"))
+    return columns.select(
+        "file", "sheet", "row_idx", cell(0).alias("label"), "column.year", text.alias(value)
     )
 
 
