@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seriesmart.llm import chat, fingerprint, mixing, packing, topk
+from seriesmart.llm import chat, fingerprint, language, mixing, packing, quality, topk, toxicity
 from seriesmart.llm.common import table
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -26,10 +26,20 @@ def op4_top_products(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, folder, "labels")))
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer())
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.learn(docs, table(spark, folder, "labels")))
+
+
 def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.range(2).select(
@@ -42,6 +52,11 @@ def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_chats(turns, tokenizer()), tokenizer())
 
 
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
 QUERIES = {
     name: run for name, run in sorted(globals().items(), key=lambda item: len(item[0])) if name.startswith("op")
 }
