@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seriesmart.llm import chat, fingerprint, language, mixing, packing, quality, topk, toxicity
+from seriesmart.llm import chat, dedup, fingerprint, language, mixing, packing, quality, topk, toxicity
 from seriesmart.llm.common import table
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -22,6 +22,11 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = dedup.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_top_products(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
