@@ -1,21 +1,49 @@
-"""From raw documents to packed training sequences, in stages that can be written and reread."""
+"""From raw documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows of its docs; its result can be written
+and reread as the next one's docs. All but the last return the columns of docs.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesmart.llm import mixing, packing
+from seriesmart.llm import dedup, language, mixing, packing, quality
+from seriesmart.llm.common import table
 from seriesmart.llm.queries import tokenizer
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.good_documents(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or like no language that was learned, go."""
+    return language.known_documents(docs, language.learn(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return dedup.distinct_documents(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources come near their target weights; a document may come twice."""
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences of 1024 tokens."""
     return packing.pack(docs, tokenizer())
 
 
-STAGES = [("mix sources", mix_sources), ("pack", pack_sequences)]
-ORACLE_SQL = None  # the token ids of a published vocabulary cannot be told in SQL
+STAGES = [
+    ("quality classifier", keep_good),
+    ("language identification", keep_known_languages),
+    ("near-duplicates", drop_near_duplicates),
+    ("source mix", mix_sources),
+    ("packing", pack_sequences),
+]
+ORACLE_SQL = None  # learned models and the ids of a published vocabulary cannot be told in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seriesmart.llm import chat, dedup, fingerprint, language, mixing, packing, quality, topk, toxicity
+from seriesmart.llm import chat, dedup, fingerprint, language, mixing, packing, quality, scoring, topk, toxicity
 from seriesmart.llm.common import table
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -40,6 +40,10 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer())
 
 
+def op7_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.score(table(spark, folder, "documents"))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality.score(docs, quality.learn(docs, table(spark, folder, "labels")))
