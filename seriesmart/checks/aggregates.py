@@ -9,6 +9,7 @@ from seriesmart.checks.base import (
     published,
     rate_grid,
     seeds,
+    staged,
     tenure_grid,
 )
 from seriesmart.checks.transforms import cpi_inputs, income_rows, target_and_batch, tenure
@@ -20,7 +21,8 @@ from seriesmart.operators.upsert import latest_per_key, union_all
 from seriesmart.plans import questions
 from seriesmart.plans.availability import Family, availability_report, family_years
 from seriesmart.plans.series import city_series
-from seriesmart.plans.trade import order_mart, table, trade_mart
+from seriesmart.plans.trade import stored_trade_mart, table, trade_mart
+from seriesmart.sources.scratch import fresh_folder
 
 TRADE_FAMILIES = [
     Family("order_value", "Order values", "Order value%"),
@@ -58,7 +60,7 @@ def trade_years(spark, folder):
     FROM trade_series WHERE indicator_name LIKE 'Order value%'""",
 )
 def year_range(spark, folder):
-    mart = order_mart(spark, folder)
+    mart = stored_trade_mart(spark, folder, fresh_folder(spark, "mart"))
     family = Family("order_value", "Order values", "Order value%")
     years = family_years(mart.monthly, mart.indicators, mart.calendar, [family])
     return availability_report(years).select("min_year", "max_year")
@@ -173,13 +175,9 @@ def newest_row(spark, folder):
         SELECT 'highest', cma_name, date_id, value FROM latest ORDER BY value DESC, cma_name LIMIT 1)""",
 )
 def lowest_and_highest(spark, folder):
-    mart = order_mart(spark, folder)
-    sides = [
-        questions.rank_cities(mart, "Order value - 2-HIGH", 1, ascending).withColumn("side", F.lit(side))
-        for side, ascending in (("lowest", True), ("highest", False))
-    ]
-    value = F.col("value").cast("double").alias("value")
-    return union_all(sides).select("side", "cma_name", "date_id", value)
+    mart = stored_trade_mart(spark, folder, fresh_folder(spark, "mart"))
+    rows = questions.lowest_and_highest(mart, "Order value - 2-HIGH")
+    return rows.withColumn("value", F.col("value").cast("double"))
 
 
 @check(
@@ -225,6 +223,6 @@ def unpivot_terms(spark, folder):
         FROM median_grid) WHERE raw IS NOT NULL""",
 )
 def unpivot_years(spark, folder):
-    rows = unpivot_by_header(tenure_grid(spark, folder, "median"), fixed.TENURE_HEADER_ROW, "raw")
+    rows = unpivot_by_header(staged(tenure_grid(spark, folder, "median"), "median"), fixed.TENURE_HEADER_ROW, "raw")
     rows = rows.na.drop(subset=["raw"])
     return rows.select("sheet", "row_idx", text.trimmed(F.col("label")).alias("label"), "year", "raw")

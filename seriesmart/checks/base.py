@@ -15,6 +15,7 @@ from seriesmart import fixed_values as fixed
 from seriesmart.functions import numbers, periods
 from seriesmart.plans.runs import published_dims as seeds  # noqa: F401 - used by the checks
 from seriesmart.plans.trade import PRIORITIES, TRADE_INDICATORS, table
+from seriesmart.sources.scratch import Scratch
 
 
 @dataclass(frozen=True)
@@ -37,6 +38,11 @@ def check(name: str, sql: str | None = None):
     return register
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """A costly input that its query reads more than once, written first as production does."""
+    return Scratch(df.sparkSession, "check").stage(df, name)
+
+
 # --- Published-style long table ---------------------------------------------
 
 # Every known spelling, then places no lookup knows; two per nation.

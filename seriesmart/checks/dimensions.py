@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from seriesmart.checks.base import FUEL, check, published, quoted, seeds
+from seriesmart.checks.base import FUEL, check, published, quoted, seeds, staged
 from seriesmart.checks.transforms import (
     SPECS,
     cpi_inputs,
@@ -12,12 +12,13 @@ from seriesmart.checks.transforms import (
 )
 from seriesmart.operators.dims import insert_absent
 from seriesmart.operators.numbering import number_rows
-from seriesmart.operators.upsert import as_layout, upsert
+from seriesmart.operators.upsert import as_layout
 from seriesmart.plans import series
 from seriesmart.plans.loads import load
 from seriesmart.plans.trade import table, trade_calendar
 from seriesmart.schemas import FACT_MONTHLY, INCOME_KEY, MONTHLY_KEY, TENURE_KEY, staging
-from seriesmart.sources.tables import fresh_folder, read_published, reload_staging
+from seriesmart.sources.scratch import fresh_folder
+from seriesmart.sources.tables import publish, read_published, reload_staging, upsert_published
 
 
 def plain(rows):
@@ -46,7 +47,7 @@ def surrogate_keys(spark, folder):
 def insert_if_absent(spark, folder):
     names = table(spark, folder, "customer").select("c_name", "c_mktsegment")
     old = number_rows(names.filter("c_mktsegment = 'BUILDING'"), ["c_name"], "customer_id")
-    return insert_absent(old, names, ["c_name"], "customer_id")
+    return insert_absent(staged(old, "dimension"), names, ["c_name"], "customer_id")
 
 
 @check(
@@ -72,12 +73,19 @@ UPSERT_SQL = """
           AND b.date_id = t.date_id AND b.indicator_id = t.indicator_id)"""
 
 
+def published_upsert(spark, target, batch, keys, order=None):
+    """What production does: a published table, then an upsert of a batch into it."""
+    root = fresh_folder(spark, "fact")
+    publish(spark, target.withColumn("loaded_at", F.current_timestamp()), root)
+    upsert_published(spark, root, batch, keys, order)
+    return read_published(spark, root).drop("year")
+
+
 @check("L1_upsert_monthly", UPSERT_SQL)
 def upsert_monthly(spark, folder):
     target, batch = target_and_batch(spark, folder)
-    typed = as_layout(target, FACT_MONTHLY)
     fresh = batch.withColumn("value", F.col("value").cast("decimal(12,4)"))
-    return plain(upsert(typed, fresh, MONTHLY_KEY, ["row_order"]))
+    return plain(published_upsert(spark, as_layout(target, FACT_MONTHLY), fresh, MONTHLY_KEY, ["row_order"]))
 
 
 @check(
@@ -98,7 +106,7 @@ def upsert_income(spark, folder):
     rows, dims = income_rows(published(spark, folder)), seeds(spark)
     target = series.income_facts(rows, dims, "row_order")
     batch = series.income_facts(rows.filter("UOM = '2002=100'"), dims, "row_order")
-    return upsert(target, batch, INCOME_KEY)
+    return published_upsert(spark, target, batch, INCOME_KEY).drop("loaded_at")
 
 
 @check(
@@ -107,11 +115,11 @@ def upsert_income(spark, folder):
     FROM tenure WHERE tenure <> 'Owner' UNION ALL SELECT * FROM tenure WHERE tenure = 'Owner'""",
 )
 def upsert_tenure(spark, folder):
-    target = tenure(spark, folder)
+    target = staged(tenure(spark, folder), "tenure")
     batch = target.filter("tenure <> 'Owner'").select(
         *TENURE_KEY, F.col("avg_income").alias("median_income"), F.col("median_income").alias("avg_income")
     )
-    return upsert(target, batch, TENURE_KEY)
+    return published_upsert(spark, target, batch, TENURE_KEY).drop("loaded_at")
 
 
 @check(

@@ -20,6 +20,7 @@ from seriesmart.plans.grids import rate_records
 from seriesmart.plans.trade import table, trade_facts, trade_geography, trade_indicators
 from seriesmart.schemas import FACT_MONTHLY, MONTHLY_KEY, RATE_RECORD, staging
 from seriesmart.sources import archives, delimited, snapshots, tables, workbooks
+from seriesmart.sources.scratch import fresh_folder
 from seriesmart.sources.tasks import sent_by_value
 from seriesmart.streaming.incremental import ingest_new_files
 
@@ -52,7 +53,7 @@ def as_orders(rows):
     f"SELECT row_order, trim(GEO) AS place, {number('VALUE')} AS value FROM published",
 )
 def csv_scan(spark, folder):
-    path = tables.fresh_folder(spark, "published")
+    path = fresh_folder(spark, "published")
     published(spark, folder).write.options(**FULL_TEXT).option("header", True).csv(path)
     rows = delimited.read_text_table(spark, path, ["row_order", "GEO", "VALUE"])
     return rows.select(
@@ -64,7 +65,7 @@ def csv_scan(spark, folder):
 
 @check("S2_optional_csv_scan", "SELECT CAST(year AS INTEGER) AS year, month, term, rate FROM rate_records")
 def optional_csv_scan(spark, folder):
-    path = tables.fresh_folder(spark, "rates")
+    path = fresh_folder(spark, "rates")
     delimited.export_csv(rate_records(rate_grid(spark, folder)), path)
     present = delimited.read_records(spark, path, RATE_RECORD)
     absent = delimited.read_records(spark, f"{path}-absent", RATE_RECORD)
@@ -142,7 +143,7 @@ def archive_scan(spark, folder):
 
 @check("S5_latest_snapshot", ORDER_LINES_SQL)
 def latest_snapshot(spark, folder):
-    path = tables.fresh_folder(spark, "snapshots")
+    path = fresh_folder(spark, "snapshots")
     lines = order_lines(spark, folder)
     delimited.export_csv(lines.filter("status = 'F'"), f"{path}/b-first")
     delimited.export_csv(lines, f"{path}/a-second")
@@ -152,7 +153,7 @@ def latest_snapshot(spark, folder):
 
 @check("S6_latest_by_name", ORDER_LINES_SQL)
 def latest_by_name(spark, folder):
-    path = tables.fresh_folder(spark, "editions")
+    path = fresh_folder(spark, "editions")
     lines = order_lines(spark, folder)
     delimited.export_csv(lines, f"{path}/rates-02-26-en")
     delimited.export_csv(lines.filter("status = 'F'"), f"{path}/rates-12-25-en")
@@ -163,7 +164,7 @@ def latest_by_name(spark, folder):
 
 @check("S7_yearly_files", "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS file_year FROM orders")
 def yearly_files(spark, folder):
-    path = tables.fresh_folder(spark, "yearly")
+    path = fresh_folder(spark, "yearly")
     orders = table(spark, folder, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
     named = orders.withColumn("survey", F.concat(F.col("year").cast("string"), F.lit("_rent"))).drop("year")
     named.write.partitionBy("survey").option("header", True).csv(path)
@@ -173,7 +174,7 @@ def yearly_files(spark, folder):
 
 @check("S8_csv_sink", "SELECT geography_id, date_id, indicator_id, units / 10000.0 AS value FROM trade_fact")
 def csv_sink(spark, folder):
-    path = tables.fresh_folder(spark, "export")
+    path = fresh_folder(spark, "export")
     delimited.export_csv(trade_facts(spark, folder), path)
     return plain(delimited.read_staging(spark, path, staging(FACT_MONTHLY)))
 
@@ -186,7 +187,7 @@ def csv_sink(spark, folder):
     FROM order_text""",
 )
 def typed_staging(spark, folder):
-    path = tables.fresh_folder(spark, "staging")
+    path = fresh_folder(spark, "staging")
     key = F.col("row_order")
     rows = order_text(spark, folder).select(
         key.cast("string").alias("geography_id"),
@@ -226,14 +227,14 @@ def constant_table(spark, folder):
 
 @check("S12_typed_table", "SELECT geography_id, date_id, indicator_id, units / 10000.0 AS value FROM trade_fact")
 def typed_table(spark, folder):
-    root = tables.fresh_folder(spark, "fact")
+    root = fresh_folder(spark, "fact")
     tables.publish(spark, as_layout(trade_facts(spark, folder), FACT_MONTHLY), root)
     return plain(tables.read_published(spark, root))
 
 
 @check("X1_incremental_ingest", UPSERT_SQL)
 def incremental_ingest(spark, folder):
-    base = tables.fresh_folder(spark, "ingest")
+    base = fresh_folder(spark, "ingest")
     target, batch = target_and_batch(spark, folder)
     drops = [target, latest_per_key(batch, MONTHLY_KEY, ["row_order"]).drop("row_order")]
     for drop in drops:

@@ -8,6 +8,7 @@ from seriesmart.checks.base import (
     published,
     regional_raw,
     seeds,
+    staged,
     tenure_grid,
 )
 from seriesmart.functions import numbers, text
@@ -135,8 +136,8 @@ def star_join(spark, folder):
 )
 def full_merge(spark, folder):
     spellings = seeds(spark).spellings
-    medians = tenure_records(tenure_grid(spark, folder, "median"), spellings, "median_income")
-    averages = tenure_records(tenure_grid(spark, folder, "average"), spellings, "avg_income")
+    medians = tenure_records(staged(tenure_grid(spark, folder, "median"), "median"), spellings, "median_income")
+    averages = tenure_records(staged(tenure_grid(spark, folder, "average"), "average"), spellings, "avg_income")
     return outer_merge(medians, averages, ["canonical", "year", "tenure"])
 
 

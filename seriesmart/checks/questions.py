@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from seriesmart.checks.aggregates import FAMILY_SQL, trade_years
 from seriesmart.checks.base import annual_balances, check
 from seriesmart.plans import availability, questions
-from seriesmart.plans.trade import order_mart, table, trade_facts, trade_indicators, trade_mart
+from seriesmart.plans.trade import stored_trade_mart, table, trade_facts, trade_indicators, trade_mart
+from seriesmart.sources.scratch import fresh_folder
 
 LATEST_SQL = """, latest AS (
     SELECT indicator_name, cma_name, max(date_id) AS date_id, arg_max(value, date_id) AS value
@@ -13,6 +14,10 @@ LATEST_SQL = """, latest AS (
 """
 
 
+def stored_mart(spark, folder):
+    return stored_trade_mart(spark, folder, fresh_folder(spark, "mart"))
+
+
 def as_double(rows, *columns):
     for column in columns:
         rows = rows.withColumn(column, F.col(column).cast("double"))
@@ -31,20 +36,20 @@ def as_int(rows, *columns):
     WHERE indicator_name = 'Order value - 2-HIGH' AND cma_name = 'NATION_7' AND year = 1998""",
 )
 def point_lookup(spark, folder):
-    rows = questions.value_of(order_mart(spark, folder), "Order value - 2-HIGH", "NATION_7", 1998)
+    rows = questions.value_of(stored_mart(spark, folder), "Order value - 2-HIGH", "NATION_7", 1998)
     return as_int(as_double(rows, "value"), "year", "month")
 
 
 @check(
     "Q2_compare_cities",
-    """SELECT date_id, max(value) FILTER (cma_name = 'NATION_3') AS "NATION_3",
+    """SELECT source, date_id, max(value) FILTER (cma_name = 'NATION_3') AS "NATION_3",
         max(value) FILTER (cma_name = 'NATION_12') AS "NATION_12"
     FROM trade_series WHERE indicator_name = 'Order value - 5-LOW' AND year BETWEEN 1996 AND 1999
-        AND cma_name IN ('NATION_3', 'NATION_12') GROUP BY date_id""",
+        AND cma_name IN ('NATION_3', 'NATION_12') GROUP BY source, date_id""",
 )
 def compare_cities(spark, folder):
     cities = ["NATION_3", "NATION_12"]
-    rows = questions.compare_cities(order_mart(spark, folder), "Order value - 5-LOW", cities, 1996, 1999)
+    rows = questions.compare_cities(stored_mart(spark, folder), "Order value - 5-LOW", cities, 1996, 1999)
     return as_double(rows, *cities)
 
 
@@ -55,7 +60,7 @@ def compare_cities(spark, folder):
     FROM latest WHERE indicator_name = 'Order value - 1-URGENT' ORDER BY 1 LIMIT 10""",
 )
 def rank_latest(spark, folder):
-    rows = questions.rank_cities(order_mart(spark, folder), "Order value - 1-URGENT", 10)
+    rows = questions.rank_cities(stored_mart(spark, folder), "Order value - 1-URGENT", 10)
     return as_double(rows, "value")
 
 
@@ -142,6 +147,76 @@ def what_is_available(spark, folder):
     return availability.what_is_available(requests, years)
 
 
+BALANCE_SQL = """, balances AS (
+    SELECT n_name AS cma_name, year, c_mktsegment AS segment, round(max(c_acctbal), 2) AS most,
+        round(CAST(sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS DOUBLE) / count(*)) / 100 AS mean, count(*) AS n
+    FROM (SELECT DISTINCT o_custkey, year(o_orderdate) AS year FROM orders) o
+    JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL)
+"""
+
+
+@check(
+    "Q9_annual_lookup",
+    BALANCE_SQL
+    + """SELECT cma_name, CAST(year AS INTEGER) AS year, segment AS income_source, most AS median_income,
+        mean AS avg_income, n AS num_persons FROM balances WHERE cma_name = 'NATION_7' AND segment = 'BUILDING'""",
+)
+def annual_lookup(spark, folder):
+    mart = stored_mart(spark, folder)
+    rows = questions.annual_rows(mart.income, mart, ["NATION_7"], income_source="BUILDING").select(
+        "cma_name", "year", "income_source", "median_income", "avg_income", "num_persons"
+    )
+    return as_double(rows, "median_income", "avg_income")
+
+
+@check(
+    "Q10_compare_annual",
+    BALANCE_SQL
+    + """SELECT CAST(year AS INTEGER) AS year, max(mean) FILTER (cma_name = 'NATION_3') AS "NATION_3",
+        max(mean) FILTER (cma_name = 'NATION_12') AS "NATION_12"
+    FROM balances WHERE segment = 'MACHINERY' AND year BETWEEN 1996 AND 1999
+        AND cma_name IN ('NATION_3', 'NATION_12') GROUP BY year""",
+)
+def compare_annual(spark, folder):
+    mart, cities = stored_mart(spark, folder), ["NATION_3", "NATION_12"]
+    rows = questions.compare_incomes(
+        mart.income, mart, "avg_income", cities, 1996, 1999, income_source="MACHINERY"
+    )
+    return as_double(rows, *cities)
+
+
+@check(
+    "Q11_rank_annual",
+    BALANCE_SQL
+    + """, last AS (SELECT cma_name, CAST(max(year) * 100 AS INTEGER) AS date_id, arg_max(most, year) AS value
+        FROM balances WHERE segment = 'BUILDING' GROUP BY cma_name)
+    SELECT CAST(row_number() OVER (ORDER BY value DESC, cma_name) AS INTEGER) AS position, *
+    FROM last ORDER BY 1 LIMIT 7""",
+)
+def rank_annual(spark, folder):
+    mart = stored_mart(spark, folder)
+    rows = questions.rank_incomes(mart.income, mart, "median_income", 7, income_source="BUILDING")
+    return as_double(rows, "value")
+
+
+@check(
+    "Q12_beside_annual",
+    BALANCE_SQL
+    + """, yearly AS (
+        SELECT cma_name, indicator_id, year, CAST(sum(units) AS BIGINT) AS total, count(*) AS months
+        FROM trade_series WHERE month BETWEEN 1 AND 12 GROUP BY ALL)
+    SELECT y.indicator_id, y.year, g.geography_id,
+        CAST(CAST(round(CAST(y.total AS DOUBLE) / y.months) AS DECIMAL(18,0)) / 10000.0 AS DOUBLE) AS value,
+        y.months, b.mean AS avg_income
+    FROM yearly y JOIN balances b USING (cma_name, year) JOIN trade_geography g USING (cma_name)
+    WHERE b.segment = 'FURNITURE'""",
+)
+def beside_annual(spark, folder):
+    rows = questions.beside_income(stored_mart(spark, folder), income_source="FURNITURE")
+    wanted = rows.select("indicator_id", "year", "geography_id", "value", "months", "avg_income")
+    return as_double(wanted, "value", "avg_income")
+
+
 @check(
     "V1_nearest_documents",
     """, centre AS (

@@ -1,5 +1,7 @@
 """Projections, filters, predicates (P) and scalar functions (F)."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from seriesmart import fixed_values as fixed
@@ -17,7 +19,7 @@ from seriesmart.checks.base import (
 )
 from seriesmart.functions import numbers, periods, text
 from seriesmart.operators.reshape import cell
-from seriesmart.operators.upsert import as_layout
+from seriesmart.operators.upsert import as_layout, upsert
 from seriesmart.plans.grids import survey_sheets
 from seriesmart.plans.trade import month_of_date, table
 from seriesmart.schemas import FACT_MONTHLY, staging
@@ -368,11 +370,20 @@ def split_date_id(spark, folder):
     )
 
 
-@check("F17_load_time", "SELECT row_order, true AS is_stamped FROM order_text")
+@check(
+    "F17_load_time",
+    "SELECT row_order, row_order % 3 = 0 AS is_fresh FROM (SELECT DISTINCT row_order FROM order_text)",
+)
 def load_time(spark, folder):
-    stamped = order_text(spark, folder).withColumn("loaded_at", periods.loaded_now())
-    day = F.lit("2000-01-01").cast("timestamp")
-    return stamped.select("row_order", (F.col("loaded_at") > day).alias("is_stamped"))
+    """Rows of a batch bear a time after the call began; the kept ones bear their old time."""
+    began = datetime.now(timezone.utc)
+    old = F.lit("2001-02-03").cast("timestamp")
+    target = order_text(spark, folder).select("row_order", "raw").withColumn("loaded_at", old)
+    batch = target.filter("row_order % 3 = 0").drop("loaded_at")
+    loaded = upsert(target, batch, ["row_order"])
+    kept = F.col("loaded_at") == old
+    fresh = F.col("loaded_at") >= F.lit(began) - F.expr("interval 1 second")
+    return loaded.select("row_order", F.when(kept, F.lit(False)).when(fresh, F.lit(True)).alias("is_fresh"))
 
 
 @check(

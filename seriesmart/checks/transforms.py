@@ -12,6 +12,7 @@ from seriesmart.checks.base import (
     rate_grid,
     regional_raw,
     seeds,
+    staged,
     survey_grid,
     tenure_grid,
 )
@@ -87,15 +88,18 @@ def annual_income(spark, folder):
 )
 def rental_survey(spark, folder):
     dims = seeds(spark)
-    return grids.rental_facts(grids.rental_records(survey_grid(spark, folder), dims.spellings), dims)
+    grid = staged(survey_grid(spark, folder), "survey")
+    return grids.rental_facts(grids.rental_records(grid, dims.spellings), dims)
 
 
 @check("E7_income_by_tenure", "SELECT * FROM tenure")
 def tenure(spark, folder):
     dims = seeds(spark)
-    medians = grids.tenure_records(tenure_grid(spark, folder, "median"), dims.spellings, "median_income")
-    averages = grids.tenure_records(tenure_grid(spark, folder, "average"), dims.spellings, "avg_income")
-    return grids.tenure_facts(medians, averages, dims)
+    records = [
+        grids.tenure_records(staged(tenure_grid(spark, folder, measure), measure), dims.spellings, column)
+        for measure, column in (("median", "median_income"), ("average", "avg_income"))
+    ]
+    return grids.tenure_facts(*records, dims)
 
 
 @check(

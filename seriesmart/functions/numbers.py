@@ -4,9 +4,9 @@ from pyspark.sql import Column, functions as F
 
 from seriesmart.functions.text import trimmed
 
-# Decimal notation only: the JVM would also take "1d" or hexadecimal floats.
-# Exponents beyond two digits would overflow every figure column, so they are bad text too.
-DECIMAL_NOTATION = r"^[+-]?(\d+\.?\d*|\.\d+)([eE](\+?\d{1,2}|-\d+))?$"
+# Decimal notation only: the JVM would also take "1d" or hexadecimal floats. What is too
+# large for a figure column is a number here, and fails the typed load.
+DECIMAL_NOTATION = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def safe_double(text: Column) -> Column:

@@ -4,8 +4,7 @@ Size policy. Tables built from fixed values are bounded by the source text and
 are broadcast by hint. Every other lookup table is joined without a hint: Spark
 compares its size with spark.sql.autoBroadcastJoinThreshold (again at run time,
 under adaptive execution) and falls back to a shuffled join, where adaptive
-execution splits hot keys. ``spread`` salts the fallback by hand for keys known
-to be hot.
+execution splits hot keys.
 """
 
 import pyarrow as pa
@@ -33,26 +32,9 @@ def fixed_table(spark: SparkSession, rows, names: list[str]) -> DataFrame:
     return F.broadcast(constants(spark, rows, names))
 
 
-def lookup(
-    df: DataFrame,
-    table: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    spread: int = 1,
-    salt_by: list[str] | None = None,
-) -> DataFrame:
-    """Join ``df`` with a lookup table that is unique on ``on``.
-
-    With ``spread`` > 1 every lookup row is copied that often and the rows of
-    ``df`` pick a copy by a hash of ``salt_by`` (all columns by default), so one
-    hot key is served by several tasks. The salt depends on the row alone, so a
-    repeated task computes it again unchanged.
-    """
-    if spread == 1:
-        return df.join(table, on, how)
-    salt = F.pmod(F.xxhash64(*(salt_by or df.columns)), F.lit(spread)).cast("int")
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return df.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
+def lookup(df: DataFrame, table: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join ``df`` with a lookup table that is unique on ``on``."""
+    return df.join(table, on, how)
 
 
 def canonical(df: DataFrame, spellings: DataFrame, label: str, **options) -> DataFrame:
@@ -100,13 +82,6 @@ def missing_references(df: DataFrame, dim: DataFrame, on: list[str]) -> DataFram
     return df.select(*on).distinct().join(dim, on, "left_anti")
 
 
-def require_references(df: DataFrame, dim: DataFrame, on: list[str]) -> None:
-    """Raise when a key has no dimension row; shows a few of them."""
-    lost = missing_references(df, dim, on).limit(10).collect()
-    if lost:
-        raise ValueError(f"no dimension row for {on}: {[tuple(row) for row in lost]}")
-
-
 def fan_out(df: DataFrame, members: DataFrame, region: str) -> DataFrame:
     """Copy each regional row to every member of its region.
 

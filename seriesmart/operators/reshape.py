@@ -1,9 +1,12 @@
 """Unpivot by position or by header, and pivot of the first figure."""
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from seriesmart.functions.numbers import safe_int
 
+YEAR_PLACE = StructType([StructField("position", IntegerType()), StructField("year", IntegerType())])
+
 
 def cell(position: int) -> Column:
     """A cell of the grid row; NULL when the row is too short."""
@@ -33,14 +36,19 @@ def unpivot_by_header(grid: DataFrame, header_row: int, value: str = "text") ->
 
     The header of a sheet is one small row, so it meets the data rows before
     they are multiplied; there is no discovery on the driver. Whether it is
-    broadcast is left to Spark: the number of sheets grows with the input.
+    broadcast is left to Spark: the number of sheets grows with the input. A sheet
+    whose header row holds no year fails; so does one without a header row.
     """
+    found = header_years(F.col("cells"))
+    where = F.concat_ws(" / ", "file", "sheet")
+    empty = F.raise_error(F.concat(F.lit("no year in the header of "), where)).cast(ArrayType(YEAR_PLACE))
     headers = grid.filter(F.col("row_idx") == header_row).select(
-        "file", "sheet", header_years(F.col("cells")).alias("years")
+        "file", "sheet", F.when(F.size(found) > 0, found).otherwise(empty).alias("years")
     )
     data = grid.filter(F.col("row_idx") > header_row)
-    columns = data.join(headers, ["file", "sheet"]).select(
-        "file", "sheet", "row_idx", "cells", F.explode("years").alias("column")
+    lost = F.raise_error(F.concat(F.lit("no header row in "), where)).cast(ArrayType(YEAR_PLACE))
+    columns = data.join(headers, ["file", "sheet"], "left").select(
+        "file", "sheet", "row_idx", "cells", F.explode(F.coalesce("years", lost)).alias("column")
     )
     text = F.get(F.col("cells"), F.col("column.position"))
     return columns.select(

@@ -44,11 +44,16 @@ def survey_sheets(grid: DataFrame) -> DataFrame:
     )
 
 
-def require_recognised(grid: DataFrame) -> None:
-    """Raise when a survey file has no sheet of a known kind."""
+def survey_choice(names: list[str]) -> list[str]:
+    """The sheet to decode of a survey workbook: occupied rents, else the first CSD sheet, else the first."""
+    csd = [name for name in names if name.startswith("CSD")]
+    return [fixed.OCCUPIED_SHEET] if fixed.OCCUPIED_SHEET in names else (csd or names)[:1]
+
+
+def unrecognised(grid: DataFrame) -> list[str]:
+    """Survey files without a sheet of a known kind; ten at most, for a message."""
     unknown = survey_sheets(grid).filter("kind IS NULL").select("file").limit(10).collect()
-    if unknown:
-        raise ValueError(f"unrecognised survey files: {[row[0] for row in unknown]}")
+    return [row[0] for row in unknown]
 
 
 def _figures(positions: dict[int, str]):

@@ -7,9 +7,22 @@ from pyspark.sql.types import StructType
 
 from seriesmart import schemas
 from seriesmart.operators.upsert import as_layout, replay
+from seriesmart.sources.scratch import Scratch
 from seriesmart.sources.tables import upsert_published
 
 
+class LoadProblems(ExceptionGroup):
+    """What failed in a load, beside the versions of the tables that were published."""
+
+    def __new__(cls, message: str, problems: list[Exception], versions: dict[str, int]):
+        made = super().__new__(cls, message, problems)
+        made.versions = versions
+        return made
+
+    def derive(self, problems):
+        return LoadProblems(self.message, problems, self.versions)
+
+
 @dataclass(frozen=True)
 class FactTable:
     name: str
@@ -34,31 +47,34 @@ TARGETS = {
 }
 
 
-def batch_for(table: FactTable, frames: list[DataFrame]) -> DataFrame:
-    """Several transformed frames as one typed batch; ``load_no`` orders them."""
-    typed = [as_layout(frame, schemas.staging(table.layout)) for frame in frames]
-    return replay(typed)
-
-
-def load(spark: SparkSession, root: str, batches: list[tuple[str, DataFrame]]) -> dict[str, int]:
+def load(
+    spark: SparkSession, root: str, batches: list[tuple[str, DataFrame]], scratch: str | None = None
+) -> dict[str, int]:
     """Upsert (source, transformed frame) pairs, given in load order.
 
-    Frames for one table become one batch and one upsert: replaying them one by
-    one would rewrite the table each time and end with the same rows. Every table
-    is tried; the failures are raised together. Returns the published versions.
+    Each source is typed and written by itself first, which runs its plan: one that fails
+    is left out and the others of its table still load. Frames for one table then
+    become one batch and one upsert: replaying them one by one would end with the
+    same rows. Every table is tried; the failures are raised together, with what was
+    published as ``versions``. Returns the published versions.
     """
     by_table: dict[str, tuple[FactTable, list[DataFrame]]] = {}
-    for source, frame in batches:
-        table = TARGETS[source]
-        by_table.setdefault(table.name, (table, []))[1].append(frame)
     versions, problems = {}, []
-    for name, (table, frames) in by_table.items():
-        try:
-            versions[name] = upsert_published(
-                spark, f"{root}/{name}", batch_for(table, frames), table.keys, ["load_no"]
-            )
-        except Exception as problem:  # noqa: BLE001 - reported with the others below
-            problems.append(ExceptionGroup(f"load of {name} failed", [problem]))
+    with Scratch(spark, "load", scratch) as run:
+        for at, (source, frame) in enumerate(batches):
+            table = TARGETS[source]
+            try:
+                staged = run.stage(as_layout(frame, schemas.staging(table.layout)), f"{at}-{source}")
+            except Exception as problem:  # noqa: BLE001 - reported with the others below
+                problems.append(ExceptionGroup(f"{source} failed", [problem]))
+            else:
+                by_table.setdefault(table.name, (table, []))[1].append(staged)
+        for name, (table, frames) in by_table.items():
+            try:
+                batch = replay(frames)
+                versions[name] = upsert_published(spark, f"{root}/{name}", batch, table.keys, ["load_no"], scratch)
+            except Exception as problem:  # noqa: BLE001 - reported with the others below
+                problems.append(ExceptionGroup(f"load of {name} failed", [problem]))
     if problems:
-        raise ExceptionGroup("some loads failed", problems)
+        raise LoadProblems("some loads failed", problems, versions)
     return versions

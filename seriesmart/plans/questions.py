@@ -1,11 +1,12 @@
 """Questions over the mart, as parameterised DataFrame functions."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from seriesmart import fixed_values as fixed
 from seriesmart.functions import periods
+from seriesmart.operators.nearest import Best, by_part
 
 
 @dataclass(frozen=True)
@@ -14,15 +15,23 @@ class Mart:
     indicators: DataFrame
     calendar: DataFrame
     monthly: DataFrame
+    income: DataFrame | None = None
+    tenure: DataFrame | None = None
 
 
-def series(mart: Mart, indicators: list[str] | None = None, cities: list[str] | None = None) -> DataFrame:
+def series(
+    mart: Mart,
+    indicators: list[str] | None = None,
+    cities: list[str] | None = None,
+    source: str | None = None,
+) -> DataFrame:
     """Facts with names, source, unit and period attached.
 
     Names are filtered on the dimensions, which Spark broadcasts while they are
-    small, so facts of other series drop out during their scan.
+    small, so facts of other series drop out during their scan. Two sources may have an
+    indicator of one name; ``source`` tells them apart.
     """
-    names = mart.indicators.drop("category")
+    names = of_source(mart, source).drop("category")
     places = mart.geography.select("geography_id", "cma_name")
     if indicators is not None:
         names = names.filter(F.col("indicator_name").isin(indicators))
@@ -37,6 +46,10 @@ def series(mart: Mart, indicators: list[str] | None = None, cities: list[str] |
     )
 
 
+def of_source(mart: Mart, source: str | None) -> DataFrame:
+    return mart.indicators if source is None else mart.indicators.filter(F.col("source") == source)
+
+
 def only_years(mart: Mart, first: int, last: int) -> Mart:
     """The mart for a span of years.
 
@@ -46,32 +59,32 @@ def only_years(mart: Mart, first: int, last: int) -> Mart:
     kept = mart.monthly.filter(periods.in_years(F.col("date_id"), first, last))
     if "year" in kept.columns:
         kept = kept.filter(F.col("year").between(first, last))
-    return Mart(mart.geography, mart.indicators, mart.calendar, kept)
+    return replace(mart, monthly=kept)
 
 
-def value_of(mart: Mart, indicator: str, city: str, year: int) -> DataFrame:
+def value_of(mart: Mart, indicator: str, city: str, year: int, source: str | None = None) -> DataFrame:
     """One indicator for one place and year, with source, unit and period."""
-    rows = series(only_years(mart, year, year), [indicator], [city])
+    rows = series(only_years(mart, year, year), [indicator], [city], source)
     return rows.select(
         "indicator_name", "source", "unit", "frequency", "cma_name", "date_id", "year", "month", "value"
     )
 
 
 def compare_cities(
-    mart: Mart, indicator: str, cities: list[str], first_year: int, last_year: int
+    mart: Mart, indicator: str, cities: list[str], first_year: int, last_year: int, source: str | None = None
 ) -> DataFrame:
-    """A table of periods by cities for one indicator; one column per city asked for."""
-    rows = series(only_years(mart, first_year, last_year), [indicator], cities)
+    """A table of periods (by source) and cities for one indicator; one column per city asked for."""
+    rows = series(only_years(mart, first_year, last_year), [indicator], cities, source)
     columns = [F.max(F.when(F.col("cma_name") == city, F.col("value"))).alias(city) for city in cities]
-    return rows.groupBy("date_id").agg(*columns)
+    return rows.groupBy("source", "date_id").agg(*columns)
 
 
-def latest_values(mart: Mart, indicators: list[str]) -> DataFrame:
+def latest_values(mart: Mart, indicators: list[str], source: str | None = None) -> DataFrame:
     """(indicator_id, geography_id, date_id, value) at the last date of each series.
 
     The facts are reduced to one row per series before the names are joined.
     """
-    ids = mart.indicators.filter(F.col("indicator_name").isin(indicators)).select("indicator_id")
+    ids = of_source(mart, source).filter(F.col("indicator_name").isin(indicators)).select("indicator_id")
     newest = mart.monthly.join(ids, "indicator_id").groupBy("indicator_id", "geography_id")
     return newest.agg(
         F.max("date_id").alias("date_id"), F.max_by("value", "date_id").alias("value")
@@ -84,9 +97,11 @@ def numbered_top(df: DataFrame, order: list[Column], k: int, position: str = "po
     return top.withColumn(position, F.row_number().over(Window.orderBy(*order)))
 
 
-def rank_cities(mart: Mart, indicator: str, k: int, ascending: bool = True) -> DataFrame:
+def rank_cities(
+    mart: Mart, indicator: str, k: int, ascending: bool = True, source: str | None = None
+) -> DataFrame:
     """The k cities with the lowest (or highest) latest value; ties go by name."""
-    named = latest_values(mart, [indicator]).join(
+    named = latest_values(mart, [indicator], source).join(
         mart.geography.select("geography_id", "cma_name"), "geography_id"
     )
     first = F.col("value").asc() if ascending else F.col("value").desc()
@@ -94,14 +109,32 @@ def rank_cities(mart: Mart, indicator: str, k: int, ascending: bool = True) -> D
     return top.select("position", "cma_name", "date_id", "value")
 
 
+def lowest_and_highest(mart: Mart, indicator: str, source: str | None = None) -> DataFrame:
+    """The cities with the lowest and the highest latest value, from one pass; ties go by name."""
+    named = latest_values(mart, [indicator], source).join(
+        mart.geography.select("geography_id", "cma_name"), "geography_id"
+    )
+    row = F.struct("cma_name", "date_id", "value")
+    ends = named.agg(
+        F.min_by(row, F.struct("value", "cma_name")).alias("lowest"),
+        F.min_by(row, F.struct(-F.col("value"), "cma_name")).alias("highest"),
+    )
+    sides = [F.struct(F.lit(side).alias("side"), f"{side}.*") for side in ("lowest", "highest")]
+    return ends.filter("lowest IS NOT NULL").select(F.inline(F.array(*sides)))
+
+
 def rank_affordability(
-    mart: Mart, rent: str, prices: str, salary: float, k: int, months: int = 12
+    mart: Mart, rent: str, prices: str, salary: float, k: int, months: int = 12, source: str | None = None
 ) -> DataFrame:
     """The k cities where the yearly rent takes the smallest share of a salary.
 
-    The latest price index stands beside it, and is absent where none is held.
+    The latest price index stands beside it, and is absent where none is held. ``source``
+    is that of the rents.
     """
-    latest = latest_values(mart, [rent, prices]).join(
+    wanted = latest_values(mart, [rent, prices]) if source is None else latest_values(mart, [rent], source).unionByName(
+        latest_values(mart, [prices])
+    )
+    latest = wanted.join(
         mart.indicators.select("indicator_id", "indicator_name"), "indicator_id"
     )
     rents = F.max(F.when(F.col("indicator_name") == rent, F.col("value"))).alias("rent")
@@ -170,52 +203,99 @@ def bridge_to_years(facts: DataFrame, annual: DataFrame) -> DataFrame:
     return yearly.join(by_year, ["geography_id", "year"])
 
 
-def _blocks(queries: DataFrame, block_size: int) -> list[DataFrame]:
-    """The queries as they are when few, else hashed into blocks of about half the bound."""
-    if queries.limit(block_size + 1).count() <= block_size:
-        return [queries]
-    blocks = -(-2 * queries.count() // block_size)
-    place = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    return [queries.filter(place == at) for at in range(blocks)]
+def annual_rows(facts: DataFrame, mart: Mart, cities: list[str] | None = None, **where) -> DataFrame:
+    """Rows of an annual fact (``mart.income`` or ``mart.tenure``) with city and year, filtered by its columns."""
+    places = mart.geography.select("geography_id", "cma_name")
+    if cities is not None:
+        places = places.filter(F.col("cma_name").isin(cities))
+    for column, value in where.items():
+        facts = facts.filter(F.col(column) == value)
+    years = facts.withColumn("year", periods.year_of(F.col("date_id")))
+    return years.join(places, "geography_id")
 
 
-def nearest_documents(
-    documents: DataFrame, queries: DataFrame, k: int, block_size: int = 1_000
+def compare_incomes(
+    facts: DataFrame, mart: Mart, measure: str, cities: list[str], first_year: int, last_year: int, **where
 ) -> DataFrame:
+    """A table of years by cities of one measure; ``where`` must leave one row per city and year."""
+    span = facts.filter(periods.in_years(F.col("date_id"), first_year, last_year))
+    rows = annual_rows(span, mart, cities, **where)
+    columns = [F.max(F.when(F.col("cma_name") == city, F.col(measure))).alias(city) for city in cities]
+    return rows.groupBy("year").agg(*columns)
+
+
+def rank_incomes(
+    facts: DataFrame, mart: Mart, measure: str, k: int, ascending: bool = False, **where
+) -> DataFrame:
+    """The k cities with the highest (or lowest) latest figure of one measure; ties go by name."""
+    held = facts.filter(F.col(measure).isNotNull())
+    for column, value in where.items():
+        held = held.filter(F.col(column) == value)
+    latest = held.groupBy("geography_id").agg(
+        F.max("date_id").alias("date_id"), F.max_by(measure, "date_id").alias("value")
+    )
+    named = latest.join(mart.geography.select("geography_id", "cma_name"), "geography_id")
+    first = F.col("value").asc() if ascending else F.col("value").desc()
+    top = numbered_top(named, [first, F.col("cma_name").asc()], k)
+    return top.select("position", "cma_name", "date_id", "value")
+
+
+def beside_income(mart: Mart, **where) -> DataFrame:
+    """The monthly series of the mart, averaged by year, beside the annual incomes of city and year."""
+    annual = mart.income
+    for column, value in where.items():
+        annual = annual.filter(F.col(column) == value)
+    return bridge_to_years(mart.monthly, annual.drop("year", "loaded_at"))
+
+
+def nearest_documents(documents: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k documents most similar to each query vector, by exact cosine.
 
-    ``documents`` has (doc_id, embedding), ``queries`` has (query_id, embedding).
-    The query vectors travel as one value inside the scan of the documents, so
-    nothing is joined; their number is checked, and more than ``block_size``
-    are taken in several scans. Each task keeps its own best k per query before
-    anything is shuffled.
+    ``documents`` has (doc_id, embedding), ``queries`` has (query_id, embedding). Documents
+    are dealt by hash; each task is sent the query vectors first, keeps them as one
+    matrix, and multiplies it with one batch of documents after the other. It keeps its
+    best k per query, so what is shuffled at the end is k rows per query and task. It is one plan
+    for any number of queries, whose vectors must fit in a task. Vectors that are null, hold a
+    null, have length 0, or another number of components than the query give no score.
     """
-
-    def dot(left, right):
-        products = F.zip_with(left, right, lambda a, b: a.cast("double") * b.cast("double"))
-        return F.aggregate(products, F.lit(0.0), lambda total, item: total + item)
-
-    def length(vector):
-        return F.sqrt(dot(vector, vector))
-
-    best = None
-    for block in _blocks(queries, block_size):
-        query = F.struct("query_id", "embedding", length(F.col("embedding")).alias("length"))
-        asked = block.agg(F.collect_list(query)).scalar()
-        scored = documents.withColumn("_length", length(F.col("embedding")))
-        pairs = scored.select("doc_id", "embedding", "_length", F.explode(asked).alias("q"))
-        cosine = F.try_divide(dot(F.col("embedding"), F.col("q.embedding")), F.col("_length") * F.col("q.length"))
-        ranked = (
-            pairs.select("doc_id", "q.query_id", F.round(cosine, 6).alias("score"))
-            .filter("score IS NOT NULL")
-            .withColumn(
-                "position",
-                F.row_number().over(
-                    Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-                ),
-            )
-            .filter(F.col("position") <= k)
-            .select("query_id", "position", "doc_id", "score")
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def rows(df: DataFrame, side: int, part: Column, query_id: Column, doc_id: Column) -> DataFrame:
+        vector = F.col("embedding").cast("array<double>")
+        usable = df.filter(vector.isNotNull() & ~F.exists(vector, lambda x: x.isNull()))
+        return usable.select(
+            part.alias("part"),
+            F.lit(side).alias("side"),
+            query_id.cast("string").alias("query_id"),
+            doc_id.cast("long").alias("doc_id"),
+            vector.alias("v"),
         )
-        best = ranked if best is None else best.unionByName(ranked)
-    return best
+
+    none = F.lit(None)
+    asked = rows(queries, 0, F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))), F.col("query_id"), none)
+    held = rows(documents, 1, F.pmod(F.xxhash64("doc_id"), F.lit(tasks)).cast("int"), none, F.col("doc_id"))
+    kind = queries.schema["query_id"].dataType
+
+    def search(batches):
+        best = Best(k)
+        for batch in batches:
+            for (part, side), some in by_part(batch):
+                if side == 0:
+                    best.ask(part, some)
+                else:
+                    best.see(part, some)
+            yield from best.finished()
+        yield from best.finished(last=True)
+
+    found = (
+        asked.unionByName(held)
+        .repartition(tasks, "part")
+        .sortWithinPartitions("part", "side")
+        .mapInArrow(search, "query_id string, doc_id long, score double")
+    )
+    position = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc()))
+    return (
+        found.withColumn("position", position)
+        .filter(F.col("position") <= k)
+        .select(F.col("query_id").cast(kind).alias("query_id"), "position", "doc_id", "score")
+    )

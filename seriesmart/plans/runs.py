@@ -1,18 +1,21 @@
 """From folders of downloaded files to published fact tables."""
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesmart import fixed_values as fixed
+from seriesmart.functions import periods
 from seriesmart.operators import dims as dimension
 from seriesmart.plans import grids, series
 from seriesmart.operators.upsert import union_all
-from seriesmart.plans.loads import INCOME, MONTHLY, TENURE, load
+from seriesmart.plans.loads import INCOME, MONTHLY, TENURE, FactTable, LoadProblems, load
 from seriesmart.plans.questions import Mart
 from seriesmart.plans.series import Dims
 from seriesmart.sources import archives, delimited, snapshots, workbooks
-from seriesmart.sources.tables import publish, published_version, read_published, stage
+from seriesmart.sources.scratch import Scratch
+from seriesmart.sources.tables import publish, published_version, read_published
 
 CITY_SPECS = {
     "cpi_cma": series.CPI,
@@ -86,81 +89,100 @@ def open_mart(spark: SparkSession, mart_root: str) -> Mart:
         geography=read_published(spark, f"{mart_root}/dim_geography"),
         indicators=read_published(spark, f"{mart_root}/dim_indicator"),
         calendar=read_published(spark, f"{mart_root}/dim_date"),
-        monthly=read_published(spark, f"{mart_root}/{MONTHLY.name}"),
+        monthly=_held(spark, mart_root, MONTHLY),
+        income=_held(spark, mart_root, INCOME),
+        tenure=_held(spark, mart_root, TENURE),
     )
 
 
+def _held(spark: SparkSession, mart_root: str, table: FactTable) -> DataFrame:
+    """A published fact table, or an empty one while nothing was loaded."""
+    root = f"{mart_root}/{table.name}"
+    if published_version(spark, root):
+        return read_published(spark, root)
+    return spark.createDataFrame([], table.layout).withColumn("year", F.lit(None).cast("int"))
+
+
 def newest_table(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
-    """The newest snapshot in a folder, whether plain text or still in its archive."""
-    newest = snapshots.one_path(
-        snapshots.latest_by_time(snapshots.list_files(spark, folder, "*.{csv,zip}"))
-    )
+    """The newest snapshot in a folder, whether plain text or still in its archive.
+
+    A snapshot is a file, or a folder of parts as Spark writes them; all its parts are read. The
+    rows have their place in the snapshot as ``row_order``.
+    """
+    newest = snapshots.newest_snapshot(spark, folder, "*.{csv,zip}")
     if newest.endswith(".zip"):
-        return archives.read_archives(spark, newest, columns)
-    return delimited.read_text_table(spark, newest, columns)
+        rows = archives.read_archives(spark, newest, columns)
+        return rows.withColumn("row_order", F.struct("path", F.monotonically_increasing_id().alias("at")))
+    place = F.struct("_metadata.file_name", F.monotonically_increasing_id().alias("at"))
+    return delimited.read_text_table(spark, newest, columns, row_order=place)
 
 
 def series_run(spark: SparkSession, raw_root: str, table: str, dims: Dims) -> DataFrame:
     """Facts of one published table, from the newest file under ``raw_root/<table number>``."""
     folder = f"{raw_root}/{fixed.TABLE_NUMBERS[table]}"
     if table == "median_income":
-        raw = newest_table(spark, folder, INCOME_COLUMNS)
-        placed = raw.withColumn("row_order", F.monotonically_increasing_id())
-        return series.income_facts(placed, dims, "row_order")
+        return series.income_facts(newest_table(spark, folder, INCOME_COLUMNS), dims, "row_order")
     if table == "food_prices":
         return series.regional_series(newest_table(spark, folder, series.FOOD.columns), dims, series.FOOD)
     spec = CITY_SPECS[table]
     return series.city_series(newest_table(spark, folder, spec.columns), dims, spec)
 
 
-def rental_run(spark: SparkSession, folder: str, dims: Dims) -> DataFrame:
-    """October facts from every survey workbook in the folder."""
+def rental_run(scratch: Scratch, folder: str, dims: Dims, problems: list[Exception]) -> DataFrame:
+    """October facts from every survey workbook in the folder that is recognised.
+
+    The others are added to ``problems`` and do not stop them.
+    """
     others = [RATE_NAME, CREDIT_NAME, TENURE_NAME]
-    grid = stage(workbooks.read_workbooks(spark, folder, skip_names=others), "survey")
-    grids.require_recognised(grid)
+    grid = scratch.stage(workbooks.read_workbooks(scratch.spark, folder, skip_names=others, choose=grids.survey_choice), "survey")
+    unknown = grids.unrecognised(grid)
+    if unknown:
+        problems.append(ValueError(f"unrecognised survey files: {unknown}"))
     return grids.rental_facts(grids.rental_records(grid, dims.spellings), dims)
 
 
-def _newest_edition(spark: SparkSession, folder: str, pattern: str, order: list[int], sheets: list[str]):
-    files = snapshots.list_files(spark, folder, "*.xlsx")
+def _newest_edition(scratch: Scratch, folder: str, pattern: str, order: list[int], sheets: list[str], name: str):
+    files = snapshots.list_files(scratch.spark, folder, "*.xlsx")
     newest = snapshots.one_path(snapshots.latest_by_name(files, pattern, order))
-    grid = stage(workbooks.read_workbooks(spark, newest, sheets=sheets), "edition")
+    grid = scratch.stage(workbooks.read_workbooks(scratch.spark, newest, sheets=sheets), name)
     workbooks.require_sheets(grid, sheets)
     return grid
 
 
-def rate_run(spark: SparkSession, folder: str, dims: Dims) -> DataFrame:
+def rate_run(scratch: Scratch, folder: str, dims: Dims) -> DataFrame:
     """National rates from the newest edition; its name has the month before the year."""
-    grid = _newest_edition(spark, folder, RATE_NAME, [2, 1], [fixed.RATE_SHEET])
+    grid = _newest_edition(scratch, folder, RATE_NAME, [2, 1], [fixed.RATE_SHEET], "rates")
     return grids.rate_facts(grids.rate_records(grid), dims)
 
 
-def credit_run(spark: SparkSession, folder: str, dims: Dims) -> DataFrame:
+def credit_run(scratch: Scratch, folder: str, dims: Dims) -> DataFrame:
     """Quarterly trends from the newest edition."""
     sheets = list(dict.fromkeys(row[0] for row in fixed.CREDIT_LAYOUT))
-    grid = _newest_edition(spark, folder, CREDIT_NAME, [1, 2], sheets)
+    grid = _newest_edition(scratch, folder, CREDIT_NAME, [1, 2], sheets, "credit")
     return grids.credit_facts(grids.credit_records(grid), dims)
 
 
-def tenure_run(spark: SparkSession, folder: str, dims: Dims) -> DataFrame:
+def tenure_run(scratch: Scratch, folder: str, dims: Dims) -> DataFrame:
     """Incomes by tenure from the median and the average workbook."""
     records = []
     for glob, column in ((MEDIAN_GLOB, "median_income"), (AVERAGE_GLOB, "avg_income")):
-        grid = stage(workbooks.read_workbooks(spark, folder, glob), "tenure")
+        grid = scratch.stage(workbooks.read_workbooks(scratch.spark, folder, glob, list(fixed.TENURE_SHEETS)), column)
         workbooks.require_sheets(grid, list(fixed.TENURE_SHEETS))
         records.append(grids.tenure_records(grid, dims.spellings, column))
     return grids.tenure_facts(*records, dims).orderBy("geography_id", "date_id", "tenure")
 
 
-def runs(spark: SparkSession, raw_root: str, workbook_folder: str, dims: Dims) -> dict[str, Callable]:
+def runs(
+    scratch: Scratch, raw_root: str, workbook_folder: str, dims: Dims, problems: list[Exception]
+) -> dict[str, Callable]:
     """Source name to a function that gives its facts, in load order."""
     plans: dict[str, Callable[[], DataFrame]] = {
-        table: (lambda table=table: series_run(spark, raw_root, table, dims)) for table in fixed.TABLE_NUMBERS
+        table: (lambda table=table: series_run(scratch.spark, raw_root, table, dims)) for table in fixed.TABLE_NUMBERS
     }
-    plans["rental_survey"] = lambda: rental_run(spark, workbook_folder, dims)
-    plans["credit_trends"] = lambda: credit_run(spark, workbook_folder, dims)
-    plans["mortgage_rates"] = lambda: rate_run(spark, workbook_folder, dims)
-    plans["income_tenure"] = lambda: tenure_run(spark, workbook_folder, dims)
+    plans["rental_survey"] = lambda: rental_run(scratch, workbook_folder, dims, problems)
+    plans["credit_trends"] = lambda: credit_run(scratch, workbook_folder, dims)
+    plans["mortgage_rates"] = lambda: rate_run(scratch, workbook_folder, dims)
+    plans["income_tenure"] = lambda: tenure_run(scratch, workbook_folder, dims)
     return plans
 
 
@@ -171,25 +193,45 @@ def refresh(
     mart_root: str,
     dims: Dims | None = None,
     sources: list[str] | None = None,
+    years: tuple[int, int] | None = None,
+    exports: str | None = None,
+    day: str | None = None,
+    scratch_root: str | None = None,
 ) -> dict[str, int]:
     """Conform the chosen sources (all by default) and upsert them.
 
-    Every source is tried; those that fail are reported together at the end.
+    Every source is tried by itself, up to its written rows; those that fail, and survey
+    workbooks that are not recognised, are reported together at the end, after the rest was
+    published. ``years`` keeps a span of them. With ``exports`` each source's facts are also
+    written as CSV under ``exports/<source>/<day>``. Given ``dims`` are published with the
+    mart, if it has none. Intermediate tables are removed at the end.
     """
+    if dims:
+        for name, held in (("dim_geography", dims.geography), ("dim_indicator", dims.indicators)):
+            if not published_version(spark, f"{mart_root}/{name}"):
+                publish(spark, held, f"{mart_root}/{name}", partition_by=[])
     dims = dims or stored_dims(spark, mart_root)
-    plans = runs(spark, raw_root, workbook_folder, dims)
-    batches, problems, versions = [], [], {}
-    for name in sources or list(plans):
+    problems, batches, versions = [], [], {}
+    with Scratch(spark, "refresh", scratch_root) as scratch:
+        plans = runs(scratch, raw_root, workbook_folder, dims, problems)
+        for name in sources or list(plans):
+            try:
+                facts = plans[name]()
+                if years:
+                    facts = facts.filter(periods.in_years(F.col("date_id"), *years))
+                if exports:
+                    facts = scratch.stage(facts, f"facts-{name}")
+                    delimited.export_snapshot(facts, exports, name, day or date.today().isoformat())
+                batches.append((name, facts))
+            except Exception as problem:  # noqa: BLE001 - reported with the others below
+                problems.append(ExceptionGroup(f"{name} failed", [problem]))
         try:
-            batches.append((name, plans[name]()))
-        except Exception as problem:  # noqa: BLE001 - reported with the others below
-            problems.append(ExceptionGroup(f"{name} failed", [problem]))
-    try:
-        versions = load(spark, mart_root, batches)
-    except ExceptionGroup as problem:
-        problems.append(problem)
-    if batches:
+            versions = load(spark, mart_root, batches, scratch_root)
+        except LoadProblems as problem:
+            versions = problem.versions
+            problems.extend(problem.exceptions)
+    if versions:
         publish_calendar(spark, mart_root)
     if problems:
-        raise ExceptionGroup("some sources failed", problems)
+        raise LoadProblems("some sources failed", problems, versions)
     return versions

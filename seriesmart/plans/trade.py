@@ -7,7 +7,6 @@ of all orders is a handful of rows by the time keys are shuffled.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from seriesmart.functions import periods
 from seriesmart.operators.dims import calendar_for
@@ -15,6 +14,7 @@ from seriesmart.operators.lookup import fixed_table
 from seriesmart.operators.upsert import union_all
 from seriesmart.plans.questions import Mart
 from seriesmart.schemas import DIM_INDICATOR
+from seriesmart.sources.tables import write_facts
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 RETURN_FLAGS = ["A", "N", "R"]
@@ -24,15 +24,8 @@ TRADE_INDICATORS = [
 ]
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A parquet table. Its schema is inferred once per path, as that takes a job."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def trade_geography(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,9 +104,9 @@ def trade_facts(spark: SparkSession, folder: str) -> DataFrame:
     return with_indicator_ids(order_values(spark, folder).unionByName(ship_prices(spark, folder)))
 
 
-def trade_calendar(spark: SparkSession, folder: str, dates: dict[str, str] | None = None) -> DataFrame:
+def trade_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """The calendar of the trade mart, from the ends of its date columns alone."""
-    dates = dates or {"orders": "o_orderdate", "lineitem": "l_shipdate"}
+    dates = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
     ends = union_all(
         [
             table(spark, folder, name).selectExpr(f"min({date}) as low", f"max({date}) as high")
@@ -132,11 +125,41 @@ def trade_mart(spark: SparkSession, folder: str) -> Mart:
     )
 
 
-def order_mart(spark: SparkSession, folder: str) -> Mart:
-    """The part of the mart that comes from orders, for questions about order values only."""
+def segment_balances(spark: SparkSession, folder: str) -> DataFrame:
+    """An annual fact: balances of a nation's customers with orders in the year, by segment.
+
+    The highest balance and the mean stand under the names of the annual income fact, so that its
+    questions apply.
+    """
+    years = table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year")
+    )
+    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    placed = years.distinct().join(customers, "c_custkey").withColumn("cents", F.round(F.col("c_acctbal") * 100).cast("long"))
+    sums = placed.groupBy("c_nationkey", "year", "c_mktsegment").agg(
+        F.max("cents").alias("most"), F.sum("cents").alias("total"), F.count("*").alias("n")
+    )
+    mean = F.round(F.col("total").cast("decimal(20,0)") / F.col("n"), 0) / 100
+    return sums.select(
+        (F.col("c_nationkey") + 1).cast("int").alias("geography_id"),
+        periods.annual_id(F.col("year")).alias("date_id"),
+        F.col("c_mktsegment").alias("income_source"),
+        F.lit("All ages").alias("age_group"),
+        F.lit("Both").alias("sex"),
+        (F.col("most") / 100).cast("decimal(12,2)").alias("median_income"),
+        mean.cast("decimal(12,2)").alias("avg_income"),
+        F.col("n").alias("num_persons"),
+    )
+
+
+def stored_trade_mart(spark: SparkSession, folder: str, root: str) -> Mart:
+    """The whole mart at rest: facts by indicator and year, so that a question prunes to its own."""
+    write_facts(trade_facts(spark, folder), f"{root}/fact", partition_by=["indicator_id", "year"])
+    write_facts(segment_balances(spark, folder), f"{root}/income")
     return Mart(
         geography=trade_geography(spark, folder),
         indicators=trade_indicators(spark),
-        calendar=trade_calendar(spark, folder, {"orders": "o_orderdate"}),
-        monthly=with_indicator_ids(order_values(spark, folder)),
+        calendar=trade_calendar(spark, folder),
+        monthly=spark.read.parquet(f"{root}/fact"),
+        income=spark.read.parquet(f"{root}/income"),
     )

@@ -25,8 +25,8 @@ def archive_rows(archives: DataFrame, columns: list[str]) -> DataFrame:
     """The named columns of the data table in each archive, all as text.
 
     ``archives`` has the columns (path, content). An archive without a data table
-    fails the job. Each archive is one compressed stream and so one task; it is
-    decompressed and sent on in batches, never held whole. Empty text is NULL,
+    fails the job. Each archive is one compressed stream and so one task; its bytes are
+    one value, so it is below 2 GB, and are decompressed in place and sent on in batches. Empty text is NULL,
     as in the reader of plain delimited text.
     """
     fields = ["path", *columns]
@@ -35,7 +35,7 @@ def archive_rows(archives: DataFrame, columns: list[str]) -> DataFrame:
     def decode(batches):
         for batch in batches:
             for path, content in zip(batch["path"].to_pylist(), batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
                     member = data_member(archive.namelist())
                     if member is None:
                         raise ValueError(f"no data table in {path}: {archive.namelist()}")

@@ -29,13 +29,26 @@ def shuffles_removed(spark: SparkSession):
         spark.conf.set(CLEANUP, before)
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 class Scratch:
-    """The written tables of one run, under one folder of its own."""
+    """The written tables of one run, under one folder of its own.
+
+    As a context manager it deletes them at the end.
+    """
 
     def __init__(self, spark: SparkSession, name: str, root: str | None = None):
         self.spark = spark
         self.path = f"{root or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *problem) -> None:
+        self.remove()
+
     def stage(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
         """Write a table once and read it from there.
 

@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seriesmart.functions.numbers import safe_int
-from seriesmart.sources.delimited import read_text_table
 
 
 def list_files(spark: SparkSession, path: str, name_glob: str = "*") -> DataFrame:
@@ -41,9 +40,11 @@ def one_path(latest: DataFrame) -> str:
     return row["path"]
 
 
-def read_latest(
-    spark: SparkSession, path: str, columns: list[str] | None = None, name_glob: str = "*.csv"
-) -> DataFrame:
-    """The newest published table under a folder."""
-    newest = one_path(latest_by_time(list_files(spark, path, name_glob)))
-    return read_text_table(spark, newest, columns)
+def newest_snapshot(spark: SparkSession, root: str, name_glob: str = "*.csv") -> str:
+    """The newest snapshot under a folder: a file, or a folder whose parts Spark wrote.
+
+    Parts lie in the folder itself or in one below it, such as a dated one.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).option("recursiveFileLookup", True)
+    newest = one_path(latest_by_time(files.load(root).select("path", "modificationTime")))
+    return folder_of(newest) if newest.rpartition("/")[2].startswith("part-") else newest

@@ -1,34 +1,30 @@
 """Fact tables at rest: yearly partitions, published versions, upserts.
 
-Scratch folders lie in the shared folder named by spark.checkpoint.dir, which
-every executor can reach.
+A published table is a folder with ``data`` and ``published``. A version is one small
+manifest, ``published/<number>.json``, which names the folder of each year. A new version names
+new folders for the years a batch touches and the old ones for the rest, so it appears
+at once, leaves its readers' files alone, and never rewrites a table.
 """
 
-import tempfile
+import json
 import uuid
 
-import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from seriesmart.functions.periods import year_of
 from seriesmart.operators.upsert import latest_per_key, upsert
+from seriesmart.sources.scratch import Scratch
 
 PARTITIONED_BY = ["year"]
 SORTED_BY = ["date_id", "geography_id"]
+ALL = ""  # stands for the years of a table that is not partitioned
+KEPT_VERSIONS = 2
+FIRST_YEAR, LAST_YEAR = 1800, 2200
 
 
-def shared_folder(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.gettempdir()
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-
-
-def fresh_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+class VersionTaken(Exception):
+    """Another writer published this version first; run the load again."""
 
 
 def write_facts(
@@ -36,7 +32,6 @@ def write_facts(
     path: str,
     partition_by: list[str] = PARTITIONED_BY,
     sort_by: list[str] = SORTED_BY,
-    overwrite: str = "static",
 ) -> None:
     """Write a fact table partitioned by the year of its date ids, or more finely.
 
@@ -48,98 +43,141 @@ def write_facts(
     yearly = df.withColumn("year", year_of(F.col("date_id")))
     gathered = yearly.hint("rebalance", *(F.col(name) for name in partition_by))
     writer = gathered.sortWithinPartitions(*partition_by, *sort_by).write.partitionBy(*partition_by)
-    writer.mode("overwrite").option("partitionOverwriteMode", overwrite).parquet(path)
+    writer.mode("overwrite").parquet(path)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table once to the shared folder and read it from there.
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
-    For rows that are costly to make and read more than once. Unlike a cache, the
-    written table outlives the executors that made it.
-    """
-    path = fresh_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+def versions(spark: SparkSession, root: str) -> list[int]:
+    files, where = _files(spark, f"{root}/published")
+    if not files.exists(where):
+        return []
+    return sorted(int(item.getPath().getName().removesuffix(".json")) for item in files.listStatus(where))
 
-def staged(batch: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
-    """The batch reduced to one row per key and written once to the shared folder.
 
-    An upsert reads its batch twice, and Spark then knows how large it is.
-    """
-    fresh = latest_per_key(batch, keys, order or []).drop(*(order or []))
-    return stage(fresh.withColumn("loaded_at", F.current_timestamp()), "batch")
+def published_version(spark: SparkSession, root: str) -> int:
+    return max(versions(spark, root), default=0)
 
 
-def published_version(spark: SparkSession, root: str) -> int:
+def manifest(spark: SparkSession, root: str, version: int) -> dict:
+    """``schema`` and, per year as text, the ``folders`` under ``data``."""
+    lines = spark.read.text(f"{root}/published/{version}.json", wholetext=True)
+    return json.loads(lines.first()[0])
+
+
+def _commit(spark: SparkSession, root: str, version: int, content: dict) -> None:
+    """Create the manifest if there is none of that number: of two writers one fails."""
+    files, where = _files(spark, f"{root}/published/{version}.json")
     try:
-        newest = spark.read.schema("version INT").parquet(f"{root}/published").agg(F.max("version")).first()[0]
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 0
-    return newest or 0
+        stream = files.create(where, False)
+    except Exception as problem:
+        if files.exists(where):
+            raise VersionTaken(f"{root}, version {version}") from problem
+        raise
+    stream.write(bytearray(json.dumps(content).encode()))
+    stream.close()
+
+
+def _write_years(df: DataFrame, root: str) -> dict[str, str]:
+    """Write the rows to a new folder; the folder of each of their years."""
+    batch = f"batch={uuid.uuid4().hex}"
+    write_facts(df, f"{root}/data/{batch}")
+    files, where = _files(df.sparkSession, f"{root}/data/{batch}")
+    names = [item.getPath().getName() for item in files.listStatus(where)]
+    return {name.removeprefix("year="): f"{batch}/{name}" for name in names if name.startswith("year=")}
 
 
 def publish(
     spark: SparkSession, df: DataFrame, root: str, partition_by: list[str] = PARTITIONED_BY
 ) -> int:
-    """Write ``df`` as a new version, then point readers at it.
+    """Write ``df`` as a whole new version.
 
-    Facts are partitioned; a dimension is given ``partition_by=[]``. Readers see the old version until the pointer row is committed; a failed
-    attempt leaves at most an unpublished folder, which the next one replaces.
+    Facts are partitioned by year; a dimension is given ``partition_by=[]``. A failed attempt leaves
+    at most a folder that no manifest names.
     """
     version = published_version(spark, root) + 1
     if partition_by:
-        write_facts(df, f"{root}/v{version}", partition_by)
+        folders = _write_years(df, root)
     else:
-        df.write.mode("overwrite").parquet(f"{root}/v{version}")
-    pointer = spark.createDataFrame(pa.table({"version": pa.array([version], pa.int32())}))
-    pointer.write.mode("append").parquet(f"{root}/published")
+        folders = {ALL: f"batch={uuid.uuid4().hex}"}
+        df.write.parquet(f"{root}/data/{folders[ALL]}")
+    _commit(spark, root, version, {"schema": df.schema.json(), "folders": folders})
+    remove_unreferenced(spark, root)
     return version
 
 
+def _read(spark: SparkSession, root: str, content: dict, years: set[str] | None = None) -> DataFrame:
+    schema = StructType.fromJson(json.loads(content["schema"]))
+    if ALL in content["folders"]:
+        return spark.read.schema(schema).parquet(f"{root}/data/{content['folders'][ALL]}")
+    wanted = [path for year, path in sorted(content["folders"].items()) if years is None or year in years]
+    yearly = StructType([*schema.fields, StructField("batch", StringType()), StructField("year", IntegerType())])
+    if not wanted:
+        return spark.createDataFrame([], yearly).drop("batch")
+    paths = [f"{root}/data/{path}" for path in wanted]
+    return spark.read.schema(yearly).option("basePath", f"{root}/data").parquet(*paths).drop("batch")
+
+
 def read_published(spark: SparkSession, root: str) -> DataFrame:
     """The published version; in facts a filter on ``year`` prunes partitions."""
     version = published_version(spark, root)
     if version == 0:
         raise FileNotFoundError(f"nothing published under {root}")
-    return spark.read.parquet(f"{root}/v{version}")
+    return _read(spark, root, manifest(spark, root, version))
+
+
+def touched_years(batch: DataFrame) -> set[str]:
+    """The years of a batch; a date outside of FIRST_YEAR to LAST_YEAR fails, so they are few."""
+    year = year_of(F.col("date_id"))
+    span = batch.agg(F.min(year), F.max(year), F.count("*"), F.count("date_id")).first()
+    if span[2] != span[3] or (span[2] and not FIRST_YEAR <= span[0] <= span[1] <= LAST_YEAR):
+        raise ValueError(f"dates of the batch are missing or lie outside of {FIRST_YEAR} to {LAST_YEAR}: {span[:2]}")
+    return {str(row[0]) for row in batch.select(year).distinct().collect()}
 
 
 def upsert_published(
-    spark: SparkSession, root: str, batch: DataFrame, keys: list[str], order: list[str] | None = None
+    spark: SparkSession,
+    root: str,
+    batch: DataFrame,
+    keys: list[str],
+    order: list[str] | None = None,
+    scratch: str | None = None,
 ) -> int:
-    """Upsert a batch and publish the outcome as a new version."""
-    if published_version(spark, root) == 0:
+    """Upsert a batch and publish the outcome; only the years it touches are read and written.
+
+    The batch is reduced to one row per key and written once, as it is read more than once.
+    """
+    version = published_version(spark, root)
+    before = manifest(spark, root, version) if version else {"folders": {}}
+    with Scratch(spark, "upsert", scratch) as run:
         fresh = latest_per_key(batch, keys, order or []).drop(*(order or []))
-        return publish(spark, fresh.withColumn("loaded_at", F.current_timestamp()), root)
-    target = read_published(spark, root).drop("year")
-    return publish(spark, upsert(target, staged(batch, keys, order), keys), root)
+        fresh = run.stage(fresh.withColumn("loaded_at", F.current_timestamp()), "batch")
+        years = touched_years(fresh)
+        merged = upsert(_read(spark, root, before, years).drop("year"), fresh, keys) if version else fresh
+        folders = before["folders"] | _write_years(merged, root)
+        schema = before.get("schema") or merged.schema.json()
+        _commit(spark, root, version + 1, {"schema": schema, "folders": folders})
+    remove_unreferenced(spark, root)
+    return version + 1
 
 
-def upsert_years(
-    spark: SparkSession, path: str, batch: DataFrame, keys: list[str], order: list[str] | None = None
-) -> list[int]:
-    """Upsert into a table written by :func:`write_facts`, touching only the batch's years.
+def remove_unreferenced(spark: SparkSession, root: str, keep: int = KEPT_VERSIONS) -> None:
+    """Drop manifests but the newest ones, and the years' folders that these do not name.
 
-    For tables too large to rewrite. The years a batch touches, at most one per
-    calendar year, pick the partitions to read and to replace. The first batch
-    makes the table.
+    Folders of batches that no manifest has named yet stay, as a writer may be at work.
     """
-    fresh = staged(batch, keys, order)
-    year = year_of(F.col("date_id")).alias("year")
-    years = sorted(row[0] for row in fresh.select(year).distinct().collect())
-    try:
-        table = spark.read.parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        write_facts(fresh, path)
-        return years
-    touched = table.filter(F.col("year").isin(years)).drop("year")
-    write_facts(upsert(touched, fresh, keys), path, overwrite="dynamic")
-    return years
+    every = versions(spark, root)
+    contents = {number: manifest(spark, root, number) for number in every}
+    held = {path for number in every[-keep:] for path in contents[number]["folders"].values()}
+    for number in every[:-keep]:
+        for path in set(contents[number]["folders"].values()) - held:
+            files, where = _files(spark, f"{root}/data/{path}")
+            files.delete(where, True)
+        files, where = _files(spark, f"{root}/published/{number}.json")
+        files.delete(where, False)
 
 
 def reload_staging(df: DataFrame, path: str) -> DataFrame:

@@ -4,9 +4,9 @@ Only the bytes are decoded in Python (one task per file, rows streamed out in
 batches). What the cells mean is decided downstream by DataFrame operators.
 """
 
-import io
 import posixpath
 import zipfile
+from collections.abc import Callable
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -49,8 +49,9 @@ def _shared_texts(book: zipfile.ZipFile) -> list[str]:
     return texts
 
 
-def _sheets(book: zipfile.ZipFile):
+def _sheets(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     """(sheet name, part name) in workbook order."""
+    listed = []
     links = {
         node.attrib["Id"]: posixpath.normpath(posixpath.join("/xl", node.attrib["Target"]))[1:]
         for node in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
@@ -58,7 +59,8 @@ def _sheets(book: zipfile.ZipFile):
     for node in ElementTree.fromstring(book.read("xl/workbook.xml")).iter():
         if _local(node.tag) == "sheet":
             link = next(v for k, v in node.attrib.items() if _local(k) == "id")
-            yield node.attrib["name"], links[link]
+            listed.append((node.attrib["name"], links[link]))
+    return listed
 
 
 def _column_index(reference: str) -> int:
@@ -101,13 +103,17 @@ def _sheet_rows(part, shared: list[str]):
         node.clear()
 
 
-def _decode(batches):
+def _decode(batches, choose: Callable[[list[str]], list[str]]):
     for batch in batches:
         for path, content in zip(batch["path"].to_pylist(), batch["content"]):
             name = posixpath.basename(path)
-            with zipfile.ZipFile(io.BytesIO(content.as_py())) as book:
-                shared = _shared_texts(book)
-                for at, (sheet, part_name) in enumerate(_sheets(book)):
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as book:
+                listed = _sheets(book)
+                wanted = set(choose([sheet for sheet, _ in listed]))
+                shared = _shared_texts(book) if wanted else []
+                for at, (sheet, part_name) in enumerate(listed):
+                    if sheet not in wanted:
+                        continue
                     with book.open(part_name) as part:
                         kept = []
                         for number, cells in _sheet_rows(part, shared):
@@ -126,10 +132,24 @@ def _batch(rows):
     )
 
 
-def workbook_grid(workbooks: DataFrame, sheets: list[str] | None = None) -> DataFrame:
-    """The cell grid of workbooks given as (path, content)."""
-    grid = workbooks.select("path", "content").mapInArrow(_decode, CELL_GRID)
-    return grid.filter(F.col("sheet").isin(sheets)) if sheets else grid
+def workbook_grid(
+    workbooks: DataFrame,
+    sheets: list[str] | None = None,
+    choose: Callable[[list[str]], list[str]] | None = None,
+) -> DataFrame:
+    """The cell grid of workbooks given as (path, content).
+
+    Only the wanted sheets are decoded: those in ``sheets``, or what ``choose`` takes of a
+    workbook's sheet names. A workbook is one value, so it is below 2 GB; its bytes are
+    read in place.
+    """
+
+    def pick(names: list[str]) -> list[str]:
+        if choose:
+            return choose(names)
+        return [name for name in names if not sheets or name in sheets]
+
+    return workbooks.select("path", "content").mapInArrow(lambda batches: _decode(batches, pick), CELL_GRID)
 
 
 def read_workbooks(
@@ -138,6 +158,7 @@ def read_workbooks(
     name_glob: str = "*.xlsx",
     sheets: list[str] | None = None,
     skip_names: list[str] | None = None,
+    choose: Callable[[list[str]], list[str]] | None = None,
 ) -> DataFrame:
     """The cell grid of the workbooks whose name fits and matches none of ``skip_names``.
 
@@ -145,8 +166,8 @@ def read_workbooks(
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(path)
     for pattern in skip_names or []:
-        files = files.filter(~F.col("path").rlike(pattern))
-    return workbook_grid(files, sheets)
+        files = files.filter(~F.col("_metadata.file_path").rlike(pattern))  # before any byte is read
+    return workbook_grid(files, sheets, choose)
 
 
 def missing_sheets(grid: DataFrame, expected: list[str]) -> DataFrame:

@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from seriesmart.sources.tables import upsert_published, upsert_years
+from seriesmart.sources.delimited import text_layout, typed
+from seriesmart.sources.tables import upsert_published
 
 
 def ingest_new_files(
@@ -18,28 +19,29 @@ def ingest_new_files(
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     order: list[str] | None = None,
     files_per_batch: int | None = None,
-    by_year: bool = False,
 ) -> int:
     """Upsert the files that arrived since the last run; returns the number of batches.
 
     The checkpoint remembers loaded files, so a second run reads nothing. Should
     a run die after the upsert but before the checkpoint is committed, the batch
     is loaded again, and the upsert leaves the same table. Within a batch the
-    newest file wins a key unless ``order`` says otherwise. With ``by_year`` the
-    table at ``root`` has no versions, and each batch rewrites only its years.
+    newest file wins a key unless ``order`` says otherwise. Each batch rewrites only
+    its years. A file whose header differs from the layout, or with text that its
+    type cannot hold, stops the stream; the table stays as it was.
     """
-    reader = spark.readStream.schema(layout).option("header", True).option("escape", '"')
+    reader = spark.readStream.schema(text_layout(layout)).option("header", True).option("escape", '"')
+    reader = reader.option("enforceSchema", False)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     arrived = F.col("_metadata.file_modification_time").alias("file_time")
     incoming = reader.csv(source).select("*", arrived, F.col("_metadata.file_name").alias("file_name"))
+    full = StructType([*layout.fields, *incoming.select("file_time", "file_name").schema.fields])
 
     loaded = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = prepare(batch)
-        load_batch = upsert_years if by_year else upsert_published
-        load_batch(batch.sparkSession, root, rows, keys, order or ["file_time", "file_name"])
+        rows = prepare(typed(batch.withColumn("file_time", F.col("file_time").cast("string")), full))
+        upsert_published(batch.sparkSession, root, rows, keys, order or ["file_time", "file_name"])
         loaded.append(batch_id)
 
     query = (

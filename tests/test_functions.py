@@ -10,9 +10,9 @@ def evaluate(spark, make, values, kind="string"):
 
 
 def test_safe_double_takes_plain_decimal_text_only(spark):
-    texts = ["1", " 2.5 ", "-.5", "3.", "1e3", "", "..", "nan", "inf", "1d", "0x1p3", "1,5", None, "1e999", " 7"]
+    texts = ["1", " 2.5 ", "-.5", "3.", "1e3", "", "..", "nan", "inf", "1d", "0x1p3", "1,5", None, "0e100", " 7", "1E+005", "1e100", "2e-300"]
     assert evaluate(spark, numbers.safe_double, texts) == [
-        1.0, 2.5, -0.5, 3.0, 1000.0, None, None, None, None, None, None, None, None, None, 7.0,
+        1.0, 2.5, -0.5, 3.0, 1000.0, None, None, None, None, None, None, None, None, 0.0, 7.0, 100000.0, 1e100, 2e-300,
     ]
 
 

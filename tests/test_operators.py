@@ -120,24 +120,12 @@ def test_fan_out_makes_one_row_per_member(spark):
     assert as_tuples(lookup.fan_out(rows, members, "GEO"), "id", "v") == [(1, 10), (2, 10), (3, 20)]
 
 
-def test_spread_lookup_gives_the_same_rows(spark):
-    rows = spark.range(0, 1000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).alias("k"))
-    table = spark.createDataFrame([(k, f"n{k}") for k in range(6)], "k INT, name STRING")
-    for how in ("inner", "left"):
-        plain = lookup.lookup(rows, table, ["k"], how)
-        spread = lookup.lookup(rows, table, ["k"], how, spread=5, salt_by=["id"])
-        assert as_tuples(plain, "id", "k", "name") == as_tuples(spread, "id", "k", "name")
-
-
 def test_missing_ids_drop_or_fail(spark):
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "name STRING, v INT")
     ids = spark.createDataFrame([("a", 7)], "name STRING, id INT")
     assert as_tuples(lookup.add_ids(rows, ids, ["name"], "id"), "id", "v") == [(7, 1)]
     with pytest.raises(Exception, match="no id for: b"):
         lookup.add_ids(rows, ids, ["name"], "id", on_missing="fail").collect()
-    with pytest.raises(ValueError, match="no dimension row"):
-        lookup.require_references(rows, ids, ["name"])
-    lookup.require_references(rows.filter("v = 1"), ids, ["name"])
 
 
 def test_numbers_are_dense_and_stable(spark):

@@ -2,13 +2,13 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from seriesmart import checks
 from seriesmart.checks import aggregates
 from seriesmart.plans import questions
-from seriesmart.plans.trade import table, trade_facts
+from seriesmart.plans.trade import stored_trade_mart, table, trade_facts
 from seriesmart.sources import tables
 
-QUERIES = entry.queries()
+QUERIES = checks.all_queries()
 # Queries whose call itself writes and reads files; their plans are only final reads.
 LAZY = [name for name in QUERIES if name not in ("X1_incremental_ingest", "L5_load_in_order")]
 
@@ -49,11 +49,22 @@ def test_coverage_reads_each_fact_source_once(spark, folder):
     assert len(scans) == 1 and "l_extendedprice" not in scans[0]
 
 
-def test_best_documents_are_picked_before_the_shuffle(spark, folder):
-    lines = plan(QUERIES["V1_nearest_documents"](spark, folder)).splitlines()
-    partial = next(i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Partial" in line)
-    exchange = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(query_id" in line)
-    assert exchange < partial  # deeper in the tree, so earlier in time
+def test_documents_are_read_once_and_never_paired_with_queries_in_rows(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    documents, queries = vectors.selectExpr("vec_id as doc_id", "embedding"), vectors.selectExpr("vec_id as query_id", "embedding")
+    text = plan(questions.nearest_documents(documents, queries, 3))
+    lines = text.splitlines()
+    search = next(i for i, line in enumerate(lines) if "MapInArrow" in line)
+    assert text.count("FileScan") == 2 and "Join" not in text
+    assert sum("Sort" in line for line in lines[search:]) == 1  # what is sent in, by part
+    assert not any("explode(" in line and "embedding" in line.split("explode(")[1][:40] for line in lines)
+
+
+def test_a_question_prunes_to_its_years(spark, folder, tmp_path):
+    mart = stored_trade_mart(spark, folder, str(tmp_path))
+    text = plan(questions.value_of(mart, "Order value - 2-HIGH", "NATION_7", 1998))
+    filters = text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "year" in filters and "1998" in filters
 
 
 def test_latest_rows_are_reduced_before_the_shuffle(spark, folder):

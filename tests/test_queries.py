@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, spark_rows, sql_rows
+from seriesmart import checks
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = checks.all_queries(), checks.all_sql()
 
 
 @pytest.fixture(scope="module")

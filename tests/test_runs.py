@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from builders import archive_bytes, as_tuples, workbook_bytes
 from seriesmart import fixed_values as fixed
 from seriesmart.plans import questions, runs
-from seriesmart.plans.loads import load
-from seriesmart.sources.tables import publish, read_published
+from seriesmart.plans.loads import LoadProblems, load
+from seriesmart.sources.tables import publish, read_published, versions
 
 
 def put(path, content, at):
@@ -116,6 +116,48 @@ def test_refresh_loads_what_it_can_and_reports_the_rest(spark, folders, tmp_path
     assert read_published(spark, f"{mart}/fact_monthly").count() == 1
 
 
+def test_a_lazily_failing_source_does_not_stop_its_table(spark, tmp_path):
+    layout = "geography_id INT, date_id INT, indicator_id INT, value STRING"
+    good = spark.createDataFrame([(1, 202001, 1, "1.5")], layout)
+    bad = good.withColumn("value", F.raise_error(F.lit("no such place")).cast("string"))
+    with pytest.raises(LoadProblems) as raised:
+        load(spark, str(tmp_path), [("cpi_cma", good), ("credit_trends", bad)])
+    assert raised.value.versions == {"fact_monthly": 1} and "credit_trends failed" in str(raised.value.exceptions[0])
+    assert read_published(spark, f"{tmp_path}/fact_monthly").count() == 1
+
+
+def test_an_unknown_workbook_does_not_stop_the_known_ones(spark, folders, tmp_path):
+    raw, books = folders
+    mixed, mart = tmp_path / "books", str(tmp_path / "mart")
+    survey = {"CSD": {1: ["Vacancy rates"], 4: ["ON", "Toronto", "Total", "Total", 1.5]}}
+    put(mixed / "2023_vacancy.xlsx", workbook_bytes(survey), 0)
+    put(mixed / "2023_other.xlsx", workbook_bytes({"Notes": {1: ["nothing"]}}), 0)
+    with pytest.raises(ExceptionGroup, match="some sources failed") as raised:
+        runs.refresh(spark, raw, str(mixed), mart, sources=["rental_survey"])
+    assert "2023_other.xlsx" in str(raised.value.exceptions[0])
+    assert read_published(spark, f"{mart}/fact_monthly").count() == 1
+
+
+def test_years_exports_scratch_and_given_dimensions(spark, folders, tmp_path):
+    raw, books = folders
+    mart, exports, scratch = (str(tmp_path / name) for name in ("mart", "exports", "scratch"))
+    runs.refresh(
+        spark, raw, books, mart, dims=runs.published_dims(spark), sources=["nhpi", "mortgage_rates", "median_income"],
+        years=(2000, 2030), exports=exports, day="2024-05-06", scratch_root=scratch,
+    )
+    opened = runs.open_mart(spark, mart)
+    assert opened.monthly.agg(F.min("date_id")).first()[0] == 202501  # the prices of 1981 are left out
+    income = questions.annual_rows(opened.income, opened, ["Toronto"], income_source="Wages").first()
+    assert (income.year, float(income.median_income)) == (2019, 50000.0)
+    ranked = questions.rank_incomes(opened.income, opened, "avg_income", 3, income_source="Wages").collect()
+    assert [(r.position, r.cma_name, float(r.value)) for r in ranked] == [(1, "Toronto", 60000.0)]
+    assert opened.tenure.count() == 0
+    assert sorted(os.listdir(exports)) == ["median_income", "mortgage_rates", "nhpi"]
+    assert os.listdir(f"{exports}/nhpi") == ["2024-05-06"]
+    assert not os.path.exists(scratch) or os.listdir(scratch) == []
+    assert versions(spark, f"{mart}/fact_monthly") == [1]
+
+
 def test_a_failing_table_does_not_stop_the_others(spark, tmp_path):
     bad = spark.createDataFrame([(1, 202001, 1, "1e99")], "geography_id INT, date_id INT, indicator_id INT, value STRING")
     tenure = spark.createDataFrame([(1, 202000, "Owner", 1.0, 2.0)], "geography_id INT, date_id INT, tenure STRING, median_income DOUBLE, avg_income DOUBLE")

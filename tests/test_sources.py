@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from builders import archive_bytes, as_tuples, workbook_bytes
 from seriesmart import schemas
+from seriesmart.plans import grids
 from seriesmart.sources import archives, delimited, snapshots, tables, workbooks
+from seriesmart.sources.scratch import Scratch, fresh_folder
 from seriesmart.streaming.incremental import ingest_new_files
 
 FACT = schemas.staging(schemas.FACT_MONTHLY)
@@ -122,25 +124,63 @@ def test_published_versions(spark, tmp_path):
 def test_unpublished_leftovers_are_not_read(spark, tmp_path):
     root = str(tmp_path / "mart")
     tables.publish(spark, facts(spark, [(1, 202001, 1, 1.0)]), root)
-    tables.write_facts(facts(spark, [(9, 202001, 9, 9.0)]), f"{root}/v2")  # a run that died before its pointer
+    tables._write_years(facts(spark, [(9, 202001, 9, 9.0)]), root)  # a run that died before its manifest
     assert [r.geography_id for r in tables.read_published(spark, root).collect()] == [1]
     tables.publish(spark, facts(spark, [(2, 202001, 1, 1.0)]), root)
     assert [r.geography_id for r in tables.read_published(spark, root).collect()] == [2]
 
 
-def test_upsert_years_touches_only_its_years(spark, tmp_path):
-    path = str(tmp_path / "fact")
+def files_below(path):
+    return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_an_upsert_rewrites_only_the_years_it_touches(spark, tmp_path):
+    root = str(tmp_path / "fact")
     start = facts(spark, [(1, 202001, 1, 1.0), (1, 202101, 1, 2.0), (2, 202101, 1, 2.5)])
-    tables.write_facts(start.withColumn("loaded_at", F.current_timestamp()), path)
-    untouched = {f: os.stat(os.path.join(path, "year=2020", f)).st_mtime for f in os.listdir(f"{path}/year=2020")}
-    time.sleep(0.01)
+    tables.upsert_published(spark, root, start, schemas.MONTHLY_KEY)
+    first = files_below(root)
     batch = facts(spark, [(1, 202101, 1, 9.0), (1, 202205, 1, 3.0)])
-    assert tables.upsert_years(spark, path, batch, schemas.MONTHLY_KEY) == [2021, 2022]
-    rows = spark.read.parquet(path).orderBy("date_id", "geography_id").collect()
+    tables.upsert_published(spark, root, batch, schemas.MONTHLY_KEY)
+    rows = tables.read_published(spark, root).orderBy("date_id", "geography_id").collect()
     assert [(r.geography_id, r.date_id, float(r.value)) for r in rows] == [
         (1, 202001, 1.0), (1, 202101, 9.0), (2, 202101, 2.5), (1, 202205, 3.0),
     ]
-    assert untouched == {f: os.stat(os.path.join(path, "year=2020", f)).st_mtime for f in os.listdir(f"{path}/year=2020")}
+    fresh = files_below(root) - first
+    assert fresh and all("year=2021" in f or "year=2022" in f for f in fresh)
+    tables.upsert_published(spark, root, facts(spark, [(1, 202205, 1, 4.0)]), schemas.MONTHLY_KEY)
+    held = files_below(root)
+    assert not any(f in held for f in first if "year=2021" in f)  # two versions back, and not named any more
+    assert any(f in held for f in first if "year=2020" in f)
+    assert tables.versions(spark, root) == [2, 3]
+
+
+def test_of_two_writers_one_fails(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "fact")
+    tables.upsert_published(spark, root, facts(spark, [(1, 202001, 1, 1.0)]), schemas.MONTHLY_KEY)
+    late = tables._write_years
+
+    def overtaken(df, where):
+        monkeypatch.setattr(tables, "_write_years", late)
+        tables.upsert_published(spark, root, facts(spark, [(2, 202001, 1, 2.0)]), schemas.MONTHLY_KEY)
+        return late(df, where)
+
+    monkeypatch.setattr(tables, "_write_years", overtaken)
+    with pytest.raises(tables.VersionTaken):
+        tables.upsert_published(spark, root, facts(spark, [(3, 202001, 1, 3.0)]), schemas.MONTHLY_KEY)
+    assert sorted(r.geography_id for r in tables.read_published(spark, root).collect()) == [1, 2]
+
+
+def test_impossible_dates_fail(spark, tmp_path):
+    for date_id in (20, None, 999_901):
+        with pytest.raises(ValueError, match="dates of the batch"):
+            tables.upsert_published(spark, str(tmp_path / "x"), facts(spark, [(1, date_id, 1, 1.0)]), schemas.MONTHLY_KEY)
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    with Scratch(spark, "run", str(tmp_path)) as scratch:
+        assert scratch.stage(spark.range(3), "rows").count() == 3
+        assert os.listdir(tmp_path)
+    assert os.listdir(tmp_path) == []
 
 
 def test_finer_partitions_are_pruned_by_indicator(spark, tmp_path):
@@ -154,19 +194,16 @@ def test_finer_partitions_are_pruned_by_indicator(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir")
-    assert tables.fresh_folder(spark, "x").startswith(named)
-    assert tables.fresh_folder(spark, "x") != tables.fresh_folder(spark, "x")
+    assert fresh_folder(spark, "x").startswith(named)
+    assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
 
 
-@pytest.mark.parametrize("by_year", [False, True])
-def test_incremental_ingest_loads_each_file_once(spark, tmp_path, by_year):
+def test_incremental_ingest_loads_each_file_once(spark, tmp_path):
     drop, root, progress = tmp_path / "drop", str(tmp_path / "mart"), str(tmp_path / "progress")
     drop.mkdir()
 
     def run():
-        return ingest_new_files(
-            spark, str(drop), FACT, root, schemas.MONTHLY_KEY, progress, files_per_batch=1, by_year=by_year
-        )
+        return ingest_new_files(spark, str(drop), FACT, root, schemas.MONTHLY_KEY, progress, files_per_batch=1)
 
     (drop / "a.csv").write_text("geography_id,date_id,indicator_id,value\n1,202001,1,1.0\n2,202001,1,2.0\n")
     assert run() == 1
@@ -174,6 +211,49 @@ def test_incremental_ingest_loads_each_file_once(spark, tmp_path, by_year):
     time.sleep(0.05)
     (drop / "b.csv").write_text("geography_id,date_id,indicator_id,value\n2,202001,1,5.0\n3,202001,1,3.0\n")
     assert run() == 1
-    table = spark.read.parquet(root) if by_year else tables.read_published(spark, root)
-    rows = table.orderBy("geography_id").collect()
-    assert [(r.geography_id, float(r.value)) for r in rows] == [(1, 1.0), (2, 5.0), (3, 3.0)]
+
+    def held():
+        rows = tables.read_published(spark, root).orderBy("geography_id").collect()
+        return [(r.geography_id, float(r.value)) for r in rows]
+
+    assert held() == [(1, 1.0), (2, 5.0), (3, 3.0)]
+    time.sleep(0.05)
+    for bad in (
+        "geography_id,date_id,indicator_id,value\n2,202001,1,oops\n",
+        "date_id,geography_id,indicator_id,value\n202001,2,1,7.0\n",
+    ):
+        (drop / "c.csv").write_text(bad)
+        with pytest.raises(Exception):
+            run()
+        assert held() == [(1, 1.0), (2, 5.0), (3, 3.0)]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "2020_a.csv").write_text("month,rate,year,term\n3,1.5,2021,1 year\n")
+    records = delimited.read_records(spark, str(tmp_path), schemas.RATE_RECORD).first()
+    assert (records.year, records.month, records.term, records.rate) == (2021, 3, "1 year", 1.5)
+    row = delimited.read_yearly(spark, str(tmp_path), schemas.RATE_RECORD).first()
+    assert (row.year, row.month, row.rate, row.file_year) == (2021, 3, 1.5, 2020)
+    (tmp_path / "2021_b.csv").write_text("year,month,term,rate\n2022,4,2 year,2.5\n")
+    with pytest.raises(Exception):
+        delimited.read_records(spark, str(tmp_path), schemas.RATE_RECORD).collect()
+
+
+def test_the_newest_snapshot_is_read_whole(spark, tmp_path):
+    old = spark.createDataFrame([(i, "old") for i in range(4)], "k INT, v STRING")
+    new = spark.createDataFrame([(i, "new") for i in range(9)], "k INT, v STRING").repartition(3)
+    delimited.export_snapshot(old, str(tmp_path), "cpi", "2024-01-01")
+    time.sleep(0.05)
+    path = delimited.export_snapshot(new, str(tmp_path), "cpi", "2024-02-01")
+    found = snapshots.newest_snapshot(spark, f"{tmp_path}/cpi")
+    assert found.endswith("cpi/2024-02-01") and path.endswith("cpi/2024-02-01")
+    assert delimited.read_text_table(spark, found, ["v"]).distinct().collect()[0].v == "new"
+    assert delimited.read_text_table(spark, found).count() == 9
+
+
+def test_only_wanted_sheets_are_decoded(spark):
+    sheets = {"Notes": {1: ["n"]}, "CSD 1": {1: ["a"]}, "CSD 2": {1: ["b"]}}
+    books = spark.createDataFrame([("x/a.xlsx", workbook_bytes(sheets))], "path STRING, content BINARY")
+    assert [r.sheet for r in workbooks.workbook_grid(books, ["CSD 2"]).collect()] == ["CSD 2"]
+    chosen = workbooks.workbook_grid(books, choose=grids.survey_choice).collect()
+    assert [(r.sheet, r.sheet_idx) for r in chosen] == [("CSD 1", 1)]
