@@ -9,14 +9,27 @@ import zipfile
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from seriesmart.checks.base import check, number, order_text, published, rate_grid
+from seriesmart import fixed_values as fixed
+from seriesmart.checks.base import (
+    CHECKS,
+    check,
+    number,
+    order_text,
+    published,
+    quoted,
+    rate_grid,
+    regional_raw,
+    sql_list,
+)
 from seriesmart.checks.dimensions import UPSERT_SQL, plain
 from seriesmart.checks.transforms import target_and_batch
 from seriesmart.functions import numbers, text
 from seriesmart.operators import lookup
 from seriesmart.operators.reshape import cell
 from seriesmart.operators.upsert import as_layout, latest_per_key, union_all
+from seriesmart.plans import availability, runs, series
 from seriesmart.plans.grids import rate_records
+from seriesmart.plans.loads import load
 from seriesmart.plans.trade import table, trade_facts, trade_geography, trade_indicators
 from seriesmart.schemas import FACT_MONTHLY, MONTHLY_KEY, RATE_RECORD, staging
 from seriesmart.sources import archives, delimited, snapshots, tables, workbooks
@@ -232,6 +245,85 @@ def typed_table(spark, folder):
     return plain(tables.read_published(spark, root))
 
 
+# Published-style columns under the names that each downloaded table has.
+DOWNLOADED = {
+    "cpi_cma": {"product": series.CPI.label_column},
+    "gasoline_prices": {"fuel": series.GASOLINE.label_column},
+    "nhpi": {"house_index": series.HOUSE_PRICES.label_column},
+}
+
+
+def downloaded(spark, folder, root):
+    """The published-style tables as files, each in the folder of its number."""
+    rows = published(spark, folder)
+    frames = {name: rows.withColumnsRenamed(renamed) for name, renamed in DOWNLOADED.items()}
+    frames["food_prices"] = regional_raw(rows)
+    frames["median_income"] = rows.drop("REF_DATE").withColumnRenamed("REF_YEAR", "REF_DATE").sort("row_order")
+    for name, frame in frames.items():
+        delimited.export_snapshot(frame, root, fixed.TABLE_NUMBERS[name], "2024-01-02")
+    return list(frames)
+
+
+REFRESHED_SQL = f"""
+    SELECT geography_id, date_id, indicator_id, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY geography_id, date_id, indicator_id
+            ORDER BY load_no DESC, value DESC) AS rn
+        FROM (SELECT 0 AS load_no, geography_id, date_id, indicator_id, value FROM cpi
+            UNION ALL SELECT 1, * FROM ({CHECKS["E2_gasoline_prices"].sql})
+            UNION ALL SELECT 2, * FROM ({CHECKS["E3_food_prices"].sql})
+            UNION ALL SELECT 3, geography_id, date_id, indicator_id, value FROM nhpi)
+        WHERE date_id BETWEEN 199600 AND 199912) WHERE rn = 1"""
+
+
+@check("X2_refresh_from_files", REFRESHED_SQL)
+def refresh_from_files(spark, folder):
+    """Files in, a published mart out, opened again; for a span of years."""
+    base = fresh_folder(spark, "refresh")
+    sources = downloaded(spark, folder, f"{base}/raw")
+    runs.refresh(spark, f"{base}/raw", f"{base}/books", f"{base}/mart", sources=sources, years=(1996, 1999))
+    return plain(runs.open_mart(spark, f"{base}/mart").monthly)
+
+
+def _family_sql():
+    named = " UNION ALL ".join(
+        f"SELECT * FROM ({CHECKS[name].sql})"
+        for name in CHECKS
+        if name[0] == "E" and name not in ("E5_annual_income", "E7_income_by_tenure")
+    )
+    rows = []
+    for family, title, names, month, grain in fixed.FAMILIES:
+        holds = f"indicator_name LIKE {quoted(names)}" if isinstance(names, str) else f"list_contains({sql_list(names)}, indicator_name)"
+        if month is not None:
+            holds += f" AND date_id % 100 = {month}"
+        rows.append(
+            f"SELECT {quoted(family)} AS family, {quoted(title)} AS title, {quoted(grain)} AS grain, "
+            f"min(date_id // 100) AS low, max(date_id // 100) AS high FROM named WHERE {holds}"
+        )
+    family, title, grain = map(quoted, fixed.INCOME_FAMILY)
+    rows.append(f"SELECT {family}, {title}, {grain}, min(date_id // 100), max(date_id // 100) FROM income")
+    return f""", named AS (SELECT indicator_name, date_id FROM ({named}) JOIN dim_indicator USING (indicator_id))
+    SELECT family, coalesce(CAST(low AS VARCHAR), '(no data)') AS min_year,
+        coalesce(CAST(high AS VARCHAR), '(no data)') AS max_year,
+        title || ': ' || coalesce(CAST(low AS VARCHAR), '(no data)') || '–'
+            || coalesce(CAST(high AS VARCHAR), '(no data)') || ' ' || grain AS line
+    FROM ({" UNION ALL ".join(rows)})"""
+
+
+@check("Q13_nine_families", _family_sql())
+def nine_families(spark, folder):
+    """The report over a mart that was loaded from the transforms of all sources."""
+    root = fresh_folder(spark, "mart")
+    runs.stored_dims(spark, root)
+    sources = {
+        "cpi_cma": "E1_consumer_prices", "gasoline_prices": "E2_gasoline_prices", "food_prices": "E3_food_prices",
+        "nhpi": "E4_house_prices", "median_income": "E5_annual_income", "rental_survey": "E6_rental_survey",
+        "mortgage_rates": "E8_mortgage_rates", "credit_trends": "E9_credit_trends",
+    }
+    load(spark, root, [(source, CHECKS[name].run(spark, folder)) for source, name in sources.items()])
+    runs.publish_calendar(spark, root)
+    return availability.mart_report(runs.open_mart(spark, root))
+
+
 @check("X1_incremental_ingest", UPSERT_SQL)
 def incremental_ingest(spark, folder):
     base = fresh_folder(spark, "ingest")

@@ -90,6 +90,12 @@ def availability_report(years: DataFrame) -> DataFrame:
     )
 
 
+def mart_report(mart) -> DataFrame:
+    """The nine published families over an opened mart: one scan of the monthly fact, one of incomes."""
+    years = family_years(mart.monthly, mart.indicators, mart.calendar, PUBLISHED_FAMILIES)
+    return availability_report(years.unionByName(annual_years(mart.income, *fixed.INCOME_FAMILY)))
+
+
 def indicator_years(facts: DataFrame, dim_indicator: DataFrame) -> DataFrame:
     """(indicator_name, min_year, max_year) of every indicator; NULL years when it has no facts."""
     year = periods.year_of(F.col("date_id"))
