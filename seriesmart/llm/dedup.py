@@ -121,13 +121,13 @@ def sizes_allow(n, m):
     return F.least(n, m) * SIMILAR[1] >= F.greatest(n, m) * SIMILAR[0]
 
 
-def _sketches(docs: DataFrame, row: str | None) -> DataFrame:
+def _sketches(docs: DataFrame, row: str | None, width: int) -> DataFrame:
     def run(batches):
         hashes = WordHashes()
         for batch in slices(batches, BATCH_BYTES):
             sizes, digests, sketches = [], [], []
             for text in texts(batch):
-                found = shingles(text, hashes)
+                found = shingles(text, hashes, width)
                 sizes.append(len(found))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 sketches.append(registers(found).tobytes() if len(found) else None)
@@ -159,13 +159,13 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "n", "registers").mapInArrow(run, "key long, rep long, n int")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``rep, n, registers, shingles`` of the wanted classes, from their whole texts."""
 
     def run(batches):
         hashes = WordHashes()
         for batch in slices(batches, BATCH_BYTES):
-            found = [shingles(text, hashes) for text in texts(batch)]
+            found = [shingles(text, hashes, width) for text in texts(batch)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -228,12 +228,14 @@ def _tile(column: str, n_tiles: str):
     return F.pmod(F.xxhash64(F.lit("tile"), column), F.col(n_tiles))
 
 
-def near_duplicates(docs: DataFrame, root: str | None = None, row: str | None = None) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, width: int = 5, root: str | None = None, row: str | None = None
+) -> DataFrame:
     """``row, doc_id, n_shingles, component_id, kept`` for every document.
 
-    A document's set are the distinct pairs of successive words of its lower-cased text; one
-    word is a set of one; a null text or one without words has an empty set and is linked with
-    nothing. Two documents are linked if 100 * intersection >= 80 * union; a component's id
+    A document's set are the distinct runs of ``width`` successive words of its lower-cased text,
+    or its whole sequence if that is shorter; a null text or one without words has an empty set
+    and is linked with nothing. Two documents are linked if 100 * intersection >= 80 * union; a component's id
     is its smallest doc_id, and the document that bears it is kept. Rows with equal sets
     are one class throughout. A null doc_id takes part but cannot be an id; a component of
     nulls only has a null id and is not kept. Only ``doc_id`` and ``text`` are read.
@@ -247,7 +249,7 @@ def near_duplicates(docs: DataFrame, root: str | None = None, row: str | None =
     written but links.
     """
     scratch = Scratch(docs.sparkSession, "dedup", root)
-    sketches = scratch.stage(_sketches(docs, row), "sketches")
+    sketches = scratch.stage(_sketches(docs, row, width), "sketches")
     known = sketches.filter("n > 0")
     found = known.groupBy("digest").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least_doc"))
     members = known.select("row", "doc_id", "digest")
@@ -266,7 +268,7 @@ def near_duplicates(docs: DataFrame, root: str | None = None, row: str | None =
     )
     shared = scratch.stage(bands.join(hubs, "key"), "shared")
     wanted = classes.join(shared.select("rep").distinct(), "rep", "left_semi").drop("least_doc")
-    sets = scratch.stage(_sets(docs, wanted), "sets")
+    sets = scratch.stage(_sets(docs, wanted, width), "sets")
 
     # First every member beside the first one of its bucket.
     beside = shared.filter((F.col("rep") != F.col("hub")) & sizes_allow(F.col("n"), F.col("hub_n"))).select(
@@ -331,7 +333,7 @@ def near_duplicates(docs: DataFrame, root: str | None = None, row: str | None =
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def distinct_documents(docs: DataFrame, root: str | None = None) -> DataFrame:
+def distinct_documents(docs: DataFrame, width: int = 5, root: str | None = None) -> DataFrame:
     """The documents without near-copies, with all their columns.
 
     Of each component one document stays, of repeated rows with the kept id one. Documents
@@ -339,7 +341,7 @@ def distinct_documents(docs: DataFrame, root: str | None = None) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "dedup-documents", root)
     numbered = scratch.stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "documents", codec="zstd")
-    judged = scratch.stage(near_duplicates(numbered, root, ROW), "judged")
+    judged = scratch.stage(near_duplicates(numbered, width, root, ROW), "judged")
     single = judged.filter("n_shingles > 0").groupBy("component_id").agg(
         F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias(ROW)
     )

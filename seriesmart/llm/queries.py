@@ -23,7 +23,7 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    found = dedup.near_duplicates(table(spark, folder, "documents"))
+    found = dedup.near_duplicates(table(spark, folder, "documents"), width=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 

@@ -1,17 +1,19 @@
 import numpy as np
+import pytest
 from odd import empty_docs, frame, mutated, odd_docs, odd_texts, rows_of, words
 from seriesmart.llm import dedup
 from seriesmart.llm.components import components
 from seriesmart.sources.scratch import Scratch
 
 
-def shingle_set(text):
+def shingle_set(text, width):
     found = (text or "").encode().lower().split()
-    return frozenset(zip(found, found[1:])) if len(found) > 1 else frozenset(tuple([w]) for w in found)
+    width = min(width, len(found))
+    return frozenset(tuple(found[at : at + width]) for at in range(len(found) - width + 1)) if found else frozenset()
 
 
-def brute_components(rows):
-    sets, parent = [shingle_set(t) for _, t, *_ in rows], list(range(len(rows)))
+def brute_components(rows, width=2):
+    sets, parent = [shingle_set(t, width) for _, t, *_ in rows], list(range(len(rows)))
 
     def root(i):
         while parent[i] != i:
@@ -34,16 +36,17 @@ def key(row):
     return tuple((v is None, v or 0) for v in row)
 
 
-def check(spark, rows):
-    got = rows_of(dedup.near_duplicates(frame(spark, rows)))
+def check(spark, rows, width=2):
+    got = rows_of(dedup.near_duplicates(frame(spark, rows), width))
     found = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got]
-    assert sorted(found, key=key) == sorted(brute_components(rows), key=key)
+    assert sorted(found, key=key) == sorted(brute_components(rows, width), key=key)
     assert all(r["kept"] == (r["doc_id"] is not None and r["doc_id"] == r["component_id"]) for r in got)
     return got
 
 
-def test_odd_documents(spark):
-    check(spark, odd_texts())
+@pytest.mark.parametrize("width", [2, 5])
+def test_odd_documents(spark, width):
+    check(spark, odd_texts(), width)
 
 
 def test_chains_and_members_far_from_the_first_of_their_bucket(spark):
@@ -61,8 +64,8 @@ def test_distinct_documents_keep_one_of_each_group(spark):
     got = dedup.distinct_documents(docs)
     assert got.columns == docs.columns
     rows = odd_texts()
-    groups = {c for (_, n, c) in brute_components(rows) if n}
-    empty = sum(1 for _, t, *_ in rows if not shingle_set(t))
+    groups = {c for (_, n, c) in brute_components(rows, 5) if n}
+    empty = sum(1 for _, t, *_ in rows if not shingle_set(t, 5))
     assert got.count() == len(groups) + empty
 
 
