@@ -8,7 +8,8 @@ PREFIX_DIGITS = 3  # 16**3 buckets
 def number_rows(df: DataFrame, keys: list[str], id_column: str, after=None) -> DataFrame:
     """Number the rows 1, 2, ... in the order of the MD5 digest of their key.
 
-    ``keys`` is unique in ``df``. The digest spreads the keys evenly over 4096
+    ``keys`` is unique in ``df``, a dimension: ids are INT and fail above 2**31, and each
+    task sorts 1/4096 of the rows. The digest spreads the keys evenly over 4096
     buckets; rows are numbered inside their bucket, and the start of each bucket
     comes from the bucket sizes, a table of at most 4096 rows (hence the hint).
     ``after`` is a Column with the highest number already given.
