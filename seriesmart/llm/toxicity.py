@@ -11,8 +11,8 @@ from seriesmart.llm.common import fold, slices, texts
 from seriesmart.llm.labelled import labelled_sample, logistic, probability
 
 FOLDS, HELD_OUT = 3, 1
-SHARED_DISCOUNT = 0.75
 CLASS_DISCOUNT = 2.0  # counts in one class up to this tell nothing; they go to the shared backoff
+PAIR_DISCOUNT = 5.0  # the same for pairs, which go to the class's words
 PER_CLASS = 5_000  # bound of the sample that fits the models
 CALIBRATION_SHARE = 5
 LEAST_COUNT = 2  # words with fewer continuations are like unknown ones
@@ -40,8 +40,10 @@ class Models:
     """Log-likelihood ratios of words and pairs that differ between the classes.
 
     ``p(w | v, class)`` interpolates discounted counts of the pair in the class with those of
-    the word, and these with the counts that both classes share, so an expression that is
-    rare in one class falls back to the same probability in both. All counts are Kneser-Ney
+    the word, and these with the counts that both classes share: what the discount took from
+    either class is pooled and given back to both. An expression that is rare in one class so
+    falls back to the same probability in both, while one that is frequent in a single class
+    does not lift the other. All counts are Kneser-Ney
     continuations, of a pair too: how many kinds of words stand in front. Copies of a
     document, which bear the same label, so count once.
     """
@@ -125,9 +127,9 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     least = [F.sum(F.least(F.col(k), F.lit(CLASS_DISCOUNT))) for k in ("k0", "k1")]
     totals = ends.agg(F.sum("k0"), F.sum("k1"), F.count("*"), *least).first()
     kept_words = ends.filter(f"k0 + k1 >= {LEAST_COUNT}").toArrow()
-    kept = F.col("n") > CLASS_DISCOUNT
+    kept = F.col("n") > PAIR_DISCOUNT
     sides = [
-        F.coalesce(F.sum(F.when(kept, c - CLASS_DISCOUNT) if s == "kept" else c), F.lit(0.0)).cast("double").alias(f"{s}{i}")
+        F.coalesce(F.sum(F.when(kept, c - PAIR_DISCOUNT) if s == "kept" else c), F.lit(0.0)).cast("double").alias(f"{s}{i}")
         for i, c in enumerate(by_class)
         for s in ("all", "kept")
     ]
@@ -143,10 +145,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     keys = column(kept_words, "word")
     place = {int(k): i + 1 for i, k in enumerate(keys)}
     continuation = np.vstack([np.zeros((1, 2)), np.stack([column(kept_words, "k0"), column(kept_words, "k1")], axis=1)])
-    both = continuation.sum(axis=1)
-    rest = SHARED_DISCOUNT * (vocabulary - 1) / vocabulary
-    shared = (np.maximum(both - SHARED_DISCOUNT, 0) + rest) / max(1.0, a.sum())
-    shared = np.maximum(shared, 1 / (max(1.0, a.sum()) * vocabulary))
+    shared = np.minimum(continuation, CLASS_DISCOUNT).sum(axis=1) / max(1.0, freed.sum())
+    shared[0] = 1 / vocabulary
     safe = np.maximum(a, 1)
     unigram = (np.maximum(continuation - CLASS_DISCOUNT, 0) + freed * shared[:, None]) / safe
     unigram[:, a == 0] = shared[:, None]
@@ -164,7 +164,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     usable = (ids > 0) & (froms > 0)
     codes, rows = np.unique(froms[usable] << 32 | ids[usable], return_inverse=True)
     discounted = np.zeros((len(codes), 2))
-    discounted[rows, label[usable]] = (n[usable] - CLASS_DISCOUNT) / np.maximum(total_of[froms[usable], label[usable]], 1)
+    discounted[rows, label[usable]] = (n[usable] - PAIR_DISCOUNT) / np.maximum(total_of[froms[usable], label[usable]], 1)
     models = Models(_by_hash(place), unigram, back, codes, discounted)
     _calibrate(models, sample.filter("calibrates").select("text", "label"))
     return models
