@@ -18,9 +18,10 @@ SCHEMA = T.StructType(
 
 
 def words(seed: int, n: int, vocabulary: int = 400) -> list[str]:
-    """Frequent words come often: a rough Zipf draw over invented words."""
+    """Frequent words come often: a rough Zipf draw over invented words of letters."""
     pick = random.Random(seed)
-    return [f"w{int(vocabulary ** pick.random())}x" for _ in range(n)]
+    named = str.maketrans("0123456789", "abcdefghij")
+    return [f"w{int(vocabulary ** pick.random())}x".translate(named) for _ in range(n)]
 
 
 def mutated(found: list[str], seed: int, changes: int) -> list[str]:
