@@ -15,6 +15,7 @@ DISCOUNT = 0.75
 SAMPLE_DOCUMENTS = 1_000  # per language; fits the models
 CALIBRATION_SHARE = 4  # one in so many sample documents calibrates instead
 TEMPERED = 0.5
+SHARES = 64
 BATCH_BYTES = 4 << 20
 BLANK = 32
 UNDETERMINED = "und"
@@ -158,12 +159,20 @@ def estimate(languages: list[str], language: np.ndarray, keys: np.ndarray, count
 
 
 def _sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """``doc_id, text, lang, calibrates`` of at most ``per_language`` documents of each language."""
+    """``doc_id, text, lang, calibrates`` of at most ``per_language`` documents of each language.
+
+    Those with the lowest hashes, first within SHARES of a language and then among what these
+    leave, so that no task gets a share of each task's candidates that grows with the table.
+    """
     mixed = F.xxhash64("doc_id", "lang")
+    share = F.pmod(F.xxhash64(F.lit("share"), "doc_id"), F.lit(SHARES))
+    in_share = Window.partitionBy("lang", "share").orderBy(mixed, "doc_id")
     order = Window.partitionBy("lang").orderBy(mixed, "doc_id")
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT))
     chosen = (
-        known.select("doc_id", "lang")
+        known.select("doc_id", "lang", share.alias("share"))
+        .withColumn("place", F.row_number().over(in_share))
+        .filter(F.col("place") <= per_language)
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= per_language)
         .select("doc_id", "lang")
