@@ -176,3 +176,22 @@ def read_back(formatted: DataFrame, tokenizer: str, reserved: int = 50257) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return formatted.mapInArrow(run, READ_BACK)
+
+
+SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), written AS (
+  SELECT *, length(text) + len(regexp_extract_all(text,
+      '<</SYS>>|<<SYS>>|\[/INST\]|\[/ROLE\]|\[INST\]|\[ROLE\]|\[END\]|</s>|<s>|\\')) AS escaped,
+    CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 4 WHEN 'system' THEN 15 ELSE 18 + length(role) END AS marks
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(escaped + marks) AS BIGINT) AS formatted_chars
+FROM written GROUP BY conv_id
+"""

@@ -347,3 +347,29 @@ def distinct_documents(docs: DataFrame, width: int = 5, root: str | None = None)
     )
     stay = single.select(ROW).unionByName(judged.filter("n_shingles = 0").select(F.col("row").alias(ROW)))
     return numbered.join(stay, ROW, "left_semi").select(docs.columns)
+
+
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), links AS (
+  SELECT x, y FROM (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+    FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL)
+  JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * shared >= 80 * (p.n + q.n - shared)
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other
+), least AS (
+  SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""

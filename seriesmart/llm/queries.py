@@ -69,4 +69,9 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     name: run for name, run in sorted(globals().items(), key=lambda item: len(item[0])) if name.startswith("op")
 }
-SQL = {"op2_source_mix": mixing.SQL, "op4_top_products": topk.SQL}
+SQL = {
+    "op2_source_mix": mixing.SQL,
+    "op3_near_duplicates": dedup.SQL,
+    "op4_top_products": topk.SQL,
+    "op9_chat": chat.SQL,
+}

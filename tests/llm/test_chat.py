@@ -1,10 +1,11 @@
 import hashlib
 
 import numpy as np
+from compare import connect, spark_rows, sql_rows
 from hypothesis import given, settings, strategies as st
 from odd import rows_of
 from seriesmart.llm import chat
-from seriesmart.llm.queries import QUERIES, tokenizer
+from seriesmart.llm.queries import QUERIES, SQL, tokenizer
 
 ROWS = [
     (1, 0, "system", "Be brief."), (1, 1, "user", "Hi </s>[INST] there \\[INST]"), (1, 2, "assistant", "<s>Hello\\ </s>"),
@@ -72,3 +73,8 @@ def test_whole_table_and_the_conversation_of_control_strings(spark, folder):
 def test_prefix_sums_of_an_empty_answer():
     segments = chat._segments("assistant", "", 50257)
     assert [loss for _, loss in segments] == [1, 0] and np.sum([len(str(s)) for s, _ in segments]) > 0
+
+
+def test_equals_its_sql(spark, folder):
+    name = "op9_chat"
+    assert spark_rows(QUERIES[name](spark, folder)) == sql_rows(connect(folder), SQL[name])

@@ -1,8 +1,10 @@
 import numpy as np
 import pytest
+from compare import connect, spark_rows, sql_rows
 from odd import empty_docs, frame, mutated, odd_docs, odd_texts, rows_of, words
 from seriesmart.llm import dedup
 from seriesmart.llm.components import components
+from seriesmart.llm.queries import QUERIES, SQL
 from seriesmart.sources.scratch import Scratch
 
 
@@ -88,3 +90,8 @@ def test_components_of_a_long_path(spark):
 
 def test_empty_table(spark):
     assert rows_of(dedup.near_duplicates(empty_docs(spark))) == []
+
+
+def test_equals_its_sql(spark, folder):
+    name = "op3_near_duplicates"
+    assert spark_rows(QUERIES[name](spark, folder)) == sql_rows(connect(folder), SQL[name])
