@@ -43,12 +43,14 @@ class Models:
     the word, and these with the counts that both classes share: what the discount took from
     either class is pooled and given back to both. An expression that is rare in one class so
     falls back to the same probability in both, while one that is frequent in a single class
-    does not lift the other. All counts are Kneser-Ney
-    continuations, of a pair too: how many kinds of words stand in front. Copies of a
-    document, which bear the same label, so count once.
+    does not lift the other. A word counts by its Kneser-Ney continuations, how many kinds of
+    words stand in front; a pair, the highest order, by the distinct texts of the class that
+    have it. So an expression tells as much if it always follows the same words, and copies of
+    a document, which bear the same label, count once.
     """
 
     index: dict[bytes, int]  # hash of a word -> place; 0 is any other word
+    start: int  # place of what comes before the first word
     unigram: np.ndarray  # (words, 2) probabilities by continuation
     back: np.ndarray  # (words, 2) weight of the unigram after a word
     pairs: np.ndarray  # sorted place of word before << 32 | place of word
@@ -58,7 +60,7 @@ class Models:
     def ratios(self, found: list[bytes]) -> np.ndarray:
         """log p(word | toxic) - log p(word | ordinary) for each word."""
         places = np.fromiter((self.index.get(w, 0) for w in found), np.int64, len(found))
-        before = np.concatenate([[0], places[:-1]])
+        before = np.concatenate([[self.start], places[:-1]])
         own = self.unigram[places] * self.back[before]
         if len(self.pairs):
             wanted = before << 32 | places
@@ -86,9 +88,9 @@ class Models:
 
 
 def _count(sample: DataFrame) -> DataFrame:
-    """``label, before, word, n``: pairs of words and their kinds of words in front.
+    """``label, before, word, n``: pairs of words and the distinct texts that have them.
 
-    0 stands for what comes before the first word.
+    0 stands for what comes before the first word. Texts of the same words are one text.
     """
 
     def run(batches):
@@ -97,25 +99,26 @@ def _count(sample: DataFrame) -> DataFrame:
             for text, label in zip(texts(batch), batch.column("label").to_pylist()):
                 keys = word_keys(words(text))
                 if len(keys):
-                    led = np.concatenate([[NO_WORD, NO_WORD], keys])
-                    parts[label].append(np.stack([led[:-2], led[1:-1], keys]))
+                    digest = np.uint64(xxhash.xxh3_64_intdigest(keys.tobytes())).view(np.int64)
+                    found = np.unique(np.stack([np.concatenate([[NO_WORD], keys[:-1]]), keys]), axis=1)
+                    parts[label].append(np.vstack([np.full(found.shape[1], digest), found]))
             for label, found in parts.items():
                 if found:
                     rows = np.hstack(found)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(rows.shape[1], label, np.int32)), *map(pa.array, rows)],
-                        names=["label", "front", "before", "word"],
+                        names=["label", "digest", "before", "word"],
                     )
 
-    triples = sample.select("text", "label").mapInArrow(run, "label int, front long, before long, word long").distinct()
-    return triples.groupBy("label", "before", "word").agg(F.count("*").alias("n"))
+    held = sample.select("text", "label").mapInArrow(run, "label int, digest long, before long, word long").distinct()
+    return held.groupBy("label", "before", "word").agg(F.count("*").alias("n"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Models:
     """Class-conditional models from at most ``per_class`` training documents of each class.
 
-    Pairs are counted in tasks. The driver gets words with at least two continuations and
-    pairs above the discount; what is left out goes to the backoff.
+    Pairs are counted in tasks. The driver gets pairs above the discount, the words they end
+    with, and words with at least two continuations; what is left out goes to the backoff.
     """
     sample = labelled_sample(docs, labels, "toxic", fold("doc_id", FOLDS) != HELD_OUT, per_class).withColumn(
         "calibrates", F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(CALIBRATION_SHARE)) == 0
@@ -123,11 +126,11 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     pairs = _count(sample.filter("NOT calibrates"))
     by_class = [F.when(F.col("label") == c, F.col("n")) for c in (ORDINARY, TOXIC)]
     kinds = [F.count(c).alias(f"k{i}") for i, c in enumerate(by_class)]
-    ends = pairs.groupBy("word").agg(*kinds)
+    kept = F.col("n") > PAIR_DISCOUNT
+    ends = pairs.groupBy("word").agg(*kinds, F.bool_or(kept).alias("in_pair"))
     least = [F.sum(F.least(F.col(k), F.lit(CLASS_DISCOUNT))) for k in ("k0", "k1")]
     totals = ends.agg(F.sum("k0"), F.sum("k1"), F.count("*"), *least).first()
-    kept_words = ends.filter(f"k0 + k1 >= {LEAST_COUNT}").toArrow()
-    kept = F.col("n") > PAIR_DISCOUNT
+    kept_words = ends.filter(f"in_pair OR k0 + k1 >= {LEAST_COUNT}").toArrow()
     sides = [
         F.coalesce(F.sum(F.when(kept, c - PAIR_DISCOUNT) if s == "kept" else c), F.lit(0.0)).cast("double").alias(f"{s}{i}")
         for i, c in enumerate(by_class)
@@ -144,7 +147,9 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     vocabulary = float(totals[2] or 0) + 1
     keys = column(kept_words, "word")
     place = {int(k): i + 1 for i, k in enumerate(keys)}
-    continuation = np.vstack([np.zeros((1, 2)), np.stack([column(kept_words, "k0"), column(kept_words, "k1")], axis=1)])
+    place[int(NO_WORD)] = start = len(keys) + 1
+    counted = np.stack([column(kept_words, "k0"), column(kept_words, "k1")], axis=1)
+    continuation = np.vstack([np.zeros((1, 2)), counted, np.zeros((1, 2))])
     shared = np.minimum(continuation, CLASS_DISCOUNT).sum(axis=1) / max(1.0, freed.sum())
     shared[0] = 1 / vocabulary
     safe = np.maximum(a, 1)
@@ -152,12 +157,12 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     unigram[:, a == 0] = shared[:, None]
     unigram[0] = 1 / vocabulary  # a word that neither class has tells nothing
     back = np.ones((len(place) + 1, 2))
-    at = np.array([place.get(int(k), 0) if k else 0 for k in column(starts, "before")], np.int64)
+    at = np.array([place.get(int(k), 0) for k in column(starts, "before")], np.int64)
     sums = np.stack([np.stack([column(starts, f"{s}{c}") for c in (0, 1)], axis=1) for s in ("all", "kept")])
     known = at > 0
     back[at[known]] = np.where(sums[0] > 0, 1 - sums[1] / np.maximum(sums[0], 1), 1.0)[known]
     ids = np.array([place.get(int(w), 0) for w in column(kept_pairs, "word")], np.int64)
-    froms = np.array([place.get(int(v), 0) if v else 0 for v in column(kept_pairs, "before")], np.int64)
+    froms = np.array([place.get(int(v), 0) for v in column(kept_pairs, "before")], np.int64)
     label, n = column(kept_pairs, "label"), column(kept_pairs, "n")
     total_of = np.zeros((len(place) + 1, 2))
     total_of[at[known]] = sums[0][known]
@@ -165,7 +170,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     codes, rows = np.unique(froms[usable] << 32 | ids[usable], return_inverse=True)
     discounted = np.zeros((len(codes), 2))
     discounted[rows, label[usable]] = (n[usable] - PAIR_DISCOUNT) / np.maximum(total_of[froms[usable], label[usable]], 1)
-    models = Models(_by_hash(place), unigram, back, codes, discounted)
+    models = Models(_by_hash(place), start, unigram, back, codes, discounted)
     _calibrate(models, sample.filter("calibrates").select("text", "label"))
     return models
 

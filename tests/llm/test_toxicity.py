@@ -33,6 +33,30 @@ def test_held_out_texts_are_told_apart(spark):
     assert all(r["predicted"] == int(r["score"] >= 0.7) and 0 <= r["score"] <= 1 for r in got)
 
 
+def test_fixed_phrases_of_different_texts_are_learned(spark):
+    """A word that always has the same words in front, and one that starts every text."""
+    for phrase, at in (("you are a zorbex", 30), ("grumlin", 0)):
+        rows, labels = [], []
+        for i in range(500):
+            found, toxic = words(i, 60, 5000), int(i % 4 == 0)
+            found[at:at] = phrase.split() if toxic else ["you", "are", "a", found[at]] if at else []
+            rows.append((i, " ".join(found), "en", "s"))
+            labels.append((i, 1, toxic))
+        docs = frame(spark, rows)
+        models = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+        assert models.index.get(phrase.split()[-1].encode(), 0)
+        held = [r for r in rows_of(toxicity.score(docs, models)) if r["held_out"]]
+        right = sum((r["doc_id"] % 4 == 0) == bool(r["predicted"]) for r in held)
+        assert len(held) > 100 and right / len(held) > 0.95
+
+
+def test_copies_count_once(spark):
+    text = "you are a zorbex " + " ".join(words(1, 60, 5000))
+    docs = frame(spark, [(i, text, "en", "s") for i in range(60)] + [(100 + i, " ".join(words(i, 60)), "en", "s") for i in range(60)])
+    sample = docs.select("text", F.expr("int(doc_id < 100)").alias("label"))
+    assert {r["n"] for r in rows_of(toxicity._count(sample).filter("label = 1"))} == {1}
+
+
 def test_only_training_labels_and_texts_count(spark):
     rows, labels = labelled(spark, 240)
     docs = frame(spark, rows)
