@@ -17,7 +17,8 @@ BLOCK_TOKENS = 1024
 SLOTS_PER_CHUNK = 1024
 GOLDEN = 2654435769  # 2**32 over the golden ratio
 POINTS = 1 << 32
-ROW = "_mixed_row"
+ROW, AT, TAKEN = "_mixed_row", "_mixed_at", "_mixed_taken"
+SPACED_WORD = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 
 
 def sized(docs: DataFrame, seed: int = 0, row: str | None = None) -> DataFrame:
@@ -119,7 +120,7 @@ def schedule(sources: DataFrame, block: int = BLOCK_TOKENS) -> DataFrame:
 
 
 def blocks(sizes: DataFrame, sources: DataFrame, block: int = BLOCK_TOKENS) -> DataFrame:
-    """``number, rank, row, words``: the documents' words in each equal-token block of a source.
+    """``number, rank, row, size, repeat, position, first_word, words``: what each block of a source holds.
 
     A source's documents stand in the order of their digests, one behind the other, and the
     row of documents is repeated up to MOST_REPEATS times; block r is its words from
@@ -148,6 +149,10 @@ def blocks(sizes: DataFrame, sources: DataFrame, block: int = BLOCK_TOKENS) -> D
         "number",
         "rank",
         "row",
+        "size",
+        "repeat",
+        F.expr(f"greatest(first, rank * {block})").alias("position"),
+        F.expr(f"greatest(first, rank * {block}) - first").alias("first_word"),
         F.expr(f"least(end, (rank + 1) * {block}) - greatest(first, rank * {block})").alias("words"),
     )
 
@@ -178,18 +183,58 @@ def mix(
     return known.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 
 
+def _spans(sizes: DataFrame, sources: DataFrame, block: int) -> DataFrame:
+    spans = schedule(sources, block).join(blocks(sizes, sources, block), ["number", "rank"])
+    return spans.withColumn("at", F.struct("slot", "number", "rank", "position"))
+
+
+def scheduled_spans(
+    docs: DataFrame, seed: int = 0, block: int = BLOCK_TOKENS, root: str | None = None, row: str | None = None
+) -> DataFrame:
+    """``slot, source, rank, row, repeat, first_word, words``: the mix itself, in the order of its schedule.
+
+    Each slot has one block of a source, as spans of words of its documents in their shuffled
+    order; ``first_word`` counts from 0. The blocks that the points miss share the slot after the last.
+    """
+    scratch = Scratch(docs.sparkSession, "mixing-spans", root)
+    sizes = scratch.stage(sized(docs, seed, row), "sizes")
+    sources = scratch.stage(targets(sizes), "sources")
+    return (
+        _spans(sizes, sources, block)
+        .join(F.broadcast(sources.select("number", "source")), "number")
+        .orderBy("slot", "number", "rank", "position")
+        .select("slot", "source", "rank", "row", "repeat", "first_word", "words")
+    )
+
+
 def mixed_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK_TOKENS, root: str | None = None) -> DataFrame:
-    """The documents of the mix, with the columns of ``docs``.
+    """The documents of the mix, with the columns of ``docs``, in the order of its schedule.
 
     A document comes as many times as its taken words make of its size, rounded half up;
-    what the mix takes less than half of, or what has no words, does not come.
+    what the mix takes less than half of, or what has no words, does not come. A source of
+    which nothing would come so gives the taken words of its document instead, other columns
+    as they are. Each copy stands where its first words have their slot.
     """
     scratch = Scratch(docs.sparkSession, "mixing-documents", root)
     numbered = scratch.stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "documents", codec="zstd")
-    mixed = mix(numbered, seed, block, root, row=ROW).filter("taken > 0")
-    times = mixed.select(F.col("row").alias(ROW), F.expr("(2 * taken + size) div (2 * size)").alias("_times"))
-    copies = numbered.join(times.filter("_times > 0"), ROW)
-    return copies.withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))).select(docs.columns)
+    sizes = scratch.stage(sized(numbered, seed, ROW), "sizes")
+    sources = scratch.stage(targets(sizes), "sources")
+    copies = (
+        _spans(sizes, sources, block)
+        .groupBy("number", "row", "repeat", "size")
+        .agg(F.sum("words").alias("words"), F.min("at").alias("at"))
+        .withColumn("comes", F.expr("2 * words >= size"))
+    )
+    copies = scratch.stage(copies, "copies")
+    # A source's words are taken in one run, so what would not come is a single part.
+    parts = copies.groupBy("number").agg(F.max("comes").alias("any"), F.min(F.struct("at", "row", "words")).alias("part"))
+    chosen = copies.filter("comes").select(F.col("row").alias(ROW), F.col("at").alias(AT), F.lit(None).cast("long").alias(TAKEN)).unionByName(
+        parts.filter("NOT any").select(F.col("part.row").alias(ROW), F.col("part.at").alias(AT), F.col("part.words").alias(TAKEN))
+    )
+    pieces = F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col(TAKEN).cast("int")), "")
+    found = numbered.join(chosen, ROW).withColumn("text", F.when(F.col(TAKEN).isNull(), F.col("text")).otherwise(cut))
+    return found.orderBy(AT).select(docs.columns)
 
 
 SQL = r"""

@@ -2,7 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 from compare import connect, spark_rows, sql_rows
-from odd import empty_docs, odd_docs, odd_texts, rows_of
+from odd import empty_docs, frame, odd_docs, odd_texts, rows_of
 from pyspark.sql import functions as F
 from seriesmart.llm import mixing
 from seriesmart.llm.queries import QUERIES, SQL
@@ -71,6 +71,30 @@ def test_mixed_documents_keep_columns_and_follow_the_words(spark):
     assert got.filter(F.col("text").isNull()).count() == 0
 
 
+def test_spans_come_in_the_order_of_the_schedule(spark):
+    spans = rows_of(mixing.scheduled_spans(odd_docs(spark), block=64))
+    assert [r["slot"] for r in spans] == sorted(r["slot"] for r in spans)
+    taken, held = Counter(), Counter()
+    for r in spans:
+        taken[r["row"]] += r["words"]
+        held[r["source"], r["rank"]] += r["words"]
+        assert r["first_word"] >= 0 and r["words"] > 0
+    assert dict(taken) == {r["row"]: r["taken"] for r in rows_of(mixing.mix(odd_docs(spark), block=64)) if r["taken"]}
+    assert max(held.values()) == 64
+
+
+def test_no_source_with_a_target_vanishes(spark):
+    """The target of s2 is less than half of its single document."""
+    sizes = [1070, 430, 1000, 1070, 430]
+    rows = [(at, "e\n f  " * (n // 2), "en", f"s{at}") for at, n in enumerate(sizes)]
+    docs = frame(spark, rows)
+    taken = {r["doc_id"]: r for r in rows_of(mixing.mix(docs))}
+    assert [i for i, r in taken.items() if 0 < 2 * r["taken"] < r["size"]] == [2]
+    got = {r["doc_id"]: r["text"] for r in rows_of(mixing.mixed_documents(docs))}
+    assert set(got) == set(range(5)) and rows[2][1].startswith(got[2])
+    assert len(WORD.findall(got[2])) == taken[2]["taken"]
+
+
 def test_equals_its_sql(spark, folder):
     name = "op2_source_mix"
     got, want = spark_rows(QUERIES[name](spark, folder)), sql_rows(connect(folder), SQL[name])
