@@ -284,6 +284,28 @@ def refresh_from_files(spark, folder):
     return plain(runs.open_mart(spark, f"{base}/mart").monthly)
 
 
+WHOLE_REFRESHED_SQL = REFRESHED_SQL.replace("\n        WHERE date_id BETWEEN 199600 AND 199912", "")
+INCOME_COLUMNS = ["geography_id", "date_id", "income_source", "age_group", "sex", "median_income", "avg_income", "num_persons"]
+
+
+def refreshed(spark, folder):
+    """The mart after a refresh of whole tables."""
+    base = fresh_folder(spark, "refresh")
+    sources = downloaded(spark, folder, f"{base}/raw")
+    runs.refresh(spark, f"{base}/raw", f"{base}/books", f"{base}/mart", sources=sources)
+    return runs.open_mart(spark, f"{base}/mart")
+
+
+@check("X3_refresh_whole_tables", WHOLE_REFRESHED_SQL)
+def refresh_whole_tables(spark, folder):
+    return plain(refreshed(spark, folder).monthly)
+
+
+@check("X4_refresh_whole_income", f"SELECT {', '.join(INCOME_COLUMNS)} FROM income")
+def refresh_whole_income(spark, folder):
+    return refreshed(spark, folder).income.select(*INCOME_COLUMNS)
+
+
 def _family_sql():
     named = " UNION ALL ".join(
         f"SELECT * FROM ({CHECKS[name].sql})"
