@@ -163,6 +163,7 @@ def _sample(docs: DataFrame, per_language: int) -> DataFrame:
 
     Those with the lowest hashes, first within SHARES of a language and then among what these
     leave, so that no task gets a share of each task's candidates that grows with the table.
+    Every CALIBRATION_SHARE-th of a language calibrates, so its first ones always train.
     """
     mixed = F.xxhash64("doc_id", "lang")
     share = F.pmod(F.xxhash64(F.lit("share"), "doc_id"), F.lit(SHARES))
@@ -175,12 +176,10 @@ def _sample(docs: DataFrame, per_language: int) -> DataFrame:
         .filter(F.col("place") <= per_language)
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= per_language)
-        .select("doc_id", "lang")
-        .distinct()
-    )
-    return known.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]).withColumn(
-        "calibrates", F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(CALIBRATION_SHARE)) == 0
+        .groupBy("doc_id", "lang")
+        .agg((F.min("place") % CALIBRATION_SHARE == 0).alias("calibrates"))
     )
+    return known.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"])
 
 
 def learn(docs: DataFrame, per_language: int = SAMPLE_DOCUMENTS) -> Models:

@@ -39,6 +39,13 @@ def test_probabilities_add_up_to_one(spark):
         assert np.allclose(total + unknown, 1, atol=1e-3)
 
 
+def test_a_language_with_one_training_document_is_learned(spark):
+    rare = [(1000 + i, "quux zonk blarg frim", f"l{i}", "s") for i in range(60)]
+    training = {lang for i, _, lang, _ in rare if zlib.crc32(str(i).encode()) % 3 != 1}
+    models = language.learn(frame(spark, labelled() + rare))
+    assert set(models.languages) == training | {"de", "en"}
+
+
 def test_odd_documents(spark):
     docs = odd_docs(spark)
     models = language.learn(docs)
