@@ -8,9 +8,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     """``doc_id, text, label`` of at most ``per_class`` training documents of each class.
 
     Rows of one id that contradict each other, labels other than 0 and 1 and null ids are left
-    out. The choice is the lowest hashes of the ids, taken by top-k per class, so it depends
-    neither on order nor on partitions. The chosen ids, twice ``per_class`` at most, are
-    broadcast to the documents.
+    out. The choice is the lowest hashes of the ids that documents have, taken by top-k per
+    class, so it depends neither on order nor on partitions. The chosen ids, twice ``per_class``
+    at most, are broadcast to the documents. Of repeated rows of an id one text comes, that of
+    the lowest hash, so the bound holds for rows.
     """
     agreed = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & train)
@@ -18,13 +19,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
         .agg(F.min(label).alias("label"), F.max(label).alias("_most"))
         .filter("label = _most")
         .select("doc_id", F.col("label").cast("int"))
+        .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     )
     mixed = F.xxhash64("doc_id")
     chosen = [agreed.filter(F.col("label") == c).orderBy(mixed, "doc_id").limit(per_class) for c in (0, 1)]
     ids = chosen[0].unionByName(chosen[1])
-    return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(
+    found = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(
         F.broadcast(ids), "doc_id"
     )
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    return found.groupBy("doc_id", "label").agg(least.alias("least")).select("doc_id", "least.text", "label")
 
 
 def logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:

@@ -1,7 +1,9 @@
 import zlib
 
 from odd import empty_docs, frame, odd_docs, odd_texts, rows_of, words
+from pyspark.sql import functions as F
 from seriesmart.llm import quality
+from seriesmart.llm.labelled import labelled_sample
 from seriesmart.llm.queries import QUERIES
 
 
@@ -56,6 +58,15 @@ def test_odd_documents_and_nothing_to_learn_from(spark):
     assert len(quality.learn(empty_docs(spark), labels).labels) == 0
 
 
+def test_the_bound_holds_for_rows_and_is_filled(spark):
+    rows = [(i, f"text {i}", "en", "s") for i in range(20)] + [(3, f"other {i}", "en", "s") for i in range(50)]
+    labels = spark.range(2000).selectExpr("1000 - id AS doc_id", "int(id % 2) AS quality", "0 AS toxic")
+    sample = [rows_of(labelled_sample(frame(spark, some), labels, "quality", F.lit(True), 8)) for some in (rows, rows[::-1])]
+    assert sorted(r["label"] for r in sample[0]) == [0] * 8 + [1] * 8
+    assert len({r["doc_id"] for r in sample[0]}) == 16
+    assert sorted(map(str, sample[0])) == sorted(map(str, sample[1]))
+
+
 def test_whole_table(spark, folder):
     got = QUERIES["op8_quality"](spark, folder)
     assert got.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
