@@ -118,7 +118,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def sizes_allow(n, m):
-    return F.least(n, m) * SIMILAR[1] >= F.greatest(n, m) * SIMILAR[0]
+    return F.least(n, m).cast("long") * SIMILAR[1] >= F.greatest(n, m).cast("long") * SIMILAR[0]
 
 
 def _sketches(docs: DataFrame, row: str | None, width: int) -> DataFrame:

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from compare import connect, spark_rows, sql_rows
 from odd import empty_docs, frame, mutated, odd_docs, odd_texts, rows_of, words
+from pyspark.sql import functions as F
 from seriesmart.llm import dedup
 from seriesmart.llm.components import components
 from seriesmart.llm.queries import QUERIES, SQL
@@ -34,6 +35,11 @@ def brute_components(rows, width=2):
     return [(doc_id, len(sets[i]), least.get(root(i))) for i, (doc_id, *_) in enumerate(rows)]
 
 
+def test_sizes_of_very_long_documents(spark):
+    n, m = F.lit(30_000_000), F.lit(25_000_000)
+    assert spark.range(1).select(dedup.sizes_allow(n, m), dedup.sizes_allow(n, F.lit(20_000_000))).first()[:] == (True, False)
+
+
 def key(row):
     return tuple((v is None, v or 0) for v in row)
 
