@@ -3,7 +3,19 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seriesmart.llm import chat, dedup, fingerprint, language, mixing, packing, quality, scoring, topk, toxicity
+from seriesmart.llm import (
+    chat,
+    dedup,
+    fingerprint,
+    infill,
+    language,
+    mixing,
+    packing,
+    quality,
+    scoring,
+    topk,
+    toxicity,
+)
 from seriesmart.llm.common import table
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -66,6 +78,10 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
+def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
+    return infill.digests(infill.fill_in_middle(table(spark, folder, "documents")))
+
+
 QUERIES = {
     name: run for name, run in sorted(globals().items(), key=lambda item: len(item[0])) if name.startswith("op")
 }
@@ -74,4 +90,5 @@ SQL = {
     "op3_near_duplicates": dedup.SQL,
     "op4_top_products": topk.SQL,
     "op9_chat": chat.SQL,
+    "op12_infill": infill.SQL,
 }
