@@ -9,10 +9,12 @@ from seriesmart.llm import (
     fingerprint,
     infill,
     language,
+    lexical,
     mixing,
     packing,
     quality,
     scoring,
+    simhash,
     topk,
     toxicity,
 )
@@ -78,10 +80,19 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
+def op11_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
     return infill.digests(infill.fill_in_middle(table(spark, folder, "documents")))
 
 
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     name: run for name, run in sorted(globals().items(), key=lambda item: len(item[0])) if name.startswith("op")
 }
@@ -90,5 +101,6 @@ SQL = {
     "op3_near_duplicates": dedup.SQL,
     "op4_top_products": topk.SQL,
     "op9_chat": chat.SQL,
+    "op11_lexical": lexical.SQL,
     "op12_infill": infill.SQL,
 }
