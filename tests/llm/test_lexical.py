@@ -7,7 +7,6 @@ import pyarrow as pa
 import pytest
 from compare import connect, spark_rows, sql_rows
 from odd import CLASHING, empty_docs, frame, odd_docs, odd_texts, rows_of, words
-from pyspark.sql import functions as F
 from seriesmart.llm import lexical
 from seriesmart.llm.queries import QUERIES, SQL
 from seriesmart.sources.scratch import Scratch
@@ -95,16 +94,18 @@ def test_no_documents_no_items_no_terms(spark):
     assert rows_of(lexical.ranked_documents(nothing, items_frame(spark))) == []
 
 
-def test_bands_are_the_same_in_both_places(spark):
+def test_bands_grow_with_length_and_are_few():
     numbers = sorted({n + d for p in range(40) for n in (1 << p, 3 << p, 15 << p) for d in (-1, 0, 1) if n + d > 0})
-    got = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", F.expr(lexical.BAND).alias("band")).collect()
-    assert all(r["band"] == lexical.band(r["n"]) for r in got)
+    bands = [lexical.band(n) for n in numbers]
+    assert bands == sorted(bands) and len(set(bands)) < 16 + 8 * 44
 
 
 def test_terms_of_slices(monkeypatch):
     text = "Ab1 é🙂x--\x7f_b AB1\n" * 40 + "lastß"
     whole = lexical.term_counts(text.encode())
     assert whole == Counter(t.encode() for t in terms_of(text))
+    for some in (text, "", "a", "!", "!a", "a!é", "🙂"):
+        assert lexical.term_total(some.encode()) == len(terms_of(some))
     for size in (1, 7, 100):
         monkeypatch.setattr(lexical, "SLICE_BYTES", size)
         assert lexical.term_counts(text.encode()) == whole
