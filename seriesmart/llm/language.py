@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from seriesmart.llm.common import fold, slices, texts
+from seriesmart.sources.scratch import Scratch
 
 FOLDS, HELD_OUT = 3, 1
 ORDER = 4
@@ -15,7 +16,7 @@ DISCOUNT = 0.75
 SAMPLE_DOCUMENTS = 1_000  # per language; fits the models
 CALIBRATION_SHARE = 4  # one in so many sample documents calibrates instead
 TEMPERED = 0.5
-SHARES = 64
+MARGIN = 1.5  # of ids, when only the lowest are to be ranked
 BATCH_BYTES = 4 << 20
 BLANK = 32
 UNDETERMINED = "und"
@@ -158,38 +159,57 @@ def estimate(languages: list[str], language: np.ndarray, keys: np.ndarray, count
     return Models(languages, levels, (np.log(uniform) + levels[0].log_back[0]).astype(np.float32))
 
 
-def _sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """``doc_id, text, lang, calibrates`` of at most ``per_language`` documents of each language.
+def _lowest(known: DataFrame, per_language: int, scratch: Scratch) -> DataFrame:
+    """``doc_id, lang, calibrates`` of the ids with the ``per_language`` lowest hashes of each language.
 
-    Those with the lowest hashes, first within SHARES of a language and then among what these
-    leave, so that no task gets a share of each task's candidates that grows with the table.
-    Every CALIBRATION_SHARE-th of a language calibrates, so its first ones always train.
+    The distinct ids are counted by geometric bands of their hashes, some hundred a language, which
+    gives a band to stop at; only the ids below it are ranked, so no task gets all of a language. The
+    margin makes up for the counts being estimates.
     """
-    mixed = F.xxhash64("doc_id", "lang")
-    share = F.pmod(F.xxhash64(F.lit("share"), "doc_id"), F.lit(SHARES))
-    in_share = Window.partitionBy("lang", "share").orderBy(mixed, "doc_id")
-    order = Window.partitionBy("lang").orderBy(mixed, "doc_id")
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT))
-    chosen = (
-        known.select("doc_id", "lang", share.alias("share"))
-        .withColumn("place", F.row_number().over(in_share))
-        .filter(F.col("place") <= per_language)
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= per_language)
-        .groupBy("doc_id", "lang")
-        .agg((F.min("place") % CALIBRATION_SHARE == 0).alias("calibrates"))
+    mixed = F.shiftrightunsigned(F.xxhash64("doc_id", "lang"), 1)
+    shift = "greatest(0, length(bin(mixed)) - 4)"
+    keyed = known.select("doc_id", "lang", mixed.alias("mixed")).withColumn(
+        "band", F.expr(f"{shift} * 16 + shiftright(mixed, {shift})")
     )
-    return known.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"])
+    bands = keyed.groupBy("lang", "band").agg(F.approx_count_distinct("doc_id").alias("ids"))
+    below = Window.partitionBy("lang").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = F.coalesce(F.sum("ids").over(below), F.lit(0)) < per_language * MARGIN
+    last = bands.withColumn("wanted", wanted).filter("wanted").groupBy("lang").agg(F.max("band").alias("last"))
+    last = scratch.stage(last, "bands")
+    some = keyed.join(last, "lang").filter("band <= last").select("doc_id", "lang", "mixed").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("mixed", "doc_id"))
+    chosen = some.withColumn("place", place).filter(F.col("place") <= per_language)
+    return chosen.select("doc_id", "lang", (F.col("place") % CALIBRATION_SHARE == 0).alias("calibrates"))
+
+
+def _sample(docs: DataFrame, per_language: int, scratch: Scratch) -> DataFrame:
+    """``lang, text, calibrates`` of at most ``per_language`` documents of each language, as a written table.
+
+    One text comes for each id, that of the lowest hash, so the bound holds for rows. Every CALIBRATION_SHARE-th of a
+    language calibrates, so its first ones always train. The chosen ids are a written table, so Spark
+    knows its size and broadcasts it while it is small; then only their texts leave the scan.
+    Rows without an id are not learned from.
+    """
+    known = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).filter(
+        F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT)
+    )
+    chosen = scratch.stage(_lowest(known, per_language, scratch), "chosen")
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    single = known.join(chosen, ["doc_id", "lang"]).groupBy("doc_id", "lang", "calibrates").agg(least)
+    return scratch.stage(single.select("lang", "least.text", "calibrates"), "sample", codec="zstd")
 
 
-def learn(docs: DataFrame, per_language: int = SAMPLE_DOCUMENTS) -> Models:
+def learn(docs: DataFrame, per_language: int = SAMPLE_DOCUMENTS, root: str | None = None) -> Models:
     """Models from a bounded sample of the training documents of each language.
 
     N-grams are counted in tasks; the driver gets the counts of at most ``per_language``
-    documents a language.
+    documents a language. An empty table, or one without known languages, gives models that know none.
     """
-    sample = _sample(docs, per_language)
+    with Scratch(docs.sparkSession, "language", root) as scratch:
+        return _learn(_sample(docs, per_language, scratch))
+
 
+def _learn(sample: DataFrame) -> Models:
     def count(batches):
         for batch in slices(batches, BATCH_BYTES):
             rows = {}
@@ -285,7 +305,11 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
 
 
 def known_documents(docs: DataFrame, models: Models) -> DataFrame:
-    """The documents that are not rejected, with all their columns."""
+    """The documents that are not rejected, with all their columns.
+
+    Null texts and texts without a letter go; nothing else does if nothing could be learned. Repeated rows are
+    judged each by itself; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(models)
     names = docs.columns
 

@@ -4,6 +4,7 @@ import numpy as np
 from odd import empty_docs, frame, odd_docs, odd_texts, rows_of
 from seriesmart.llm import language
 from seriesmart.llm.queries import QUERIES
+from seriesmart.sources.scratch import Scratch
 
 ENGLISH = "the quick brown fox jumps over the lazy dog and then it runs through the green fields of the county while "
 GERMAN = "der schnelle braune fuchs springt über den faulen hund und läuft dann durch die grünen felder während "
@@ -46,6 +47,69 @@ def test_a_language_with_one_training_document_is_learned(spark):
     assert set(models.languages) == training | {"de", "en"}
 
 
+def test_one_hot_id_takes_one_place(spark):
+    rows = labelled(900) + [(5001, f"the hot one {i}", "en", "s") for i in range(400)] + [(None, "the lost one", "en", "s")] * 9
+    with Scratch(spark, "language-test") as scratch:
+        got = rows_of(language._sample(frame(spark, rows).repartition(5), 100, scratch))
+    by_lang = {lang: [r for r in got if r["lang"] == lang] for lang in ("en", "de")}
+    assert {lang: len(found) for lang, found in by_lang.items()} == {"en": 100, "de": 100}
+    assert sum(r["text"].startswith("the hot one") for r in got) <= 1
+    assert all(sum(r["calibrates"] for r in found) == 25 for found in by_lang.values())
+    ids = {t: i for i, t, *_ in rows}
+    assert all(zlib.crc32(str(ids[r["text"]]).encode()) % 3 != 1 for r in got)
+
+
+def test_sample_does_not_depend_on_partitions(spark):
+    docs = frame(spark, labelled(700))
+    with Scratch(spark, "language-test") as scratch:
+        one = sorted(map(str, rows_of(language._sample(docs.coalesce(1), 40, Scratch(spark, "a", scratch.path)))))
+        two = sorted(map(str, rows_of(language._sample(docs.repartition(9), 40, Scratch(spark, "b", scratch.path)))))
+    assert one == two and len(one) == 80
+
+
+def by_definition(grams, context, sign, order):
+    """Interpolated Kneser-Ney straight from its formula; grams: {4-gram: count}."""
+    def counts(n):
+        if n == language.ORDER:
+            return grams
+        found = {}
+        for longer in {g[-n - 1 :] for g in (grams if n + 1 == language.ORDER else counts(n + 1))}:
+            found[longer[1:]] = found.get(longer[1:], 0) + 1
+        return found
+
+    def p(context, n):
+        if n == 0:
+            return 1 / (len({g[-1] for g in grams}) + 1)
+        held = counts(n)
+        front = context[len(context) - n + 1 :]
+        own = {g: c for g, c in held.items() if g[:-1] == front}
+        total = sum(own.values())
+        lower = p(context, n - 1)
+        if not total:
+            return lower
+        d = language.DISCOUNT
+        return max(own.get((*front, sign), 0) - d, 0) / total + d * len(own) / total * lower
+
+    return p(context, order)
+
+
+def test_probabilities_by_definition():
+    rows = ["abra cadabra", "abc bca cab", "a bad cab drab"]
+    grams = {}
+    for text in rows:
+        own = language.signs(text.encode()).tolist()
+        for at in range(len(own) - 3):
+            key = tuple(own[at : at + 4])
+            grams[key] = grams.get(key, 0) + 1
+    keys = np.array([sum(s << (16 * (3 - i)) for i, s in enumerate(g)) for g in grams], np.uint64)
+    model = language.estimate(["x"], np.zeros(len(keys), int), keys, np.array(list(grams.values()), float))
+    for text in ("abracad", "zab bca", "drab"):
+        own = language.signs(text.encode())
+        got = model.log_probabilities(own)[:, 0]
+        wanted = [by_definition(grams, tuple(own[at : at + 3].tolist()), int(own[at + 3]), 4) for at in range(len(own) - 3)]
+        assert np.allclose(np.exp(got.astype(float)), wanted, rtol=1e-4)
+
+
 def test_odd_documents(spark):
     docs = odd_docs(spark)
     models = language.learn(docs)
