@@ -76,6 +76,23 @@ def csv_scan(spark, folder):
     )
 
 
+@check(
+    "S13_quoted_line_ends",
+    f"SELECT row_order, replace(trim(GEO), ' ', chr(10)) AS place, {number('VALUE')} AS value FROM published",
+)
+def quoted_line_ends(spark, folder):
+    """Places with line ends in them, in parts that are read by a task each."""
+    path = fresh_folder(spark, "quoted")
+    rows = published(spark, folder).withColumn("GEO", F.translate(text.trimmed(F.col("GEO")), " ", "\n"))
+    rows.write.options(**FULL_TEXT).option("header", True).csv(path)
+    read = delimited.read_text_table(spark, path, ["row_order", "GEO", "VALUE"], quoted_line_ends=True)
+    return read.select(
+        F.col("row_order").cast("bigint").alias("row_order"),
+        F.col("GEO").alias("place"),
+        numbers.safe_double(F.col("VALUE")).alias("value"),
+    )
+
+
 @check("S2_optional_csv_scan", "SELECT CAST(year AS INTEGER) AS year, month, term, rate FROM rate_records")
 def optional_csv_scan(spark, folder):
     path = fresh_folder(spark, "rates")

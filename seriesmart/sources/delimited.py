@@ -8,19 +8,28 @@ from seriesmart.functions.periods import year_in_text
 from seriesmart.functions.text import trimmed
 
 
-def _csv(spark: SparkSession):
-    return spark.read.option("header", True).option("escape", '"').option("encoding", "UTF-8")
+def _csv(spark: SparkSession, quoted_line_ends: bool = False):
+    """A reader that fails rather than misreads.
+
+    Every file's header must be that of the first, and every record as long as it. Files are split
+    at line ends, so a record with a line end in quotes is too short and fails, unless
+    ``quoted_line_ends`` says that there are such: then each file is read by one task.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("encoding", "UTF-8")
+    reader = reader.option("enforceSchema", False).option("mode", "FAILFAST").option("columnPruning", False)
+    return reader.option("multiLine", quoted_line_ends)
 
 
 def read_text_table(
-    spark: SparkSession, path, columns: list[str] | None = None, **more: Column
+    spark: SparkSession, path, columns: list[str] | None = None, quoted_line_ends: bool = False, **more: Column
 ) -> DataFrame:
     """A published table with a header row (and perhaps a byte order mark).
 
-    Columns are taken by name, so only those asked for are parsed. ``more`` are columns
+    Columns are taken by name. Parts with another header, records of another length and,
+    unless ``quoted_line_ends``, line ends in quotes fail. ``more`` are columns
     to compute beside them, which may use the ``_metadata`` of files.
     """
-    table = _csv(spark).csv(path)
+    table = _csv(spark, quoted_line_ends).csv(path)
     added = [column.alias(name) for name, column in more.items()]
     return table.select(*(F.col(f"`{c}`") for c in columns or table.columns), *added)
 
@@ -43,7 +52,7 @@ def text_layout(layout: StructType) -> StructType:
 
 def _named(spark: SparkSession, path) -> DataFrame:
     """All columns as text under the names of the header; files that disagree on it fail."""
-    return _csv(spark).option("enforceSchema", False).csv(path)
+    return _csv(spark).csv(path)
 
 
 def read_records(spark: SparkSession, path, layout: StructType) -> DataFrame:
@@ -71,7 +80,7 @@ def read_yearly(
 
 def read_staging(spark: SparkSession, path, layout: StructType) -> DataFrame:
     """Rows ready to load: blanks become NULL, text is cast to the declared types."""
-    return typed(_csv(spark).schema(text_layout(layout)).option("enforceSchema", False).csv(path), layout)
+    return typed(_csv(spark).schema(text_layout(layout)).csv(path), layout)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

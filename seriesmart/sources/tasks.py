@@ -3,6 +3,7 @@
 import sys
 
 from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 
 
 def sent_by_value(module: str) -> None:
@@ -11,3 +12,8 @@ def sent_by_value(module: str) -> None:
     The executors then need no copy of this package (such as --py-files gives).
     """
     cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+def tasks_of_a_shuffle(spark: SparkSession) -> int:
+    """For rows that are few and small but slow to decode: one task each, not merged for their size."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
