@@ -1,5 +1,7 @@
 """Dimension builders (D) and loads (L)."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from seriesmart.checks.base import FUEL, check, published, quoted, seeds, staged
@@ -12,7 +14,7 @@ from seriesmart.checks.transforms import (
 )
 from seriesmart.operators.dims import insert_absent
 from seriesmart.operators.numbering import number_rows
-from seriesmart.operators.upsert import as_layout
+from seriesmart.operators.upsert import as_layout, latest_per_key
 from seriesmart.plans import series
 from seriesmart.plans.loads import load
 from seriesmart.plans.trade import table, trade_calendar
@@ -151,3 +153,23 @@ def load_in_order(spark, folder):
     first, later = rows.filter(F.col("fuel") == FUEL), rows.filter(F.col("fuel") != FUEL)
     load(spark, root, [("cpi_cma", first), ("nhpi", nhpi), ("cpi_cma", later)])
     return plain(read_published(spark, f"{root}/fact_monthly"))
+
+
+def dealt_load(spark, folder, root, part):
+    """A writer with a session of its own, which loads one half of the batch's cities."""
+    _, batch = target_and_batch(spark, folder)
+    own = batch.filter(F.col("geography_id") % 2 == part)
+    load(spark, root, [("cpi_cma", latest_per_key(own, MONTHLY_KEY, ["row_order"]).drop("row_order"))])
+
+
+@check("L6_two_writers", UPSERT_SQL)
+def two_writers(spark, folder):
+    """Two writers load into one mart at the same time, in the same years."""
+    root = fresh_folder(spark, "mart")
+    target, _ = target_and_batch(spark, folder)
+    load(spark, root, [("cpi_cma", target)])
+    with ThreadPoolExecutor(2) as writers:
+        done = [writers.submit(dealt_load, spark.newSession(), folder, root, part) for part in (0, 1)]
+    for writer in done:
+        writer.result()
+    return plain(read_published(spark, f"{root}/fact_monthly"))

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from seriesmart import schemas
+from seriesmart.operators import dims as dimension
 from seriesmart.operators.upsert import as_layout, replay
 from seriesmart.sources.scratch import Scratch
-from seriesmart.sources.tables import upsert_published
+from seriesmart.sources.tables import ALL, Derived, commit, upsert_edit
 
 
 class LoadProblems(ExceptionGroup):
@@ -47,19 +48,35 @@ TARGETS = {
 }
 
 
+CALENDAR = "dim_date"
+
+
+def _span(tables: dict[str, dict]) -> str | None:
+    """First and last year that any fact table has a folder for."""
+    held = (tables[table.name]["folders"] for table in (MONTHLY, INCOME, TENURE) if table.name in tables)
+    years = sorted(int(year) for folders in held for year in folders if year != ALL)
+    return f"{years[0]}-{years[-1]}" if years else None
+
+
+def calendar_of(spark: SparkSession) -> Derived:
+    """The calendar over the years of all facts, told by their folders alone."""
+    return Derived(CALENDAR, _span, lambda span: dimension.calendar(spark, *map(int, span.split("-"))))
+
+
 def load(
     spark: SparkSession, root: str, batches: list[tuple[str, DataFrame]], scratch: str | None = None
 ) -> dict[str, int]:
-    """Upsert (source, transformed frame) pairs, given in load order.
+    """Upsert (source, transformed frame) pairs, given in load order, as one version of the mart.
 
     Each source is typed and written by itself first, which runs its plan: one that fails
     is left out and the others of its table still load. Frames for one table then
     become one batch and one upsert: replaying them one by one would end with the
-    same rows. Every table is tried; the failures are raised together, with what was
-    published as ``versions``. Returns the published versions.
+    same rows. Every table is tried; those that can be loaded are published together, with a calendar over
+    their years, and the failures are raised together, with what was
+    published as ``versions``. Returns the published versions of the tables.
     """
     by_table: dict[str, tuple[FactTable, list[DataFrame]]] = {}
-    versions, problems = {}, []
+    edits, problems = [], []
     with Scratch(spark, "load", scratch) as run:
         for at, (source, frame) in enumerate(batches):
             table = TARGETS[source]
@@ -71,10 +88,10 @@ def load(
                 by_table.setdefault(table.name, (table, []))[1].append(staged)
         for name, (table, frames) in by_table.items():
             try:
-                batch = replay(frames)
-                versions[name] = upsert_published(spark, f"{root}/{name}", batch, table.keys, ["load_no"], scratch)
+                edits.append(upsert_edit(run, name, replay(frames), table.keys, ["load_no"]))
             except Exception as problem:  # noqa: BLE001 - reported with the others below
                 problems.append(ExceptionGroup(f"load of {name} failed", [problem]))
+        versions = commit(spark, root, edits, [calendar_of(spark)], problems)
     if problems:
         raise LoadProblems("some loads failed", problems, versions)
     return versions

@@ -9,13 +9,15 @@ from seriesmart import fixed_values as fixed
 from seriesmart.functions import periods
 from seriesmart.operators import dims as dimension
 from seriesmart.plans import grids, series
-from seriesmart.operators.upsert import union_all
-from seriesmart.plans.loads import INCOME, MONTHLY, TENURE, FactTable, LoadProblems, load
+from seriesmart.plans.loads import CALENDAR, INCOME, MONTHLY, TENURE, FactTable, LoadProblems, calendar_of, load
 from seriesmart.plans.questions import Mart
 from seriesmart.plans.series import Dims
 from seriesmart.sources import archives, delimited, snapshots, workbooks
 from seriesmart.sources.scratch import Scratch
-from seriesmart.sources.tables import publish, published_version, read_published
+from seriesmart.sources.tables import Edit, commit, read_version
+
+GEOGRAPHY, INDICATORS = "dim_geography", "dim_indicator"
+FACTS = (MONTHLY, INCOME, TENURE)
 
 CITY_SPECS = {
     "cpi_cma": series.CPI,
@@ -41,91 +43,89 @@ def published_dims(spark: SparkSession) -> Dims:
     )
 
 
-def _grown(spark: SparkSession, root: str, seed: DataFrame, keys: list[str], id_column: str) -> DataFrame:
-    """The stored dimension with the seed rows it lacks; ids already given stay."""
-    if published_version(spark, root) == 0:
-        publish(spark, seed, root, partition_by=[])
-        return read_published(spark, root)
-    stored, new = read_published(spark, root), seed.drop(id_column)
-    if not dimension.absent_rows(new, stored, keys).isEmpty():
-        publish(spark, dimension.insert_absent(stored, new, keys, id_column), root, partition_by=[])
-    return read_published(spark, root)
+def _grown(table: str, seed: DataFrame, keys: list[str], id_column: str) -> Edit:
+    """Gives the stored dimension the seed rows it lacks; ids already given stay."""
+
+    def grow(stored: DataFrame | None) -> DataFrame | None:
+        if stored is None:
+            return seed
+        new = seed.drop(id_column)
+        if dimension.absent_rows(new, stored, keys).isEmpty():
+            return None
+        return dimension.insert_absent(stored, new, keys, id_column)
+
+    return Edit(table, grow)
 
 
 def stored_dims(spark: SparkSession, mart_root: str) -> Dims:
-    """The dimensions kept with the mart, made on first use."""
+    """The dimensions kept with the mart, made on first use, as one version."""
     seeds = published_dims(spark)
+    grown = [
+        _grown(GEOGRAPHY, dimension.seed_geography(spark), ["cma_name"], "geography_id"),
+        _grown(INDICATORS, dimension.seed_indicators(spark), ["indicator_name", "source"], "indicator_id"),
+    ]
+    commit(spark, mart_root, grown)
+    held = read_version(spark, mart_root, [GEOGRAPHY, INDICATORS])
     return Dims(
-        geography=_grown(
-            spark, f"{mart_root}/dim_geography", dimension.seed_geography(spark), ["cma_name"], "geography_id"
-        ),
-        indicators=_grown(
-            spark,
-            f"{mart_root}/dim_indicator",
-            dimension.seed_indicators(spark),
-            ["indicator_name", "source"],
-            "indicator_id",
-        ),
-        spellings=seeds.spellings,
-        members=seeds.members,
+        geography=held[GEOGRAPHY], indicators=held[INDICATORS], spellings=seeds.spellings, members=seeds.members
     )
 
 
 def publish_calendar(spark: SparkSession, mart_root: str) -> None:
-    """A calendar over the years of all facts, taken from their partitions alone."""
-    roots = [f"{mart_root}/{table.name}" for table in (MONTHLY, INCOME, TENURE)]
-    years = [
-        read_published(spark, root).selectExpr("year * 100 as date_id")
-        for root in roots
-        if published_version(spark, root)
-    ]
-    if years:
-        publish(spark, dimension.calendar_for(union_all(years)), f"{mart_root}/dim_date", partition_by=[])
+    """A calendar over the years of all facts, if the mart's does not have them."""
+    commit(spark, mart_root, [], [calendar_of(spark)])
 
 
 def open_mart(spark: SparkSession, mart_root: str) -> Mart:
-    """The published mart, for the questions."""
+    """The published mart, for the questions: all its tables as one version has them."""
+    held = read_version(spark, mart_root, [GEOGRAPHY, INDICATORS, CALENDAR, *(t.name for t in FACTS)])
+    if not {GEOGRAPHY, INDICATORS, CALENDAR} <= set(held):
+        raise FileNotFoundError(f"no mart under {mart_root}")
+    facts = {table.name: held.get(table.name, _without_rows(spark, table)) for table in FACTS}
     return Mart(
-        geography=read_published(spark, f"{mart_root}/dim_geography"),
-        indicators=read_published(spark, f"{mart_root}/dim_indicator"),
-        calendar=read_published(spark, f"{mart_root}/dim_date"),
-        monthly=_held(spark, mart_root, MONTHLY),
-        income=_held(spark, mart_root, INCOME),
-        tenure=_held(spark, mart_root, TENURE),
+        geography=held[GEOGRAPHY],
+        indicators=held[INDICATORS],
+        calendar=held[CALENDAR],
+        monthly=facts[MONTHLY.name],
+        income=facts[INCOME.name],
+        tenure=facts[TENURE.name],
     )
 
 
-def _held(spark: SparkSession, mart_root: str, table: FactTable) -> DataFrame:
-    """A published fact table, or an empty one while nothing was loaded."""
-    root = f"{mart_root}/{table.name}"
-    if published_version(spark, root):
-        return read_published(spark, root)
+def _without_rows(spark: SparkSession, table: FactTable) -> DataFrame:
+    """What a fact table is while nothing was loaded."""
     return spark.createDataFrame([], table.layout).withColumn("year", F.lit(None).cast("int"))
 
 
-def newest_table(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
+def newest_table(
+    spark: SparkSession, folder: str, columns: list[str], quoted_line_ends: bool = False
+) -> DataFrame:
     """The newest snapshot in a folder, whether plain text or still in its archive.
 
     A snapshot is a file, or a folder of parts as Spark writes them; all its parts are read. The
-    rows have their place in the snapshot as ``row_order``.
+    rows have their place in the snapshot as ``row_order``. Both forms give the same rows, but plain text
+    with line ends in quotes fails unless ``quoted_line_ends`` is set.
     """
     newest = snapshots.newest_snapshot(spark, folder, "*.{csv,zip}")
     if newest.endswith(".zip"):
-        rows = archives.read_archives(spark, newest, columns)
-        return rows.withColumn("row_order", F.struct("path", F.monotonically_increasing_id().alias("at")))
+        rows = archives.read_archives(spark, newest, columns, spread=True)
+        return rows.withColumn("row_order", F.struct("path", F.col("row_order").alias("at")))
     place = F.struct("_metadata.file_name", F.monotonically_increasing_id().alias("at"))
-    return delimited.read_text_table(spark, newest, columns, row_order=place)
+    return delimited.read_text_table(spark, newest, columns, quoted_line_ends, row_order=place)
 
 
-def series_run(spark: SparkSession, raw_root: str, table: str, dims: Dims) -> DataFrame:
+def series_run(
+    spark: SparkSession, raw_root: str, table: str, dims: Dims, quoted_line_ends: bool = False
+) -> DataFrame:
     """Facts of one published table, from the newest file under ``raw_root/<table number>``."""
     folder = f"{raw_root}/{fixed.TABLE_NUMBERS[table]}"
+    spec = series.FOOD if table == "food_prices" else CITY_SPECS.get(table)
+    rows = newest_table(spark, folder, spec.columns if spec else INCOME_COLUMNS, quoted_line_ends)
     if table == "median_income":
-        return series.income_facts(newest_table(spark, folder, INCOME_COLUMNS), dims, "row_order")
+        return series.income_facts(rows, dims, "row_order")
     if table == "food_prices":
-        return series.regional_series(newest_table(spark, folder, series.FOOD.columns), dims, series.FOOD)
-    spec = CITY_SPECS[table]
-    return series.city_series(newest_table(spark, folder, spec.columns), dims, spec)
+        return series.regional_series(rows, dims, spec)
+    return series.city_series(rows, dims, spec)
 
 
 def rental_run(scratch: Scratch, folder: str, dims: Dims, problems: list[Exception]) -> DataFrame:
@@ -173,11 +173,16 @@ def tenure_run(scratch: Scratch, folder: str, dims: Dims) -> DataFrame:
 
 
 def runs(
-    scratch: Scratch, raw_root: str, workbook_folder: str, dims: Dims, problems: list[Exception]
+    scratch: Scratch,
+    raw_root: str,
+    workbook_folder: str,
+    dims: Dims,
+    problems: list[Exception],
+    quoted_line_ends: bool = False,
 ) -> dict[str, Callable]:
     """Source name to a function that gives its facts, in load order."""
     plans: dict[str, Callable[[], DataFrame]] = {
-        table: (lambda table=table: series_run(scratch.spark, raw_root, table, dims)) for table in fixed.TABLE_NUMBERS
+        table: (lambda table=table: series_run(scratch.spark, raw_root, table, dims, quoted_line_ends)) for table in fixed.TABLE_NUMBERS
     }
     plans["rental_survey"] = lambda: rental_run(scratch, workbook_folder, dims, problems)
     plans["credit_trends"] = lambda: credit_run(scratch, workbook_folder, dims)
@@ -197,23 +202,24 @@ def refresh(
     exports: str | None = None,
     day: str | None = None,
     scratch_root: str | None = None,
+    quoted_line_ends: bool = False,
 ) -> dict[str, int]:
     """Conform the chosen sources (all by default) and upsert them.
 
     Every source is tried by itself, up to its written rows; those that fail, and survey
     workbooks that are not recognised, are reported together at the end, after the rest was
-    published. ``years`` keeps a span of them. With ``exports`` each source's facts are also
-    written as CSV under ``exports/<source>/<day>``. Given ``dims`` are published with the
+    published. Dimensions that grow are published first, as ids are needed for the facts; then all
+    facts and their calendar appear as one version, so a reader never joins new facts with an old calendar. ``years`` keeps a span of them. With ``exports`` each source's facts are also
+    written as CSV under ``exports/<source>/<day>``. ``quoted_line_ends`` is for plain text that has such. Given ``dims`` are published with the
     mart, if it has none. Intermediate tables are removed at the end.
     """
     if dims:
-        for name, held in (("dim_geography", dims.geography), ("dim_indicator", dims.indicators)):
-            if not published_version(spark, f"{mart_root}/{name}"):
-                publish(spark, held, f"{mart_root}/{name}", partition_by=[])
+        given = ((GEOGRAPHY, dims.geography), (INDICATORS, dims.indicators))
+        commit(spark, mart_root, [Edit(name, lambda held, rows=rows: rows if held is None else None) for name, rows in given])
     dims = dims or stored_dims(spark, mart_root)
     problems, batches, versions = [], [], {}
     with Scratch(spark, "refresh", scratch_root) as scratch:
-        plans = runs(scratch, raw_root, workbook_folder, dims, problems)
+        plans = runs(scratch, raw_root, workbook_folder, dims, problems, quoted_line_ends)
         for name in sources or list(plans):
             try:
                 facts = plans[name]()
@@ -230,8 +236,6 @@ def refresh(
         except LoadProblems as problem:
             versions = problem.versions
             problems.extend(problem.exceptions)
-    if versions:
-        publish_calendar(spark, mart_root)
     if problems:
         raise LoadProblems("some sources failed", problems, versions)
     return versions

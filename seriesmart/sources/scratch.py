@@ -14,8 +14,16 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
+    """Fails on a cluster where neither setting names a folder that its machines share."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    where = spark._jvm.org.apache.hadoop.fs.Path(warehouse)
+    scheme = where.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse}/_scratch"
 
 
 @contextmanager

@@ -9,6 +9,7 @@ from builders import archive_bytes, as_tuples, workbook_bytes
 from seriesmart import fixed_values as fixed
 from seriesmart.plans import questions, runs
 from seriesmart.plans.loads import LoadProblems, load
+from seriesmart.sources import commits
 from seriesmart.sources.tables import publish, read_published, versions
 
 
@@ -164,3 +165,33 @@ def test_a_failing_table_does_not_stop_the_others(spark, tmp_path):
     with pytest.raises(ExceptionGroup):
         load(spark, str(tmp_path), [("cpi_cma", bad), ("income_tenure", tenure)])
     assert read_published(spark, f"{tmp_path}/fact_annual_income_tenure").count() == 1
+
+
+def test_facts_and_calendar_appear_as_one_version(spark, tmp_path, monkeypatch):
+    layout = "geography_id INT, date_id INT, indicator_id INT, value STRING"
+    root = str(tmp_path)
+    runs.stored_dims(spark, root)
+    load(spark, root, [("cpi_cma", spark.createDataFrame([(1, 202001, 1, "1.5")], layout))])
+    opened, seen = runs.open_mart(spark, root), []
+
+    def years(mart):
+        return {r.year for r in mart.calendar.select("year").distinct().collect()}
+
+    def watched(*parts):
+        now = runs.open_mart(spark, root)
+        held = {r.y for r in now.monthly.select((F.col("date_id") / 100).cast("int").alias("y")).distinct().collect()}
+        seen.append(held <= years(now))
+        return put(*parts)
+
+    put = commits.put
+    monkeypatch.setattr(commits, "put", watched)
+    load(spark, root, [("cpi_cma", spark.createDataFrame([(1, 203501, 1, "2.5")], layout))])
+    now = runs.open_mart(spark, root)
+    assert seen == [True] and years(now) == set(range(2020, 2036)) and now.monthly.count() == 2
+    assert years(opened) == {2020} and opened.monthly.count() == 1  # an open mart stays as it was
+    numbers = commits.numbers(spark, root)
+    load(spark, root, [("cpi_cma", spark.createDataFrame([(2, 202501, 1, "3.5")], layout))])
+    assert commits.numbers(spark, root)[-1] == numbers[-1] + 1
+    assert versions(spark, f"{root}/dim_date") == [2]  # its years did not change
+    runs.publish_calendar(spark, root)
+    assert commits.numbers(spark, root)[-1] == numbers[-1] + 1

@@ -1,4 +1,5 @@
 import os
+import threading
 import time
 
 import pytest
@@ -8,6 +9,7 @@ from builders import archive_bytes, as_tuples, workbook_bytes
 from seriesmart import schemas
 from seriesmart.plans import grids
 from seriesmart.sources import archives, delimited, snapshots, tables, workbooks
+from seriesmart.sources import commits
 from seriesmart.sources.scratch import Scratch, fresh_folder
 from seriesmart.streaming.incremental import ingest_new_files
 
@@ -50,6 +52,71 @@ def test_archive_takes_the_data_table(spark, tmp_path):
     assert as_tuples(df, "GEO", "VALUE") == [("a, b", "1"), ("c", None)]
 
 
+QUOTED = 'k,GEO,v\n1,"Tor\nonto",1.5\n2,"say ""x""",\n3,Calgary,2.5\n'
+
+
+def read_both_ways(spark, path, text, name="t"):
+    """(plain, plain with quoted line ends, zipped, zipped and spread) rows of one text."""
+    path.mkdir()
+    (path / f"{name}.csv").write_bytes(b"\xef\xbb\xbf" + text.encode())
+    (path / "z").mkdir()
+    (path / "z" / f"{name}.zip").write_bytes(archive_bytes({f"{name}.csv": "\ufeff" + text}))
+    columns = ["v", "k", "GEO"]
+
+    def tried(df):
+        try:
+            return as_tuples(df, *columns)
+        except Exception as problem:  # noqa: BLE001 - compared below
+            return type(problem).__name__
+
+    return [
+        tried(delimited.read_text_table(spark, str(path / f"{name}.csv"), columns)),
+        tried(delimited.read_text_table(spark, str(path / f"{name}.csv"), columns, quoted_line_ends=True)),
+        tried(archives.read_archives(spark, str(path / "z"), columns)),
+        tried(archives.read_archives(spark, str(path / "z"), columns, spread=True)),
+    ]
+
+
+def test_plain_and_zipped_text_give_the_same_rows_or_fail(spark, tmp_path):
+    rows = [("1.5", "1", "Tor\nonto"), ("2.5", "3", "Calgary"), (None, "2", 'say "x"')]
+    plain, whole, zipped, spread = read_both_ways(spark, tmp_path / "quoted", QUOTED)
+    assert isinstance(plain, str)  # a record cut at a line end in quotes fails
+    assert sorted(whole, key=str) == sorted(zipped, key=str) == sorted(spread, key=str) == sorted(rows, key=str)
+    good = "k,GEO,v\n1,A,1\n\n2,,\n"
+    same = [("1", "1", "A"), (None, "2", None)]
+    assert all(sorted(found, key=str) == sorted(same, key=str) for found in read_both_ways(spark, tmp_path / "good", good))
+    for name, text in (("short", "k,GEO,v\n1,A\n"), ("long", "k,GEO,v\n1,A,1,1\n"), ("open", 'k,GEO,v\n1,"A,1\n2,B,2\n')):
+        found = read_both_ways(spark, tmp_path / name, text)
+        assert all(isinstance(rows, str) for rows in (found if name != "open" else [found[0], *found[2:]])), (name, found)
+
+
+def test_parts_with_another_header_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("GEO,REF_DATE,VALUE\nToronto,2020-01,1.5\n")
+    (tmp_path / "b.csv").write_text("VALUE,GEO,REF_DATE\n1.5,Toronto,2020-01\n")
+    with pytest.raises(Exception, match="header"):
+        delimited.read_text_table(spark, str(tmp_path), ["GEO", "REF_DATE", "VALUE"]).collect()
+
+
+def test_long_archives_are_parsed_in_pieces(spark, tmp_path, monkeypatch):
+    text = "k,v\n" + "".join(f'{i},"a\n{"b" * (i % 50)}""{i}"\n' for i in range(3000))
+    (tmp_path / "big.zip").write_bytes(archive_bytes({"big.csv": text}))
+    monkeypatch.setattr(archives, "CHUNK_BYTES", 700)
+    rows = archives.read_archives(spark, str(tmp_path), ["k", "v"], spread=True)
+    got = [(r.k, r.v) for r in rows.orderBy("row_order").collect()]
+    assert got == [(str(i), f'a\n{"b" * (i % 50)}"{i}') for i in range(3000)]
+    assert rows.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_sheets_of_one_workbook_are_decoded_by_several_tasks(spark, tmp_path):
+    sheets = {f"S{n}": {at: [f"{n}-{at}", at] for at in range(1, 40)} for n in range(12)}
+    (tmp_path / "a.xlsx").write_bytes(workbook_bytes(sheets))
+    grid = workbooks.read_workbooks(spark, str(tmp_path))
+    assert grid.count() == 12 * 39 and grid.select(F.spark_partition_id()).distinct().count() > 1
+    assert grid.select("sheet", F.spark_partition_id().alias("p")).distinct().groupBy("sheet").count().filter("count > 1").count() == 0
+    one = workbooks.read_workbooks(spark, str(tmp_path), sheets=["S7"]).orderBy("row_idx").collect()
+    assert [r.cells for r in one] == [[f"7-{at}", str(at)] for at in range(1, 40)]
+
+
 def test_archive_without_a_table_fails(spark, tmp_path):
     (tmp_path / "9.zip").write_bytes(archive_bytes({"9_MetaData.csv": "x\n"}))
     with pytest.raises(Exception, match="no data table"):
@@ -154,20 +221,123 @@ def test_an_upsert_rewrites_only_the_years_it_touches(spark, tmp_path):
     assert tables.versions(spark, root) == [2, 3]
 
 
-def test_of_two_writers_one_fails(spark, tmp_path, monkeypatch):
+def overtaken_by(monkeypatch, rival):
+    """Lets another writer finish while this one writes its rows for the first time."""
+    own = tables._write_years
+
+    def late(df, where):
+        monkeypatch.setattr(tables, "_write_years", own)
+        rival()
+        return own(df, where)
+
+    monkeypatch.setattr(tables, "_write_years", late)
+
+
+@pytest.mark.parametrize("theirs", [202001, 202101, 202202])
+def test_of_two_writers_none_loses_rows(spark, tmp_path, monkeypatch, theirs):
     root = str(tmp_path / "fact")
-    tables.upsert_published(spark, root, facts(spark, [(1, 202001, 1, 1.0)]), schemas.MONTHLY_KEY)
-    late = tables._write_years
+    key = schemas.MONTHLY_KEY
+    tables.upsert_published(spark, root, facts(spark, [(1, 202001, 1, 1.0), (1, 202101, 1, 1.0)]), key)
+    overtaken_by(monkeypatch, lambda: tables.upsert_published(spark, root, facts(spark, [(2, theirs, 1, 2.0)]), key))
+    before = files_below(root)
+    tables.upsert_published(spark, root, facts(spark, [(3, 202001, 1, 3.0), (1, 202001, 1, 9.0)]), key)
+    rows = {(r.geography_id, r.date_id): float(r.value) for r in tables.read_published(spark, root).collect()}
+    assert rows == {(1, 202001): 9.0, (1, 202101): 1.0, (2, theirs): 2.0, (3, 202001): 3.0}
+    # Years that the other one left alone are written once; its own years are merged again.
+    written = [f for f in files_below(root) - before if "year=2020" in f]
+    assert len({f.split("batch=")[1][:32] for f in written}) == (2 if theirs == 202001 else 1) + (theirs == 202001)
+    assert tables.versions(spark, root) == [2, 3]
 
-    def overtaken(df, where):
-        monkeypatch.setattr(tables, "_write_years", late)
-        tables.upsert_published(spark, root, facts(spark, [(2, 202001, 1, 2.0)]), schemas.MONTHLY_KEY)
-        return late(df, where)
 
-    monkeypatch.setattr(tables, "_write_years", overtaken)
-    with pytest.raises(tables.VersionTaken):
-        tables.upsert_published(spark, root, facts(spark, [(3, 202001, 1, 3.0)]), schemas.MONTHLY_KEY)
+def test_many_writers_at_once(spark, tmp_path):
+    root = str(tmp_path / "fact")
+    problems = []
+
+    def write(at):
+        try:
+            own = spark.newSession()
+            rows = [(at, 202001 + 100 * (at % 2), 1, 1.0), (100 + at, 202301, 1, 2.0)]
+            tables.upsert_published(own, root, facts(own, rows), schemas.MONTHLY_KEY)
+        except Exception as problem:  # noqa: BLE001 - shown below
+            problems.append(problem)
+
+    threads = [threading.Thread(target=write, args=(at,)) for at in range(5)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert problems == []
+    ids = [r.geography_id for r in tables.read_published(spark, root).collect()]
+    assert sorted(ids) == [*range(5), *range(100, 105)]
+    assert tables.published_version(spark, root) == 5
+
+
+def test_an_edit_that_read_the_old_rows_is_made_again(spark, tmp_path):
+    mart = str(tmp_path / "mart")
+    one, two = spark.range(1).toDF("x"), spark.range(2).toDF("x")
+    tables.commit(spark, mart, [tables.Edit("a", lambda held: one)])
+    made = []
+
+    def grow(held):
+        made.append(held.count())
+        if len(made) == 1:  # meanwhile
+            tables.commit(spark, mart, [tables.Edit("a", lambda held: two), tables.Edit("b", lambda held: one)])
+        return held.union(one)
+
+    assert tables.commit(spark, mart, [tables.Edit("a", grow)]) == {"a": 3}
+    assert made == [1, 2] and tables.read_published(spark, f"{mart}/a").count() == 3
+    assert tables.commit(spark, mart, [tables.Edit("a", lambda held: None)]) == {}
+    assert tables.read_published(spark, f"{mart}/b").count() == 1
+
+
+def test_a_half_written_manifest_is_no_version(spark, tmp_path):
+    root = str(tmp_path / "fact")
+    tables.upsert_published(spark, root, facts(spark, [(1, 202001, 1, 1.0)]), schemas.MONTHLY_KEY)
+    for name, text in (("2.json", ""), ("3.json", '{"tables": '), ("notes.txt", "x")):
+        (tmp_path / "fact" / "published" / name).write_text(text)
+    assert [r.geography_id for r in tables.read_published(spark, root).collect()] == [1]
+    tables.upsert_published(spark, root, facts(spark, [(2, 202001, 1, 1.0)]), schemas.MONTHLY_KEY)
     assert sorted(r.geography_id for r in tables.read_published(spark, root).collect()) == [1, 2]
+    assert commits.numbers(spark, root) == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("step", ["_write", "rename", "link"])
+def test_a_writer_that_dies_leaves_the_mart_readable(spark, tmp_path, monkeypatch, step):
+    root = str(tmp_path / "fact")
+    tables.upsert_published(spark, root, facts(spark, [(1, 202001, 1, 1.0)]), schemas.MONTHLY_KEY)
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        if step == "link":
+            patch.setattr(commits.os, "link", dies)
+        elif step == "_write":
+            patch.setattr(commits, "_link", lambda final, text: commits._write(*commits.files_of(spark, f"{root}/published/_writing/x"), text[:9]) or dies())
+        else:
+            patch.setattr(tables.commits, "put", dies)
+        with pytest.raises(KeyboardInterrupt):
+            tables.upsert_published(spark, root, facts(spark, [(2, 202001, 1, 2.0)]), schemas.MONTHLY_KEY)
+    assert [r.geography_id for r in tables.read_published(spark, root).collect()] == [1]
+    tables.upsert_published(spark, root, facts(spark, [(3, 202001, 1, 3.0)]), schemas.MONTHLY_KEY)
+    assert sorted(r.geography_id for r in tables.read_published(spark, root).collect()) == [1, 3]
+    named = files_below(root)
+    tables.remove_unreferenced(spark, root, keep=1, stray_age=-60)
+    assert files_below(root) < named  # what the dead writer left is gone, after its time
+    assert sorted(r.geography_id for r in tables.read_published(spark, root).collect()) == [1, 3]
+    assert os.listdir(f"{root}/published/_writing") == []
+
+
+def test_a_number_is_given_once_by_link_and_by_rename(spark, tmp_path):
+    root = str(tmp_path)
+    commits.put(spark, root, 1, {"tables": {}})
+    with pytest.raises(commits.VersionTaken):
+        commits.put(spark, root, 1, {"tables": {"x": 1}})
+    commits._rename(spark, root, f"{root}/published/2.json", b'{"tables": {"y": 2}}')
+    with pytest.raises(commits.VersionTaken):
+        commits._rename(spark, root, f"{root}/published/2.json", b"{}")
+    assert commits.content(spark, root, 1) == {"tables": {}}
+    assert commits.newest(spark, root) == (2, {"tables": {"y": 2}})
 
 
 def test_impossible_dates_fail(spark, tmp_path):
