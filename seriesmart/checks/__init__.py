@@ -8,6 +8,7 @@ from seriesmart.checks import (  # noqa: F401 - importing registers the queries
     aggregates,
     dimensions,
     files,
+    history,
     joins,
     questions,
     rows,

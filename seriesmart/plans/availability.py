@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from seriesmart import fixed_values as fixed
 from seriesmart.functions import periods
 from seriesmart.functions.text import availability_line, or_no_data
+from seriesmart.operators.blocks import islands
+
+PERIODS_PER_BLOCK = 240
 
 
 @dataclass(frozen=True)
@@ -115,3 +118,56 @@ def what_is_available(requests: DataFrame, years: DataFrame) -> DataFrame:
         or_no_data(F.col("min_year")).alias("min_year"),
         or_no_data(F.col("max_year")).alias("max_year"),
     )
+
+
+def _index(date_id: Column, frequency: Column) -> Column:
+    """Successive whole numbers for successive periods: months, quarters or years."""
+    year, month = periods.year_of(date_id), periods.month_of(date_id)
+    quarter = F.greatest(periods.quarter_of_month(month), F.lit(1))
+    return (
+        F.when(frequency == "annual", year)
+        .when(frequency == "quarterly", year * 4 + quarter - 1)
+        .otherwise(year * 12 + F.greatest(month, F.lit(1)) - 1)
+    )
+
+
+def _date_id(index: Column, frequency: Column) -> Column:
+    """The date of a period: its year, the last month of its quarter, or its month."""
+    quarter = F.floor(index / 4) * 100 + (F.pmod(index, F.lit(4)) + 1) * 3
+    month = F.floor(index / 12) * 100 + F.pmod(index, F.lit(12)) + 1
+    return F.when(frequency == "annual", index * 100).when(frequency == "quarterly", quarter).otherwise(month).cast("int")
+
+
+def coverage(mart, by_city: bool = False) -> DataFrame:
+    """``indicator_name, source[, cma_name], first, last, held, missing_before``: the spans that each
+    indicator (or each city's series of it) holds without a gap, as date ids.
+
+    Gaps are counted in the indicator's own periods: months, quarters or years, so a yearly survey in October has
+    none between two years. Facts are reduced to distinct periods before they are put in order, and a series is
+    cut into blocks of PERIODS_PER_BLOCK.
+    """
+    keys = ["indicator_id", "geography_id"] if by_city else ["indicator_id"]
+    names = mart.indicators.select("indicator_id", "indicator_name", "source", F.lower("frequency").alias("frequency"))
+    dated = mart.monthly.select(*keys, "date_id").distinct().join(names, "indicator_id")
+    held = dated.select(*keys, _index(F.col("date_id"), F.col("frequency")).alias("index")).distinct()
+    spans = islands(held, keys, "index", PERIODS_PER_BLOCK).join(names, "indicator_id")
+    shown = ["indicator_name", "source"]
+    if by_city:
+        spans = spans.join(mart.geography.select("geography_id", "cma_name"), "geography_id")
+        shown.append("cma_name")
+    ends = (_date_id(F.col(end), F.col("frequency")).alias(end) for end in ("first", "last"))
+    return spans.select(*shown, *ends, "held", "missing_before")
+
+
+def coverage_report(mart, by_city: bool = False) -> DataFrame:
+    """One line per indicator (or series) with all its spans, such as "201901–202012, 202201–202412 (12 missing)"."""
+    spans = coverage(mart, by_city)
+    keys = [name for name in ("indicator_name", "source", "cma_name") if name in spans.columns]
+    line = F.concat(F.col("first").cast("string"), F.lit("–"), F.col("last").cast("string"))
+    found = spans.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("first", line.alias("line")))).alias("spans"),
+        F.coalesce(F.sum("missing_before"), F.lit(0)).alias("missing"),
+    )
+    text = F.array_join(F.col("spans.line"), ", ")
+    note = F.when(F.col("missing") > 0, F.concat(F.lit(" ("), F.col("missing").cast("string"), F.lit(" missing)"))).otherwise("")
+    return found.select(*keys, "missing", F.concat(text, note).alias("line"))
