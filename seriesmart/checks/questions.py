@@ -6,6 +6,7 @@ from seriesmart.checks.aggregates import FAMILY_SQL, trade_years
 from seriesmart.checks.base import annual_balances, check
 from seriesmart.plans import availability, questions
 from seriesmart.plans.trade import stored_trade_mart, table, trade_facts, trade_indicators, trade_mart
+from seriesmart.sources import vectors
 from seriesmart.sources.scratch import fresh_folder
 
 LATEST_SQL = """, latest AS (
@@ -217,9 +218,7 @@ def beside_annual(spark, folder):
     return as_double(wanted, "value", "avg_income")
 
 
-@check(
-    "V1_nearest_documents",
-    """, centre AS (
+NEAREST_SQL = """, centre AS (
         SELECT label AS query_id, list(mean ORDER BY pos) AS embedding FROM (
             SELECT label, pos, avg(CAST(item AS DOUBLE)) AS mean FROM (
                 SELECT label, unnest(embedding) AS item, generate_subscripts(embedding, 1) AS pos FROM embeddings)
@@ -229,14 +228,28 @@ def beside_annual(spark, folder):
             CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS position
         FROM (SELECT c.query_id, e.vec_id AS doc_id,
                 round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), c.embedding), 6) AS score
-              FROM embeddings e, centre c)) WHERE position <= 10""",
-)
+              FROM embeddings e, centre c)) WHERE position <= 10"""
+
+
+@check("V1_nearest_documents", NEAREST_SQL)
 def nearest_documents(spark, folder):
-    vectors = table(spark, folder, "embeddings")
-    items = vectors.select("label", F.posexplode("embedding").alias("at", "item"))
+    return questions.nearest_documents(*documents_and_centres(spark, folder), k=10)
+
+
+@check("V2_indexed_documents", NEAREST_SQL)
+def indexed_documents(spark, folder):
+    """The same from an index at rest: first the nearest cells, then all that can reach what they gave."""
+    documents, centres = documents_and_centres(spark, folder)
+    index = vectors.build(documents, fresh_folder(spark, "index"))
+    return vectors.search(index, centres, 10, probes=8, exact=True)
+
+
+def documents_and_centres(spark, folder):
+    rows = table(spark, folder, "embeddings")
+    items = rows.select("label", F.posexplode("embedding").alias("at", "item"))
     means = items.groupBy("label", "at").agg(F.avg(F.col("item").cast("double")).alias("mean"))
     centres = means.groupBy(F.col("label").alias("query_id")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("at", "mean"))), lambda p: p["mean"]).alias("embedding")
     )
-    documents = vectors.select(F.col("vec_id").alias("doc_id"), "embedding")
-    return questions.nearest_documents(documents, centres, k=10)
+    documents = rows.select(F.col("vec_id").alias("doc_id"), "embedding")
+    return documents, centres

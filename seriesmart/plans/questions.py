@@ -1,12 +1,17 @@
 """Questions over the mart, as parameterised DataFrame functions."""
 
 from dataclasses import dataclass, replace
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from seriesmart import fixed_values as fixed
 from seriesmart.functions import periods
-from seriesmart.operators.nearest import Best, by_part
+from seriesmart.operators import nearest
+from seriesmart.operators.blocks import last_known
+
+QUERY_BYTES = 32 << 20
+PLACES_PER_YEAR = 13  # the annual value, then twelve months
 
 
 @dataclass(frozen=True)
@@ -248,54 +253,71 @@ def beside_income(mart: Mart, **where) -> DataFrame:
     return bridge_to_years(mart.monthly, annual.drop("year", "loaded_at"))
 
 
-def nearest_documents(documents: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def nearest_documents(documents: DataFrame, queries: DataFrame, k: int, block_bytes: int = QUERY_BYTES) -> DataFrame:
     """The k documents most similar to each query vector, by exact cosine.
 
-    ``documents`` has (doc_id, embedding), ``queries`` has (query_id, embedding). Documents
-    are dealt by hash; each task is sent the query vectors first, keeps them as one
-    matrix, and multiplies it with one batch of documents after the other. It keeps its
-    best k per query, so what is shuffled at the end is k rows per query and task. It is one plan
-    for any number of queries, whose vectors must fit in a task. Vectors that are null, hold a
-    null, have length 0, or another number of components than the query give no score.
+    ``documents`` has (doc_id, embedding), ``queries`` has (query_id, embedding). Queries go in blocks of about
+    ``block_bytes``, each of which is broadcast; documents pass beside it where they lie, without
+    a shuffle, in matrix products. A task keeps its best k per query of the block, so its memory does not
+    depend on the number of queries, and what is shuffled is k rows per query and task. Vectors that are
+    null, hold a null, have length 0, or another number of components than the query give no score.
     """
-    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def rows(df: DataFrame, side: int, part: Column, query_id: Column, doc_id: Column) -> DataFrame:
-        vector = F.col("embedding").cast("array<double>")
-        usable = df.filter(vector.isNotNull() & ~F.exists(vector, lambda x: x.isNull()))
-        return usable.select(
-            part.alias("part"),
-            F.lit(side).alias("side"),
-            query_id.cast("string").alias("query_id"),
-            doc_id.cast("long").alias("doc_id"),
-            vector.alias("v"),
-        )
-
-    none = F.lit(None)
-    asked = rows(queries, 0, F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))), F.col("query_id"), none)
-    held = rows(documents, 1, F.pmod(F.xxhash64("doc_id"), F.lit(tasks)).cast("int"), none, F.col("doc_id"))
     kind = queries.schema["query_id"].dataType
-
-    def search(batches):
-        best = Best(k)
-        for batch in batches:
-            for (part, side), some in by_part(batch):
-                if side == 0:
-                    best.ask(part, some)
-                else:
-                    best.see(part, some)
-            yield from best.finished()
-        yield from best.finished(last=True)
-
-    found = (
-        asked.unionByName(held)
-        .repartition(tasks, "part")
-        .sortWithinPartitions("part", "side")
-        .mapInArrow(search, "query_id string, doc_id long, score double")
-    )
+    asked = nearest.usable(queries, F.col("embedding"), F.col("query_id").cast("string").alias("query_id"))
+    held = nearest.usable(documents, F.col("embedding"), F.col("doc_id").cast("long").alias("doc_id"))
+    blocks = max(1, ceil((asked.agg(F.sum(F.size("v"))).first()[0] or 0) * 8 / block_bytes))
+    own = F.pmod(F.xxhash64("query_id", "v"), F.lit(blocks))
+    found = None
+    for block in range(blocks):
+        best = nearest.stream(held, asked.filter(own == block).toArrow(), k)
+        found = best if found is None else found.unionByName(best)
     position = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc()))
     return (
         found.withColumn("position", position)
         .filter(F.col("position") <= k)
         .select(F.col("query_id").cast(kind).alias("query_id"), "position", "doc_id", "score")
     )
+
+
+def side_by_side(
+    mart: Mart, indicator: str, others: dict[str, int], source: str | None = None, width: int = 2 * PLACES_PER_YEAR
+) -> DataFrame:
+    """Each value of an indicator beside the last one of others: ``cma_name, date_id, value``, and per
+    other its value under its name and the date of that as ``<name> date``.
+
+    ``others`` says how many months old its value may be at most; an older one, or none, is null. So
+    monthly prices can stand beside the survey of the last October, the last quarter or the
+    year: an annual value counts from before January of its year. ``source`` is that of all the indicators.
+    A city's rows are dealt by spans of two years, each of which starts from what was known before, so a city
+    with most of the rows is many small groups.
+    """
+    names = of_source(mart, source).filter(F.col("indicator_name").isin([indicator, *others]))
+    year, month = periods.year_of(F.col("date_id")), periods.month_of(F.col("date_id"))
+    rows = (
+        mart.monthly.select("geography_id", "date_id", "indicator_id", "value")
+        .join(names.select("indicator_id", "indicator_name"), "indicator_id")
+        .select(
+            "geography_id",
+            "date_id",
+            "value",
+            "indicator_name",
+            (year * PLACES_PER_YEAR + month).alias("place"),
+            (F.col("indicator_name") == indicator).cast("int").alias("last"),
+        )
+    )
+    known = {
+        f"other_{at}": F.when(F.col("indicator_name") == name, F.struct("date_id", "value"))
+        for at, name in enumerate(others)
+    }
+    beside = last_known(rows, known, ["geography_id"], ["place", "last"], width).filter(F.col("indicator_name") == indicator)
+
+    def months(date_id: Column) -> Column:
+        return periods.year_of(date_id) * 12 + periods.month_of(date_id)
+
+    columns = []
+    for at, (name, oldest) in enumerate(others.items()):
+        age = months(F.col("date_id")) - months(F.col(f"other_{at}.date_id"))
+        for field, shown in (("value", name), ("date_id", f"{name} date")):
+            columns.append(F.when(age <= oldest, F.col(f"other_{at}.{field}")).alias(shown))
+    places = mart.geography.select("geography_id", "cma_name")
+    return beside.join(places, "geography_id").select("cma_name", "date_id", "value", *columns)
