@@ -14,7 +14,7 @@ from seriesmart.checks.base import (
 )
 from seriesmart.checks.transforms import cpi_inputs, income_rows, target_and_batch, tenure
 from seriesmart.functions import numbers, periods, text
-from seriesmart.operators import lookup
+from seriesmart.operators import bitmaps, lookup
 from seriesmart.operators.fill import forward_fill
 from seriesmart.operators.reshape import cell, pivot_first, unpivot_by_header, unpivot_positions
 from seriesmart.operators.upsert import latest_per_key, union_all
@@ -226,3 +226,27 @@ def unpivot_years(spark, folder):
     rows = unpivot_by_header(staged(tenure_grid(spark, folder, "median"), "median"), fixed.TENURE_HEADER_ROW, "raw")
     rows = rows.na.drop(subset=["raw"])
     return rows.select("sheet", "row_idx", text.trimmed(F.col("label")).alias("label"), "year", "raw")
+
+
+@check(
+    "A8_distinct_by_bitmaps",
+    """, placed_orders AS (SELECT c_nationkey AS nation, CAST(year(o_orderdate) AS INTEGER) AS year, o_custkey
+        FROM orders JOIN customer ON o_custkey = c_custkey)
+    SELECT nation, year, count(DISTINCT o_custkey) AS customers FROM placed_orders GROUP BY nation, year
+    UNION ALL SELECT nation, NULL, count(DISTINCT o_custkey) FROM placed_orders GROUP BY nation
+    UNION ALL SELECT NULL, year, count(DISTINCT o_custkey) FROM placed_orders GROUP BY year
+    UNION ALL SELECT NULL, NULL, count(DISTINCT o_custkey) FROM placed_orders""",
+)
+def distinct_by_bitmaps(spark, folder):
+    """Customers with orders by nation and year, by either and over all, from one stored table of bitmaps."""
+    owners = table(spark, folder, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
+    orders = table(spark, folder, "orders").select("o_custkey", F.year("o_orderdate").alias("year")).distinct()
+    maps = bitmaps.bitmaps(orders.join(owners, F.col("o_custkey") == F.col("c_custkey")), ["nation", "year"], "o_custkey")
+    held = staged(maps, "bitmaps")
+    found = [bitmaps.distinct_counts(held, keys, "customers") for keys in (["nation", "year"], ["nation"], ["year"], [])]
+    layout = ["nation", "year", "customers"]
+    whole = [
+        rows.select(*(F.col(c) if c in rows.columns else F.lit(None).cast(found[0].schema[c].dataType).alias(c) for c in layout))
+        for rows in found
+    ]
+    return union_all(whole)

@@ -94,9 +94,15 @@ def availability_report(years: DataFrame) -> DataFrame:
 
 
 def mart_report(mart) -> DataFrame:
-    """The nine published families over an opened mart: one scan of the monthly fact, one of incomes."""
-    years = family_years(mart.monthly, mart.indicators, mart.calendar, PUBLISHED_FAMILIES)
-    return availability_report(years.unionByName(annual_years(mart.income, *fixed.INCOME_FAMILY)))
+    """The nine published families over an opened mart.
+
+    They come from the dates that the mart keeps beside its facts, without reading a fact; in a mart
+    without them, from one scan of the monthly fact and one of incomes.
+    """
+    dates = mart.monthly if mart.dates is None else mart.dates
+    incomes = mart.income if mart.income_dates is None else mart.income_dates
+    years = family_years(dates, mart.indicators, mart.calendar, PUBLISHED_FAMILIES)
+    return availability_report(years.unionByName(annual_years(incomes, *fixed.INCOME_FAMILY)))
 
 
 def indicator_years(facts: DataFrame, dim_indicator: DataFrame) -> DataFrame:
@@ -148,7 +154,8 @@ def coverage(mart, by_city: bool = False) -> DataFrame:
     """
     keys = ["indicator_id", "geography_id"] if by_city else ["indicator_id"]
     names = mart.indicators.select("indicator_id", "indicator_name", "source", F.lower("frequency").alias("frequency"))
-    dated = mart.monthly.select(*keys, "date_id").distinct().join(names, "indicator_id")
+    facts = mart.monthly if by_city or mart.dates is None else mart.dates
+    dated = facts.select(*keys, "date_id").distinct().join(names, "indicator_id")
     held = dated.select(*keys, _index(F.col("date_id"), F.col("frequency")).alias("index")).distinct()
     spans = islands(held, keys, "index", PERIODS_PER_BLOCK).join(names, "indicator_id")
     shown = ["indicator_name", "source"]

@@ -2,14 +2,14 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from seriesmart import schemas
 from seriesmart.operators import dims as dimension
 from seriesmart.operators.upsert import as_layout, replay
 from seriesmart.sources.scratch import Scratch
-from seriesmart.sources.tables import ALL, Derived, commit, upsert_edit
+from seriesmart.sources.tables import ALL, Derived, Summary, commit, upsert_edit
 
 
 class LoadProblems(ExceptionGroup):
@@ -63,6 +63,19 @@ def calendar_of(spark: SparkSession) -> Derived:
     return Derived(CALENDAR, _span, lambda span: dimension.calendar(spark, *map(int, span.split("-"))))
 
 
+def dates_of(table: FactTable) -> str:
+    return f"{table.name}_dates"
+
+
+def summaries() -> list[Summary]:
+    """The dates of each indicator, and of the incomes, with their number of facts: renewed for the years of a load."""
+    by_indicator = ["indicator_id", "date_id"]
+    return [
+        Summary(dates_of(MONTHLY), MONTHLY.name, lambda rows: rows.groupBy(*by_indicator).agg(F.count("*").alias("facts"))),
+        Summary(dates_of(INCOME), INCOME.name, lambda rows: rows.groupBy("date_id").agg(F.count("*").alias("facts"))),
+    ]
+
+
 def load(
     spark: SparkSession, root: str, batches: list[tuple[str, DataFrame]], scratch: str | None = None
 ) -> dict[str, int]:
@@ -72,7 +85,7 @@ def load(
     is left out and the others of its table still load. Frames for one table then
     become one batch and one upsert: replaying them one by one would end with the
     same rows. Every table is tried; those that can be loaded are published together, with a calendar over
-    their years, and the failures are raised together, with what was
+    their years and a summary of their dates, and the failures are raised together, with what was
     published as ``versions``. Returns the published versions of the tables.
     """
     by_table: dict[str, tuple[FactTable, list[DataFrame]]] = {}
@@ -91,7 +104,7 @@ def load(
                 edits.append(upsert_edit(run, name, replay(frames), table.keys, ["load_no"]))
             except Exception as problem:  # noqa: BLE001 - reported with the others below
                 problems.append(ExceptionGroup(f"load of {name} failed", [problem]))
-        versions = commit(spark, root, edits, [calendar_of(spark)], problems)
+        versions = commit(spark, root, edits, [calendar_of(spark), *summaries()], problems)
     if problems:
         raise LoadProblems("some loads failed", problems, versions)
     return versions

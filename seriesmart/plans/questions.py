@@ -16,12 +16,16 @@ PLACES_PER_YEAR = 13  # the annual value, then twelve months
 
 @dataclass(frozen=True)
 class Mart:
+    """Dimensions, facts, and, where the mart keeps them, the dates that the facts have (per indicator, and of incomes)."""
+
     geography: DataFrame
     indicators: DataFrame
     calendar: DataFrame
     monthly: DataFrame
     income: DataFrame | None = None
     tenure: DataFrame | None = None
+    dates: DataFrame | None = None
+    income_dates: DataFrame | None = None
 
 
 def series(

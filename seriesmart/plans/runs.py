@@ -9,7 +9,7 @@ from seriesmart import fixed_values as fixed
 from seriesmart.functions import periods
 from seriesmart.operators import dims as dimension
 from seriesmart.plans import grids, series
-from seriesmart.plans.loads import CALENDAR, INCOME, MONTHLY, TENURE, FactTable, LoadProblems, calendar_of, load
+from seriesmart.plans.loads import CALENDAR, INCOME, MONTHLY, TENURE, FactTable, LoadProblems, calendar_of, dates_of, load
 from seriesmart.plans.questions import Mart
 from seriesmart.plans.series import Dims
 from seriesmart.sources import archives, delimited, snapshots, workbooks
@@ -78,7 +78,8 @@ def publish_calendar(spark: SparkSession, mart_root: str) -> None:
 
 def open_mart(spark: SparkSession, mart_root: str) -> Mart:
     """The published mart, for the questions: all its tables as one version has them."""
-    held = read_version(spark, mart_root, [GEOGRAPHY, INDICATORS, CALENDAR, *(t.name for t in FACTS)])
+    dates = [dates_of(MONTHLY), dates_of(INCOME)]
+    held = read_version(spark, mart_root, [GEOGRAPHY, INDICATORS, CALENDAR, *(t.name for t in FACTS), *dates])
     if not {GEOGRAPHY, INDICATORS, CALENDAR} <= set(held):
         raise FileNotFoundError(f"no mart under {mart_root}")
     facts = {table.name: held.get(table.name, _without_rows(spark, table)) for table in FACTS}
@@ -89,6 +90,8 @@ def open_mart(spark: SparkSession, mart_root: str) -> Mart:
         monthly=facts[MONTHLY.name],
         income=facts[INCOME.name],
         tenure=facts[TENURE.name],
+        dates=held.get(dates[0]),
+        income_dates=held.get(dates[1]),
     )
 
 

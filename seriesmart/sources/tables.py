@@ -97,7 +97,7 @@ def published_version(spark: SparkSession, root: str) -> int:
 def _write_years(df: DataFrame, root: str) -> dict[str, str]:
     """Write the rows to a new folder; the folder of each of their years."""
     batch = f"batch={uuid.uuid4().hex}"
-    write_facts(df, f"{root}/data/{batch}")
+    write_facts(df, f"{root}/data/{batch}", sort_by=[name for name in SORTED_BY if name in df.columns])
     names = commits.names_in(df.sparkSession, f"{root}/data/{batch}")
     return {name.removeprefix("year="): f"{batch}/{name}" for name in names if name.startswith("year=")}
 
@@ -194,11 +194,50 @@ class Derived:
     make: Callable[[str], DataFrame]
 
 
+    def renewed(self, spark: SparkSession, mart: str, tables: dict[str, dict], kept: dict) -> dict | None:
+        """The table's entry, if it must change."""
+        token, held = self.token(tables), tables.get(self.table)
+        if token is None or (held and held.get("token") == token):
+            return None
+        if (self.table, token) not in kept:
+            rows = self.make(token)
+            folders = _write_whole(rows, _root(mart, self.table))
+            kept[self.table, token] = {"schema": rows.schema.json(), "folders": folders, "token": token}
+        return kept[self.table, token]
+
+
+@dataclass(frozen=True)
+class Summary:
+    """A table made from another one, year by year; only the years whose folders changed are made again.
+
+    ``make`` gets the rows of these years; what it gives has a ``date_id`` of the same year.
+    """
+
+    table: str
+    source: str
+    make: Callable[[DataFrame], DataFrame]
+
+    def renewed(self, spark: SparkSession, mart: str, tables: dict[str, dict], kept: dict) -> dict | None:
+        source, held = tables.get(self.source), tables.get(self.table, {})
+        if source is None:
+            return None
+        made_from = held.get("made_from", {})
+        stale = {year: path for year, path in source["folders"].items() if made_from.get(year) != path}
+        if not stale:
+            return None
+        key = (self.table, tuple(sorted(stale.items())))
+        if key not in kept:
+            rows = self.make(_read(spark, _root(mart, self.source), source, set(stale)).drop("year"))
+            kept[key] = {"schema": rows.schema.json(), "folders": _write_years(rows, _root(mart, self.table))}
+        folders = held.get("folders", {}) | kept[key]["folders"]
+        return {"schema": kept[key]["schema"], "folders": folders, "made_from": source["folders"]}
+
+
 def commit(
     spark: SparkSession,
     mart: str,
     edits: list[Edit],
-    derived: list[Derived] = (),
+    derived: list[Derived | Summary] = (),
     problems: list[Exception] | None = None,
 ) -> dict[str, int]:
     """Publishes all edits as one version; the new version of each table that changed.
@@ -208,7 +247,7 @@ def commit(
     and reported there, and the others are published.
     """
     left = list(edits)
-    kept: dict[tuple[str, str], dict] = {}
+    kept: dict[tuple, dict] = {}  # what was made for derived tables
     for _ in range(MOST_TRIES):
         number, content = commits.newest(spark, mart)
         before = {name: {"version": number} | entry for name, entry in _tables(content).items()}
@@ -229,15 +268,9 @@ def commit(
                 after[edit.table], changed[edit.table] = entry, entry["version"]
         else:
             for table in derived:
-                token = table.token(after)
-                held = after.get(table.table)
-                if token is None or (held and held.get("token") == token):
-                    continue
-                if (table.table, token) not in kept:
-                    rows = table.make(token)
-                    folders = _write_whole(rows, _root(mart, table.table))
-                    kept[table.table, token] = {"schema": rows.schema.json(), "folders": folders, "token": token}
-                after[table.table] = kept[table.table, token] | {"version": held["version"] + 1 if held else 1}
+                entry, held = table.renewed(spark, mart, after, kept), after.get(table.table)
+                if entry:
+                    after[table.table] = entry | {"version": held["version"] + 1 if held else 1}
             if after == before:
                 return {}
             try:

@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from builders import as_tuples
-from seriesmart.operators import dims, lookup
+from seriesmart.operators import bitmaps, dims, lookup
 from seriesmart.operators.fill import forward_fill
 from seriesmart.operators.numbering import number_rows
 from seriesmart.operators.reshape import outer_merge, pivot_first, unpivot_positions
@@ -164,3 +164,12 @@ def test_seed_sizes(spark):
     assert dims.seed_indicators(spark).count() == 35
     assert dims.seed_spellings(spark).count() == 47
     assert dims.seed_members(spark).count() == 16
+
+
+def test_bitmaps_count_exactly_for_any_coarser_key(spark):
+    rows = [("a", 2020, n) for n in (1, 2, 2, 32_768, 32_769, 200_000)] + [("a", 2021, n) for n in (2, 5)] + [("b", 2020, 1), ("b", 2020, None)]
+    held = bitmaps.bitmaps(spark.createDataFrame(rows, "k STRING, y INT, n INT"), ["k", "y"], "n")
+    assert as_tuples(bitmaps.distinct_counts(held, ["k", "y"]), "k", "y", "n") == [("a", 2020, 5), ("a", 2021, 2), ("b", 2020, 1)]
+    assert as_tuples(bitmaps.distinct_counts(held, ["k"]), "k", "n") == [("a", 6), ("b", 1)]
+    assert bitmaps.distinct_counts(held, []).first().n == 6
+    assert bitmaps.distinct_counts(held.limit(0), ["k"]).count() == 0

@@ -1,13 +1,14 @@
 """A whole refresh: downloaded files in, published fact tables out."""
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from builders import archive_bytes, as_tuples, workbook_bytes
 from seriesmart import fixed_values as fixed
-from seriesmart.plans import questions, runs
+from seriesmart.plans import availability, questions, runs
 from seriesmart.plans.loads import LoadProblems, load
 from seriesmart.sources import commits
 from seriesmart.sources.tables import publish, read_published, versions
@@ -195,3 +196,24 @@ def test_facts_and_calendar_appear_as_one_version(spark, tmp_path, monkeypatch):
     assert versions(spark, f"{root}/dim_date") == [2]  # its years did not change
     runs.publish_calendar(spark, root)
     assert commits.numbers(spark, root)[-1] == numbers[-1] + 1
+
+
+def test_the_report_comes_from_kept_dates(spark, tmp_path):
+    layout = "geography_id INT, date_id INT, indicator_id INT, value STRING"
+    root = str(tmp_path)
+    names = {r.indicator_name: r.indicator_id for r in runs.stored_dims(spark, root).indicators.collect()}
+    shelter = names["CPI - Shelter"]
+    first = [(1, 202001, shelter, "1"), (2, 202001, shelter, "1"), (1, 201901, shelter, "1")]
+    load(spark, root, [("cpi_cma", spark.createDataFrame(first, layout))])
+    load(spark, root, [("cpi_cma", spark.createDataFrame([(1, 202001, shelter, "5"), (1, 202105, shelter, "2")], layout))])
+    mart = runs.open_mart(spark, root)
+    assert as_tuples(mart.dates, "indicator_id", "date_id", "facts") == [(shelter, 201901, 1), (shelter, 202001, 2), (shelter, 202105, 1)]
+    report = availability.mart_report(mart)
+    scanned = availability.mart_report(replace(mart, dates=None, income_dates=None))
+    assert sorted(report.collect()) == sorted(scanned.collect())
+    assert not any("/fact_monthly/" in f or "/fact_annual_income/" in f for f in report.inputFiles())
+    assert any("/fact_monthly_dates/" in f for f in report.inputFiles())
+    before = {f for f in mart.dates.inputFiles()}
+    load(spark, root, [("cpi_cma", spark.createDataFrame([(3, 202106, shelter, "2")], layout))])
+    kept = before & set(runs.open_mart(spark, root).dates.inputFiles())
+    assert kept and not any("year=2021" in f for f in kept)  # only the years of the load are counted again
