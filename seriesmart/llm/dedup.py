@@ -238,7 +238,7 @@ def near_duplicates(
     and is linked with nothing. Two documents are linked if 100 * intersection >= 80 * union; a component's id
     is its smallest doc_id, and the document that bears it is kept. Rows with equal sets
     are one class throughout. A null doc_id takes part but cannot be an id; a component of
-    nulls only has a null id and is not kept. Only ``doc_id`` and ``text`` are read.
+    nulls only has a null id and is not kept. An empty table gives no rows. Only ``doc_id`` and ``text`` are read.
 
     Classes share a bucket where six registers of a band agree; 42 bands miss a pair at the
     threshold with a chance of 3 in a million. In each bucket all members are first compared
@@ -337,11 +337,12 @@ def distinct_documents(docs: DataFrame, width: int = 5, root: str | None = None)
     """The documents without near-copies, with all their columns.
 
     Of each component one document stays, of repeated rows with the kept id one. Documents
-    without words all stay.
+    without words all stay, null texts too; an empty table gives no rows. What the comparison wrote is removed at once.
     """
     scratch = Scratch(docs.sparkSession, "dedup-documents", root)
     numbered = scratch.stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "documents", codec="zstd")
-    judged = scratch.stage(near_duplicates(numbered, width, root, ROW), "judged")
+    with Scratch(docs.sparkSession, "dedup-compared", root) as compared:
+        judged = scratch.stage(near_duplicates(numbered, width, compared.path, ROW), "judged")
     single = judged.filter("n_shingles > 0").groupBy("component_id").agg(
         F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias(ROW)
     )

@@ -282,7 +282,8 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
     for null texts and texts without a letter, and for all texts if nothing could be learned.
     ``rejected`` marks those, scores below a half, and texts whose cross-entropy is far above
     what calibration saw in that language. Equal languages go to the first by name. Only
-    ``doc_id`` and ``text`` are read; repeated rows are judged each by itself.
+    ``doc_id`` and ``text`` are read; repeated rows are judged each by itself, an empty table gives no
+    rows, and a very long text costs some tens of bytes a letter for each language.
     """
     shared = docs.sparkSession.sparkContext.broadcast(models)
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -213,7 +213,11 @@ def mixed_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK_TOKENS, r
     A document comes as many times as its taken words make of its size, rounded half up;
     what the mix takes less than half of, or what has no words, does not come. A source of
     which nothing would come so gives the taken words of its document instead, other columns
-    as they are. Each copy stands where its first words have their slot.
+    as they are. Each copy stands where its first words have their slot; ties of the schedule cannot
+    be. Repeated rows and tied or null ids are documents of their own, null texts and an empty table give no rows.
+
+    Texts are shuffled to their copies and, once these are written, into the order of the schedule;
+    what the first step needed is removed before the second.
     """
     scratch = Scratch(docs.sparkSession, "mixing-documents", root)
     numbered = scratch.stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "documents", codec="zstd")
@@ -234,6 +238,9 @@ def mixed_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK_TOKENS, r
     pieces = F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))
     cut = F.array_join(F.slice(pieces, F.lit(1), F.col(TAKEN).cast("int")), "")
     found = numbered.join(chosen, ROW).withColumn("text", F.when(F.col(TAKEN).isNull(), F.col("text")).otherwise(cut))
+    found = scratch.stage(found.select(*docs.columns, AT), "chosen", codec="zstd")
+    for name in ("documents", "sizes", "copies"):
+        scratch.remove(name)
     return found.orderBy(AT).select(docs.columns)
 
 
