@@ -1,16 +1,20 @@
 """Best-fit packing of documents into sequences of a fixed length."""
 
 import zlib
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from seriesmart.llm.common import ByteTokenizer, slices
+from seriesmart.sources.scratch import Scratch
 
 BATCH_BYTES = 4 << 20
+PIECES_PER_TASK = 1 << 19
+AGAIN = 1 << 62  # in the ids of sequences that are packed a second time
 
 
 class OpenBins:
@@ -54,7 +58,12 @@ class OpenBins:
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, length: int = 1024, open_bins: int = 4096, end_id: int = 2
+    docs: DataFrame,
+    tokenizer: str,
+    length: int = 1024,
+    open_bins: int = 4096,
+    end_id: int = 2,
+    root: str | None = None,
 ) -> DataFrame:
     """One row per piece of a document with its sequence and place.
 
@@ -62,10 +71,41 @@ def pack(
     longer than ``length`` is cut so that all its pieces but the first are full. Each task
     packs the documents of its partition batch by batch, without a shuffle; the pieces of a batch
     arrive longest first, which leaves about a fifth of the waste. Memory is the open bins and
-    one batch of texts, and a task that runs again gives the same rows. What stays open when a
-    partition ends is at most ``open_bins`` short sequences. Other columns of ``docs`` are not read; repeated rows are
+    one batch of texts, and a task that runs again gives the same rows. The pieces of what stays open when a
+    partition ends, without their texts, are packed once more, those of all partitions together, so the
+    number of sequences hardly depends on how the documents are split. Other columns of ``docs`` are not read; repeated rows are
     packed each by itself; an empty table gives no pieces.
     """
+    scratch = Scratch(docs.sparkSession, "packing", root)
+    packed = scratch.stage(_packed(docs, tokenizer, length, open_bins, end_id), "pieces")
+    pieces = packed.filter("piece >= 0")
+    open_ = scratch.stage(packed.filter("piece < 0").select("sequence_id"), "open")
+    loose = scratch.stage(pieces.join(open_, "sequence_id", "left_semi").select(pieces.columns), "loose")
+    return pieces.join(open_, "sequence_id", "left_anti").select(pieces.columns).unionByName(
+        _again(loose, length, open_bins)
+    )
+
+
+def _again(loose: DataFrame, length: int, open_bins: int) -> DataFrame:
+    """The pieces of sequences that stayed open, in new sequences; PIECES_PER_TASK at once, longest first."""
+    tasks = ceil(loose.count() / PIECES_PER_TASK) or 1
+
+    def run(batches):
+        bins = OpenBins(length, open_bins)
+        first = AGAIN | TaskContext.get().partitionId() << 40
+        for batch in batches:
+            placed = [bins.place(size) for size in batch.column("length").to_pylist()]
+            columns = dict(zip(batch.schema.names, batch.columns))
+            columns["sequence_id"] = pa.array([first + number for number, _ in placed], pa.int64())
+            columns["offset"] = pa.array([offset for _, offset in placed], pa.int64())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    dealt = loose.repartition(tasks, "sequence_id").sortWithinPartitions(F.desc("length"), "sequence_id", "offset")
+    return dealt.mapInArrow(run, loose.schema)
+
+
+def _packed(docs: DataFrame, tokenizer: str, length: int, open_bins: int, end_id: int) -> DataFrame:
+    """The pieces as each partition packs them, and with piece -1 the sequences that stay open."""
     schema = StructType(
         [
             StructField("doc_id", docs.schema["doc_id"].dataType),
@@ -99,5 +139,12 @@ def pack(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], names=schema.names
             )
+        left = [(length - space, first + number) for space, numbers in bins.by_space.items() for number in numbers]
+        if left:
+            n = len(left)
+            used, numbers = map(list, zip(*left))
+            parts = [pa.nulls(n, batch.schema.field(0).type), pa.array([-1] * n, pa.int32()), pa.nulls(n, pa.int64())]
+            rest = [pa.array(used), pa.nulls(n, pa.int64()), pa.array(numbers), pa.nulls(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*parts, *rest], names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -2,7 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-from odd import empty_docs, odd_docs, odd_texts, rows_of
+from odd import empty_docs, frame, odd_docs, odd_texts, rows_of, words
 from seriesmart.llm import packing
 from seriesmart.llm.common import ByteTokenizer
 from seriesmart.llm.queries import tokenizer
@@ -77,5 +77,51 @@ def test_the_tightest_bin_is_taken_and_the_fullest_closes_first():
     assert bins.place(4) == (2, 5)
 
 
+def by_list_scan(sizes, length, capacity):
+    """Best-fit with a bounded number of open bins, straight from its definition."""
+    open_, made, out = [], 0, []
+    for size in sizes:
+        fitting = [b for b in open_ if b[1] >= size]
+        if fitting:
+            best = min(fitting, key=lambda b: b[1])
+        else:
+            if len(open_) >= capacity:
+                open_.remove(min(open_, key=lambda b: b[1]))
+            best = [made, length]
+            open_.append(best)
+            made += 1
+        out.append((best[1], length - best[1]))
+        best[1] -= size
+        if not best[1]:
+            open_.remove(best)
+    return out, made
+
+
+def test_spaces_are_those_of_a_list_scan():
+    for seed, (length, capacity, n) in enumerate(((20, 3, 400), (64, 10, 1500), (1024, 50, 3000), (5, 1, 60))):
+        sizes = np.random.default_rng(seed).integers(1, length + 1, n).tolist()
+        bins = packing.OpenBins(length, capacity)
+        wanted, made = by_list_scan(sizes, length, capacity)
+        assert [bins.place(size)[1] for size in sizes] == [offset for _, offset in wanted]
+        assert bins.made == made
+
+
+def test_sequences_do_not_depend_on_partitions(spark):
+    rows = [(i, " ".join(words(i, 20 + 97 * (i % 13))), "en", "s") for i in range(700)]
+    docs, fills = frame(spark, rows), []
+    for parts in (2, 150):
+        got = rows_of(packing.pack(docs.repartition(parts, "doc_id"), tokenizer()))
+        places = defaultdict(list)
+        for row in got:
+            places[row["sequence_id"]].append((row["offset"], row["length"]))
+        for own in places.values():
+            own.sort()
+            ends = np.cumsum([n for _, n in own])
+            assert [o for o, _ in own] == [0, *ends[:-1]] and ends[-1] <= 1024
+        assert len({(r["doc_id"], r["piece"]) for r in got}) == len(got)
+        fills.append(sum(r["length"] for r in got) / 1024 / len(places))
+    assert min(fills) > 0.985 and fills[1] > fills[0] - 0.005, fills
+
+
 def test_empty_table(spark):
     assert rows_of(packing.pack(empty_docs(spark), tokenizer())) == []
