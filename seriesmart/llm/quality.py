@@ -5,6 +5,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from seriesmart.llm.common import fold, slices, texts
@@ -36,7 +37,23 @@ for _byte in range(128):
                          "(": 9, ")": 9, "<": 10, ">": 10, "{": 10, "}": 10, "/": 11, "\\": 11}.get(_sign, 12)
 KINDS = int(SHAPES.max()) + 1
 REPEATS = 8  # terms for repetition, each with its opposite
-TERMS = KINDS**3 + 2 * REPEATS
+FORM_TERMS = KINDS**3 + 2 * REPEATS
+WORD_TERMS = 1 << 11  # into which words and pairs of words are hashed
+TERMS = FORM_TERMS + WORD_TERMS
+WORD_WEIGHT = 0.5  # of the words' part of a vector, to 1 for the part of form
+PAIR_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+CACHED_WORDS = 200_000
+
+
+class WordKeys(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        key = self[word] = xxhash.xxh3_64_intdigest(word)
+        return key
+
+
+KEYS = WordKeys()  # of one Python worker
 
 
 def repetition(text: bytes) -> np.ndarray:
@@ -60,32 +77,48 @@ def repetition(text: bytes) -> np.ndarray:
     return out
 
 
+def word_terms(text: bytes) -> np.ndarray:
+    """Square roots of the shares of hashed words and pairs of words, lower-cased, with their signs."""
+    found = text.lower().split()
+    if not found:
+        return np.zeros(WORD_TERMS)
+    keys = np.fromiter(map(KEYS.__getitem__, found), np.uint64, len(found))
+    every = np.concatenate([keys, (keys[:-1] * PAIR_FACTOR) ^ keys[1:]])
+    places = (every * PAIR_FACTOR) >> np.uint64(64 - WORD_TERMS.bit_length() + 1)
+    return np.sqrt(np.bincount(places.astype(np.int64), minlength=WORD_TERMS) / len(places))
+
+
 def terms(text: bytes) -> np.ndarray:
-    """Term weights: square roots of the shares of shape trigrams, and of repetition terms."""
+    """Term weights: square roots of the shares of shape trigrams, of repetition terms, and of words."""
     out = np.zeros(TERMS)
+    out[FORM_TERMS:] = word_terms(text)
     shapes = SHAPES[np.frombuffer(text, np.uint8)]
     if len(shapes) > 2:
         codes = (shapes[:-2] * KINDS + shapes[1:-1]) * KINDS + shapes[2:]
         counts = np.bincount(codes, minlength=KINDS**3)
         out[: KINDS**3] = np.sqrt(counts / len(codes))
     again = repetition(text)
-    out[KINDS**3 :: 2] = np.sqrt(again)
-    out[KINDS**3 + 1 :: 2] = np.sqrt(np.maximum(0, 1 - again))
+    out[KINDS**3 : FORM_TERMS : 2] = np.sqrt(again)
+    out[KINDS**3 + 1 : FORM_TERMS : 2] = np.sqrt(np.maximum(0, 1 - again))
     return out
 
 
 @dataclass
 class Neighbours:
-    """Latent-semantic directions, and the labelled vectors on them."""
+    """Latent-semantic directions of form and of words, and the labelled vectors on them.
+
+    The two parts are decomposed by themselves, as words would else drown what few terms of form tell; each
+    has length 1 before it is weighed, so the cosine of two vectors is a weighted mean of both.
+    """
 
     inverse: np.ndarray  # weight of each term: common ones count less
-    directions: np.ndarray  # (terms, dimensions)
+    directions: list[np.ndarray]  # (terms, dimensions) of form, then of words
     vectors: np.ndarray  # (labelled, dimensions), of length 1
     labels: np.ndarray
 
     def project(self, rows: np.ndarray) -> np.ndarray:
-        found = (rows * self.inverse) @ self.directions
-        return (found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-12)).astype(np.float32)
+        weighed = rows * self.inverse
+        return _joined([weighed[:, :FORM_TERMS] @ self.directions[0], weighed[:, FORM_TERMS:] @ self.directions[1]])
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
         """Votes of the nearest labelled vectors by exact cosine, weighted by a power of it."""
@@ -107,29 +140,57 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Nei
 
     def run(batches):
         for batch in slices(batches, BATCH_BYTES):
-            rows = [terms(text).astype(np.float32).tobytes() for text in texts(batch)]
+            rows = [terms(text).astype(np.float32) for text in texts(batch)]
+            held = [np.flatnonzero(row).astype(np.uint16) for row in rows]  # most terms are none of a text's
+            packed = [at.tobytes() + row[at].tobytes() for at, row in zip(held, rows)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())], names=["doc_id", "label", "row"]
+                [batch.column("doc_id"), batch.column("label"), pa.array(packed, pa.binary())], names=["doc_id", "label", "row"]
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     got = sample.select("doc_id", "label", "text").mapInArrow(run, f"doc_id {kind}, label int, row binary").toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("row", "ascending")])
     if not got.num_rows:
-        none = np.zeros((0, DIMENSIONS), np.float32)
-        return Neighbours(np.ones(TERMS), np.zeros((TERMS, DIMENSIONS)), none, np.zeros(0))
-    rows = np.stack([np.frombuffer(row, np.float32) for row in got.column("row").to_pylist()])
-    used = (rows > 0).sum(axis=0)
-    inverse = np.log1p(len(rows) / np.maximum(used, 1)) * (used > 0)
-    directions = _directions(rows * inverse, DIMENSIONS)
-    model = Neighbours(inverse, directions, np.zeros((0, directions.shape[1]), np.float32), np.zeros(0))
-    model.vectors, model.labels = model.project(rows), got.column("label").to_numpy().astype(float)
-    return model
+        empty = [np.zeros((n, DIMENSIONS), np.float32) for n in (FORM_TERMS, WORD_TERMS)]
+        return Neighbours(np.ones(TERMS, np.float32), empty, np.zeros((0, 2 * DIMENSIONS), np.float32), np.zeros(0))
+    packed = got.column("row").to_pylist()
+    inverse, directions, vectors = np.zeros(TERMS, np.float32), [], []
+    for start, end in ((0, FORM_TERMS), (FORM_TERMS, TERMS)):  # one part of the sample at a time is unpacked
+        rows = _unpacked(packed, start, end)
+        used = np.count_nonzero(rows, axis=0)
+        inverse[start:end] = np.log1p(len(rows) / np.maximum(used, 1)) * (used > 0)
+        rows *= inverse[start:end]
+        directions.append(_directions(rows, DIMENSIONS))
+        vectors.append(rows @ directions[-1])
+        del rows
+    labelled = got.column("label").to_numpy().astype(float)
+    return Neighbours(inverse, directions, _joined(vectors), labelled)
+
+
+def _unpacked(packed: list[bytes], start: int, end: int) -> np.ndarray:
+    """The terms from ``start`` to ``end`` of rows of (places, two bytes each; weights, four bytes each)."""
+    rows = np.zeros((len(packed), end - start), np.float32)
+    for row, held in zip(rows, packed):
+        n = len(held) // 6
+        places, weights = np.frombuffer(held, np.uint16, n), np.frombuffer(held, np.float32, n, 2 * n)
+        own = slice(*np.searchsorted(places, [start, end]))
+        row[places[own].astype(np.int64) - start] = weights[own]
+    return rows
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    """Both parts, each of length 1 and then weighed, as vectors of length 1."""
+    found = [
+        weight * part / np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-12)
+        for part, weight in zip(parts, (1.0, WORD_WEIGHT))
+    ]
+    both = np.hstack(found)
+    return (both / np.maximum(np.linalg.norm(both, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
 def _directions(rows: np.ndarray, dimensions: int) -> np.ndarray:
     """Right singular vectors of the largest singular values, by subspace iteration."""
-    start = np.random.default_rng(7).standard_normal((rows.shape[1], dimensions + 16))
+    start = np.random.default_rng(7).standard_normal((rows.shape[1], dimensions + 16)).astype(np.float32)
     space = rows.T @ (rows @ start)
     for _ in range(4):
         space, _ = np.linalg.qr(space)
@@ -152,7 +213,8 @@ def score(docs: DataFrame, model: Neighbours) -> DataFrame:
     ``predicted`` is 1 from THRESHOLD on. A null text is empty; an empty text has only
     terms that say so and is compared like any other. With nothing to learn from, every
     score is 1. Ties in the cosine may choose any of the tied neighbours, the same ones for
-    the same text and model. Only ``doc_id`` and ``text`` are read.
+    the same text and model. Repeated rows are scored each by itself, an empty table gives no rows, and a very
+    long text costs the list of its words. Only ``doc_id`` and ``text`` are read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -170,7 +232,11 @@ def score(docs: DataFrame, model: Neighbours) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, model: Neighbours) -> DataFrame:
-    """The documents whose predicted quality is 1, with all their columns."""
+    """The documents whose predicted quality is 1, with all their columns.
+
+    Null and empty texts are judged like others, repeated rows each by itself; all stay if nothing could be
+    learned; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

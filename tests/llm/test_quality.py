@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 from odd import empty_docs, frame, odd_docs, odd_texts, rows_of, words
 from pyspark.sql import functions as F
 from seriesmart.llm import quality
@@ -33,9 +34,27 @@ def test_held_out_texts_are_told_apart(spark):
     assert {r["doc_id"] for r in rows_of(good)} == {r["doc_id"] for r in got if r["predicted"]}
 
 
-def test_votes_are_those_of_the_nearest_by_brute_force(spark):
-    import numpy as np
+def test_words_alone_can_tell(spark):
+    """Texts of the same form: only which of two sets of words they use tells the label."""
+    sets = [[f"{c}{d}oru" for c in "bdfgkl" for d in "aeiou"] for c in "x"] + [[f"{c}{d}ami" for c in "bdfgkl" for d in "aeiou"]]
+
+    def text(i):
+        pick = np.random.default_rng(i)
+        return " ".join(pick.choice(sets[i % 2], 12).tolist() + pick.choice(sets[0] + sets[1], 28).tolist())
+
+    rows = [(i, text(i), "en", "s") for i in range(900)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(900)], "doc_id long, quality int, toxic int")
+    docs = frame(spark, rows)
+    got = [r for r in rows_of(quality.score(docs, quality.learn(docs, labels))) if r["held_out"]]
+    good, bad = ([r["score"] for r in got if r["doc_id"] % 2 == label] for label in (1, 0))
+    wins = np.mean([(a > b) + (a == b) / 2 for a in good for b in bad])
+    assert len(got) > 100 and wins > 0.9, wins
+    same = [quality.terms(t)[: quality.KINDS**3] for t in (b"good fine word here", b"evil junk spam text")]
+    other = [quality.terms(t)[quality.FORM_TERMS :] for t in (b"good fine word here", b"evil junk spam text")]
+    assert np.array_equal(*same) and not np.array_equal(*other)
+
 
+def test_votes_are_those_of_the_nearest_by_brute_force(spark):
     rows, labels = labelled(spark, 200)
     model = quality.learn(frame(spark, rows), labels)
     for i in (1000, 1001, 1005):
