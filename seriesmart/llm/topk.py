@@ -16,22 +16,27 @@ QUERY_GROUP_BLOCKS = 16
 FOCUS = 3  # coordinates that prune
 PACKED = "norm double, dims int, ids binary, vectors binary"
 FOUND = "query_id long, vec_id long, score long"
-EXACT_FLOAT = 2.0**53
+EXACT_FLOAT, EXACT_LONG = 2.0**53, 2.0**62
 SLACK = 1e-9
 
 
 def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """``vec_id``, ``v`` (floor of scale times each component) and its length.
 
-    Rows whose vector is null or holds a null, NaN or infinite component are left out.
+    Rows whose vector is null or holds a null, NaN or infinite component are left out. A component that
+    is too large for a whole number of 64 bits fails.
     """
     value = F.col("embedding")
+    too_large = F.raise_error(F.lit("a component times the scale exceeds 64 bits")).cast("long")
     bad = F.exists(value, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return (
         vectors.filter(value.isNotNull() & ~bad)
         .select(
             F.col("vec_id").cast("long"),
-            F.transform(value, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"),
+            F.transform(
+                value,
+                lambda x: F.when(F.abs(x.cast("double") * scale) < 2.0**63, F.floor(x.cast("double") * scale).cast("long")).otherwise(too_large),
+            ).alias("v"),
         )
         .withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))))
     )
@@ -64,13 +69,19 @@ def _matrix(row) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _products(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Exact inner products: as floats while they stay below 2**53, else as integers."""
+    """Exact inner products: as floats while they stay below 2**53, as integers, or as long ones.
+
+    A product that 64 bits cannot hold fails.
+    """
     dims = min(len(query), vectors.shape[1])
     if not dims or not len(vectors):
         return np.zeros(len(vectors), np.int64)
-    most = float(np.abs(query).max()) * float(np.abs(vectors).max()) * dims
-    kind = np.float64 if most < EXACT_FLOAT else np.int64
-    return (vectors[:, :dims].astype(kind) @ query[:dims].astype(kind)).astype(np.int64)
+    most = np.abs(query.astype(float)).max() * np.abs(vectors.astype(float)).max() * dims
+    kind = np.float64 if most < EXACT_FLOAT else np.int64 if most < EXACT_LONG else object
+    found = vectors[:, :dims].astype(kind) @ query[:dims].astype(kind)
+    if kind is object and any(abs(int(x)) >= 1 << 63 for x in found):
+        raise OverflowError("an inner product exceeds 64 bits")
+    return found.astype(np.int64)
 
 
 class Bucket:
@@ -136,7 +147,7 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 5, root: str | N
     k candidates all are returned. Vectors that are null or hold null, NaN or infinite
     components take no part; shorter vectors count as filled up with zeros; rows with a null
     id are left out; an id that occurs twice is a query once for each row. Other columns are
-    not read.
+    not read. Products are exact whatever the components; one that 64 bits cannot hold fails.
 
     All vectors are sorted by length over the cluster and packed into buckets of 1024. A task
     has about 16 buckets and 4096 queries, dealt by hash, which bounds its memory. Each query starts from its
