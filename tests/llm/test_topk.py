@@ -63,3 +63,40 @@ def test_pruning_never_drops_a_candidate():
 def test_equals_its_sql(spark, folder):
     name = "op4_top_products"
     assert spark_rows(QUERIES[name](spark, folder)) == sql_rows(connect(folder), SQL[name])
+
+
+def test_queries_meet_only_slabs_that_are_long_enough(spark, monkeypatch):
+    pick = np.random.default_rng(9)
+    length = np.repeat([10.0, 3.0, 1.0, 0.3, 0.1], 600) * pick.uniform(0.8, 1, 3000)
+    rows = [(i, (v / np.linalg.norm(v) * n).tolist()) for i, (v, n) in enumerate(zip(pick.normal(0, 1, (3000, 4)), length))]
+    monkeypatch.setattr(topk, "SLAB_VECTORS", 100)
+    monkeypatch.setattr(topk, "GROUP_QUERIES", 20)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 20)
+    monkeypatch.setattr(topk, "BUCKET_VECTORS", 50)
+    seen, tiles = [], topk.tiles
+    monkeypatch.setattr(topk, "tiles", lambda s, g: seen.append((s.count(), g.count(), tiles(s, g))) or seen[-1][2])
+    assert run(spark, rows, 10, 5) == brute(rows, lambda i: i % 10 == 0, 5)
+    slabs, groups, met = seen[0]
+    assert slabs == 30 and groups == 15 and met.count() < slabs * groups / 3
+
+
+def test_tiles_are_those_of_a_comparison_of_all(spark):
+    pick = np.random.default_rng(2)
+    slabs = [(i, float(x)) for i, x in enumerate([0.0, 1.0, 2.0, *np.exp(pick.uniform(0, 40, 60))])]
+    groups = [(i, float(x)) for i, x in enumerate([0.0, 0.5, 1.0, 2.0, slabs[9][1], 1e30, *np.exp(pick.uniform(0, 40, 60))])]
+    got = topk.tiles(spark.createDataFrame(slabs, "slab long, longest double"), spark.createDataFrame(groups, "group long, reach double"))
+    assert sorted(map(tuple, got.collect())) == [(s, g) for s, n in slabs for g, r in groups if n >= r * (1 - topk.SLACK)]
+
+
+def test_vectors_without_components_and_one_common_vector(spark):
+    rows = [(i, []) for i in range(0, 120, 10)]
+    assert run(spark, rows, 50, 5) == brute(rows, lambda i: i % 50 == 0, 5)
+    rows = [(i, [1.0, -2.0, 0.5]) for i in range(2500)] + [(2500 + i, [0.01, 0.0, 0.0]) for i in range(500)]
+    assert run(spark, rows, 50, 5) == brute(rows, lambda i: i % 50 == 0, 5)
+
+
+def test_products_of_huge_components_are_exact_or_fail(spark):
+    rows = [(0, [3e6, 1e6]), (50, [-3e6, 2e6]), (7, [1e6, 1e6]), (8, [2.0, 1.0])]
+    assert run(spark, rows, 50, 5) == brute(rows, lambda i: i % 50 == 0, 5)
+    with pytest.raises(Exception, match="exceeds 64 bits"):
+        run(spark, [(0, [1e12, 1e12]), (7, [1e12, 1e12])], 50, 5)
