@@ -20,7 +20,7 @@ from seriesmart.plans.loads import load
 from seriesmart.plans.trade import table, trade_calendar
 from seriesmart.schemas import FACT_MONTHLY, INCOME_KEY, MONTHLY_KEY, TENURE_KEY, staging
 from seriesmart.sources.scratch import fresh_folder
-from seriesmart.sources.tables import publish, read_published, reload_staging, upsert_published
+from seriesmart.sources.tables import cluster_published, publish, read_published, reload_staging, upsert_published
 
 
 def plain(rows):
@@ -173,3 +173,15 @@ def two_writers(spark, folder):
     for writer in done:
         writer.result()
     return plain(read_published(spark, f"{root}/fact_monthly"))
+
+
+@check("L7_clustered_layout", UPSERT_SQL)
+def clustered_layout(spark, folder):
+    """A table in Z-order, an upsert into some of its years, and these put into Z-order again."""
+    target, batch = target_and_batch(spark, folder)
+    root = fresh_folder(spark, "fact")
+    publish(spark, as_layout(target, FACT_MONTHLY).withColumn("loaded_at", F.current_timestamp()), root)
+    cluster_published(spark, root)
+    upsert_published(spark, root, batch.withColumn("value", F.col("value").cast("decimal(12,4)")), MONTHLY_KEY, ["row_order"])
+    cluster_published(spark, root)
+    return plain(read_published(spark, root).drop("year"))

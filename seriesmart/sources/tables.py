@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from seriesmart.functions.periods import year_of
+from seriesmart.operators.clustering import with_z_order
 from seriesmart.operators.upsert import latest_per_key, without_matched
 from seriesmart.sources import commits
 from seriesmart.sources.commits import VersionTaken
@@ -28,6 +29,8 @@ from seriesmart.sources.scratch import Scratch
 
 PARTITIONED_BY = ["year"]
 SORTED_BY = ["date_id", "geography_id"]
+CLUSTERED_BY = ["geography_id", "indicator_id", "date_id"]
+ROW_GROUP_BYTES = 16 << 20  # of clustered files, whose row groups are what a filter skips
 ALL = ""  # stands for the years of a table that is not partitioned
 ALONE = ""  # the name of a table that is no part of a mart
 KEPT_VERSIONS = 2
@@ -55,6 +58,21 @@ def write_facts(
     writer.mode("overwrite").parquet(path)
 
 
+def write_clustered(
+    df: DataFrame, path: str, by: list[str] = CLUSTERED_BY, row_group_bytes: int = ROW_GROUP_BYTES
+) -> None:
+    """Write a fact table by year, in Z-order of ``by`` inside each year.
+
+    A filter on any of these columns then skips most files and row groups by their least and greatest
+    values, where an order by date serves dates only. Files are ranges of the order; rows with one code
+    are split between files by the columns themselves, so a city with a third of all rows is many files.
+    """
+    coded = with_z_order(df.withColumn("year", year_of(F.col("date_id"))), by, "year")
+    order = ["year", "_z", *by]
+    ranged = coded.repartitionByRange(*order).sortWithinPartitions(*order).drop("_z")
+    ranged.write.option("parquet.block.size", row_group_bytes).partitionBy("year").mode("overwrite").parquet(path)
+
+
 def _place(spark: SparkSession, root: str) -> tuple[str, str]:
     """The mart that a table's folder belongs to, and the table's name in it."""
     mart, _, name = root.rstrip("/").rpartition("/")
@@ -94,12 +112,27 @@ def published_version(spark: SparkSession, root: str) -> int:
     return entry.get("version", number) if entry else 0
 
 
+def _mark(by: list[str]) -> str:
+    """What the folders of years clustered by these columns begin with."""
+    return f"batch=by-{'-'.join(by)}-"
+
+
+def _years_of(spark: SparkSession, root: str, batch: str) -> dict[str, str]:
+    names = commits.names_in(spark, f"{root}/data/{batch}")
+    return {name.removeprefix("year="): f"{batch}/{name}" for name in names if name.startswith("year=")}
+
+
 def _write_years(df: DataFrame, root: str) -> dict[str, str]:
     """Write the rows to a new folder; the folder of each of their years."""
     batch = f"batch={uuid.uuid4().hex}"
     write_facts(df, f"{root}/data/{batch}", sort_by=[name for name in SORTED_BY if name in df.columns])
-    names = commits.names_in(df.sparkSession, f"{root}/data/{batch}")
-    return {name.removeprefix("year="): f"{batch}/{name}" for name in names if name.startswith("year=")}
+    return _years_of(df.sparkSession, root, batch)
+
+
+def _write_clustered_years(df: DataFrame, root: str, by: list[str]) -> dict[str, str]:
+    batch = f"{_mark(by)}{uuid.uuid4().hex}"
+    write_clustered(df, f"{root}/data/{batch}", by)
+    return _years_of(df.sparkSession, root, batch)
 
 
 def _write_whole(df: DataFrame, root: str) -> dict[str, str]:
@@ -144,6 +177,7 @@ class Edit:
     ``years`` is None) and gives their new rows, or None to leave the table as it is. With
     ``years`` the table is partitioned by them and the others stay; else it is replaced whole.
     An edit whose ``blind`` is set does not look at the rows, so nothing can make it outdated.
+    With ``clustered_by`` the years are written in Z-order.
     """
 
     table: str
@@ -151,6 +185,7 @@ class Edit:
     years: set[str] | None = None
     partitioned: bool = False
     blind: bool = False
+    clustered_by: list[str] | None = None
     made: dict | None = field(default=None, repr=False)  # folders and schema, once written
     seen: object = field(default=None, repr=False)  # what the base had for them
 
@@ -171,10 +206,14 @@ class Edit:
         self.made = None
         if rows is not None:
             rows = rows.drop("year") if self.partitioned else rows
-            write = _write_years if self.partitioned else _write_whole
-            self.made = {"schema": rows.schema.json(), "folders": write(rows, root)}
+            self.made = {"schema": rows.schema.json(), "folders": self.written(rows, root)}
         self.seen = self.base(entry)
 
+    def written(self, rows: DataFrame, root: str) -> dict[str, str]:
+        if self.clustered_by:
+            return _write_clustered_years(rows, root, self.clustered_by)
+        return _write_years(rows, root) if self.partitioned else _write_whole(rows, root)
+
     def applied(self, entry: dict | None) -> dict | None:
         """The table's entry in the new version; None if it does not change."""
         if self.made is None:
@@ -296,6 +335,30 @@ def publish(spark: SparkSession, df: DataFrame, root: str, partition_by: list[st
     return commit(spark, mart, [edit])[name]
 
 
+def unclustered_years(entry: dict, by: list[str] = CLUSTERED_BY) -> set[str]:
+    """The years of a table that are not in Z-order of these columns."""
+    return {year for year, path in entry["folders"].items() if not path.startswith(_mark(by))}
+
+
+def cluster_published(
+    spark: SparkSession, root: str, by: list[str] = CLUSTERED_BY, derived: list[Derived | Summary] = ()
+) -> int:
+    """Puts the years of a table into Z-order that are not yet; the table's version then.
+
+    An upsert writes the years it touches in order of date again, so only these are read and written by the
+    next call. Like every edit this is one commit, made again for a year that another writer
+    changes meanwhile. ``derived`` tables are renewed in the same commit.
+    """
+    mart, name = _place(spark, root)
+    entry = held_tables(spark, mart).get(name)
+    if entry is None or ALL in entry["folders"]:
+        raise ValueError(f"{root} is no table partitioned by year")
+    years = unclustered_years(entry, by)
+    if years:
+        commit(spark, mart, [Edit(name, lambda rows: rows, years=years, partitioned=True, clustered_by=by)], derived)
+    return published_version(spark, root)
+
+
 def touched_years(batch: DataFrame) -> set[str]:
     """The years of a batch; a date outside of FIRST_YEAR to LAST_YEAR fails, so they are few."""
     year = year_of(F.col("date_id"))
