@@ -1,3 +1,4 @@
+import base64
 import hashlib
 
 import numpy as np
@@ -56,3 +57,50 @@ def test_chunks_cover_the_text_and_keep_their_bounds():
 
 def test_empty_table(spark):
     assert rows_of(fp.edited_fingerprints(empty_docs(spark))) == []
+
+
+MASK = (1 << 64) - 1
+
+
+def splitmix(x):
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+    return x ^ x >> 31
+
+
+def by_bytes(text):
+    """Chunks, their digests and the fingerprint, one byte after the other."""
+    random = [splitmix((b + 1) * 0x9E3779B97F4A7C15 & MASK) for b in range(256)]
+    found, chunk, gear = set(), [], 0
+    for at, b in enumerate(text):
+        gear = (gear << 1) + (random[b] >> 32) & 0xFFFFFFFF
+        chunk.append(b)
+        zeros = 7 if len(chunk) < fp.NORMAL_CHUNK else 4
+        cut = len(chunk) >= fp.MIN_CHUNK and gear >> 32 - zeros == 0
+        if cut or len(chunk) == fp.MAX_CHUNK or at == len(text) - 1:
+            digest, place = 0, 1
+            for c in chunk:
+                place = place * 0xD6E8FEB86659FD93 & MASK
+                digest = digest + random[c] * place & MASK
+            found.add((splitmix(digest) >> 24, len(chunk)))
+            chunk = []
+    return found
+
+
+def share(own, other):
+    if not own:
+        return float(not other)
+    return sum(n for d, n in own if (d, n) in other) / sum(n for _, n in own)
+
+
+def test_fingerprints_byte_by_byte(spark):
+    texts = ["", "x", "ab" * 400, " ".join(words(8, 700)), "größe " * 90 + " ".join(words(8, 500)), "\x00" * 300, " ".join(words(11, 60))]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in rows_of(fp.edited_fingerprints(frame(spark, rows)))}
+    for i, text in enumerate(texts):
+        after = texts[i - 1]  # by descending id; the first one follows the last
+        half = len(text) // 2
+        own, edited, following = (by_bytes(t.encode()) for t in (text, text[: len(text) - half] + after[:half], after))
+        packed = b"".join(d.to_bytes(5, "big") + bytes([n]) for d, n in sorted(own))
+        assert base64.b64decode(got[i]["fingerprint"]) == packed
+        assert np.isclose(got[i]["near_edited"], share(own, edited)) and np.isclose(got[i]["near_next"], share(own, following))
