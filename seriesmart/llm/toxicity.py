@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from seriesmart.llm.common import fold, slices, texts
 from seriesmart.llm.labelled import labelled_sample, logistic, probability
+from seriesmart.sources.scratch import Scratch
 
 FOLDS, HELD_OUT = 3, 1
 CLASS_DISCOUNT = 2.0  # counts in one class up to this tell nothing; they go to the shared backoff
@@ -114,16 +115,27 @@ def _count(sample: DataFrame) -> DataFrame:
     return held.groupBy("label", "before", "word").agg(F.count("*").alias("n"))
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Models:
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, root: str | None = None) -> Models:
     """Class-conditional models from at most ``per_class`` training documents of each class.
 
-    Pairs are counted in tasks. The driver gets pairs above the discount, the words they end
-    with, and words with at least two continuations; what is left out goes to the backoff.
+    Pairs are counted in tasks. The sample and its pairs are written once, as each is read several times, and
+    removed at the end. The driver gets pairs above the discount, the words they end
+    with, and words with at least two continuations; what is left out goes to the backoff. Without training
+    documents of both classes the models have no weights. The sample is bounded in documents, not in the
+    length of their texts: a very long one brings all its words.
     """
-    sample = labelled_sample(docs, labels, "toxic", fold("doc_id", FOLDS) != HELD_OUT, per_class).withColumn(
-        "calibrates", F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(CALIBRATION_SHARE)) == 0
-    )
-    pairs = _count(sample.filter("NOT calibrates"))
+    with Scratch(docs.sparkSession, "toxicity", root) as scratch:
+        sample = labelled_sample(docs, labels, "toxic", fold("doc_id", FOLDS) != HELD_OUT, per_class).withColumn(
+            "calibrates", F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(CALIBRATION_SHARE)) == 0
+        )
+        sample = scratch.stage(sample.select("text", "label", "calibrates"), "sample")
+        models = _estimate(scratch.stage(_count(sample.filter("NOT calibrates")), "pairs"))
+        _calibrate(models, sample.filter("calibrates").select("text", "label"))
+    return models
+
+
+def _estimate(pairs: DataFrame) -> Models:
+    """The models of counted pairs, not yet calibrated."""
     by_class = [F.when(F.col("label") == c, F.col("n")) for c in (ORDINARY, TOXIC)]
     kinds = [F.count(c).alias(f"k{i}") for i, c in enumerate(by_class)]
     kept = F.col("n") > PAIR_DISCOUNT
@@ -170,9 +182,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     codes, rows = np.unique(froms[usable] << 32 | ids[usable], return_inverse=True)
     discounted = np.zeros((len(codes), 2))
     discounted[rows, label[usable]] = (n[usable] - PAIR_DISCOUNT) / np.maximum(total_of[froms[usable], label[usable]], 1)
-    models = Models(_by_hash(place), start, unigram, back, codes, discounted)
-    _calibrate(models, sample.filter("calibrates").select("text", "label"))
-    return models
+    return Models(_by_hash(place), start, unigram, back, codes, discounted)
 
 
 class _ByHash(dict):

@@ -90,3 +90,63 @@ def test_nothing_to_learn_from(spark):
 def test_whole_table(spark, folder):
     got = QUERIES["op5_toxicity"](spark, folder)
     assert got.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
+
+
+def by_definition(sample):
+    """log p(w | v, toxic) - log p(w | v, ordinary) from plain counts of the texts, as a function."""
+    pairs = [{}, {}]  # of each class: (before, word) -> distinct texts
+    for label, text in sample:
+        found = toxicity.words(text.encode())
+        for pair in zip([None, *found], found):
+            pairs[label].setdefault(pair, set()).add(tuple(found))
+    n = [{pair: len(held) for pair, held in own.items()} for own in pairs]
+    kinds = [{w: sum(1 for _, x in own if x == w) for w in {x for _, x in own}} for own in n]
+    vocabulary = len(set(kinds[0]) | set(kinds[1])) + 1
+    in_pair = {w for own in n for (_, w), k in own.items() if k > toxicity.PAIR_DISCOUNT}
+
+    def known(w):
+        return w in in_pair or sum(k.get(w, 0) for k in kinds) >= toxicity.LEAST_COUNT
+
+    def cut(k):
+        return min(k, toxicity.CLASS_DISCOUNT)
+
+    freed = [sum(map(cut, k.values())) for k in kinds]
+
+    def unigram(w, c):
+        if not known(w):
+            return 1 / vocabulary
+        shared = sum(cut(k.get(w, 0)) for k in kinds) / max(1, sum(freed))
+        return (kinds[c].get(w, 0) - cut(kinds[c].get(w, 0)) + freed[c] * shared) / max(1, sum(kinds[c].values()))
+
+    def probability(v, w, c):
+        after = {x: k for (u, x), k in n[c].items() if u == v}
+        other = {x: k for (u, x), k in n[1 - c].items() if u == v}
+        if not (v is None or known(v)) or sum(after.values()) + sum(other.values()) < toxicity.LEAST_COUNT:
+            after = {}
+        own = sum(after.values())
+        kept = {x: k - toxicity.PAIR_DISCOUNT for x, k in after.items() if k > toxicity.PAIR_DISCOUNT}
+        back = 1 - sum(kept.values()) / own if own else 1.0
+        return back * unigram(w, c) + (kept.get(w, 0) / own if own and known(w) else 0.0)
+
+    return lambda v, w: np.log(probability(v, w, 1)) - np.log(probability(v, w, 0))
+
+
+def test_ratios_by_definition(spark):
+    pick = random.Random(3)
+    sample = []
+    for i in range(160):
+        found = [pick.choice(words(9, 40, 30)) for _ in range(25)]
+        label = int(i % 3 == 0)
+        if label:
+            at = pick.randrange(20)
+            found[at : at + 4] = ["you", "utter", "zorbex", "now"]
+        else:
+            found[5:7] = ["you", "utter"] if i % 2 else ["my", "friend"]
+        if i % 20 == 0:
+            found.append(f"rare{i}")
+        sample += [(label, " ".join(found))] * pick.choice([1, 1, 2])
+    models = toxicity._estimate(toxicity._count(spark.createDataFrame(sample, "label int, text string")))
+    ratio = by_definition(sample)
+    for _, text in sample[:60] + [(0, "zorbex never seen utter zorbex"), (0, "you utter nonsense")]:
+        found = toxicity.words(text.encode())
+        assert np.allclose(models.ratios(found), [ratio(v, w) for v, w in zip([None, *found], found)])
