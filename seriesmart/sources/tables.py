@@ -335,27 +335,35 @@ def publish(spark: SparkSession, df: DataFrame, root: str, partition_by: list[st
     return commit(spark, mart, [edit])[name]
 
 
-def unclustered_years(entry: dict, by: list[str] = CLUSTERED_BY) -> set[str]:
+def _clustered_by(entry: dict, by: list[str] | None) -> list[str]:
+    held = StructType.fromJson(json.loads(entry["schema"])).fieldNames()
+    return by or [name for name in CLUSTERED_BY if name in held]
+
+
+def unclustered_years(entry: dict, by: list[str] | None = None) -> set[str]:
     """The years of a table that are not in Z-order of these columns."""
-    return {year for year, path in entry["folders"].items() if not path.startswith(_mark(by))}
+    mark = _mark(_clustered_by(entry, by))
+    return {year for year, path in entry["folders"].items() if not path.startswith(mark)}
 
 
 def cluster_published(
-    spark: SparkSession, root: str, by: list[str] = CLUSTERED_BY, derived: list[Derived | Summary] = ()
+    spark: SparkSession, root: str, by: list[str] | None = None, derived: list[Derived | Summary] = ()
 ) -> int:
     """Puts the years of a table into Z-order that are not yet; the table's version then.
 
-    An upsert writes the years it touches in order of date again, so only these are read and written by the
-    next call. Like every edit this is one commit, made again for a year that another writer
-    changes meanwhile. ``derived`` tables are renewed in the same commit.
+    Without ``by`` the order is that of the columns of CLUSTERED_BY that the table has. An upsert writes the years it
+    touches in order of date again, so only these are read and written by the next call. Like every edit this
+    is one commit, made again for a year that another writer changes meanwhile. ``derived`` tables are
+    renewed in the same commit; else the next load does that for the years that were written.
     """
     mart, name = _place(spark, root)
     entry = held_tables(spark, mart).get(name)
     if entry is None or ALL in entry["folders"]:
         raise ValueError(f"{root} is no table partitioned by year")
-    years = unclustered_years(entry, by)
+    own, years = _clustered_by(entry, by), unclustered_years(entry, by)
     if years:
-        commit(spark, mart, [Edit(name, lambda rows: rows, years=years, partitioned=True, clustered_by=by)], derived)
+        edit = Edit(name, lambda rows: rows, years=years, partitioned=True, clustered_by=own)
+        commit(spark, mart, [edit], derived)
     return published_version(spark, root)
 
 

@@ -7,6 +7,7 @@ from builders import as_tuples
 from seriesmart import schemas
 from seriesmart.operators.clustering import interleaved, rank_codes, with_z_order
 from seriesmart.sources import tables
+from seriesmart.sources.scratch import Scratch
 from test_sources import facts
 
 
@@ -107,3 +108,25 @@ def test_tables_without_years_are_not_clustered(spark, tmp_path):
     tables.publish(spark, spark.range(3), root, partition_by=[])
     with pytest.raises(ValueError, match="partitioned by year"):
         tables.cluster_published(spark, root)
+
+
+def test_a_table_is_clustered_by_the_columns_it_has(spark, tmp_path):
+    root = str(tmp_path / "income")
+    rows = facts(spark, monthly([2020], 1.0)).groupBy("geography_id", "date_id").agg(F.sum("value").alias("avg_income"))
+    tables.publish(spark, rows, root)
+    tables.cluster_published(spark, root)
+    assert "batch=by-geography_id-date_id-" in folders(spark, root)["2020"]
+    assert tables.cluster_published(spark, root, by=["date_id"]) == 3
+    assert tables.read_published(spark, root).count() == 48
+
+
+def test_summaries_of_a_clustered_table_are_renewed_with_it(spark, tmp_path):
+    mart = str(tmp_path / "mart")
+    summary = tables.Summary("dates", "fact", lambda rows: rows.groupBy("date_id").agg(F.count("*").alias("n")))
+    first = tables.upsert_edit(Scratch(spark, "x", str(tmp_path)), "fact", facts(spark, monthly([2020, 2021], 1.0)), schemas.MONTHLY_KEY)
+    tables.commit(spark, mart, [first], [summary])
+    tables.cluster_published(spark, f"{mart}/fact", derived=[summary])
+    held = tables.held_tables(spark, mart)
+    assert held["dates"]["made_from"] == held["fact"]["folders"] and not tables.unclustered_years(held["fact"])
+    got = tables.read_published(spark, f"{mart}/dates")
+    assert got.count() == 24 and got.agg(F.sum("n")).first()[0] == 288
