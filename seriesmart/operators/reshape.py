@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from seriesmart.functions.numbers import safe_int
+from seriesmart.operators.fill import ROWS_PER_BLOCK
 
 YEAR_PLACE = StructType([StructField("position", IntegerType()), StructField("year", IntegerType())])
 
@@ -31,12 +32,16 @@ def header_years(header: Column, first: int = 2000, last: int = 2100) -> Column:
     return F.filter(marked, lambda pair: pair["year"].between(first, last))
 
 
-def unpivot_by_header(grid: DataFrame, header_row: int, value: str = "text") -> DataFrame:
+def unpivot_by_header(
+    grid: DataFrame, header_row: int, value: str = "text", rows_per_block: int = ROWS_PER_BLOCK
+) -> DataFrame:
     """Unpivot each sheet by the years found in its own header row.
 
     The header of a sheet is one small row, so it meets the data rows before
     they are multiplied; there is no discovery on the driver. Whether it is
     broadcast is left to Spark: the number of sheets grows with the input. A sheet
+    may hold any number of rows, so its rows meet the header in blocks of at most
+    ``rows_per_block`` row numbers: the header goes to each block that has rows. A sheet
     whose header row holds no year fails; so does one without a header row.
     """
     found = header_years(F.col("cells"))
@@ -45,9 +50,11 @@ def unpivot_by_header(grid: DataFrame, header_row: int, value: str = "text") ->
     headers = grid.filter(F.col("row_idx") == header_row).select(
         "file", "sheet", F.when(F.size(found) > 0, found).otherwise(empty).alias("years")
     )
-    data = grid.filter(F.col("row_idx") > header_row)
+    block = F.floor(F.col("row_idx") / F.lit(rows_per_block)).cast("bigint")
+    data = grid.filter(F.col("row_idx") > header_row).withColumn("_block", block)
+    held = data.select("file", "sheet", "_block").distinct().join(headers, ["file", "sheet"])
     lost = F.raise_error(F.concat(F.lit("no header row in "), where)).cast(ArrayType(YEAR_PLACE))
-    columns = data.join(headers, ["file", "sheet"], "left").select(
+    columns = data.join(held, ["file", "sheet", "_block"], "left").select(
         "file", "sheet", "row_idx", "cells", F.explode(F.coalesce("years", lost)).alias("column")
     )
     text = F.get(F.col("cells"), F.col("column.position"))

@@ -1,12 +1,14 @@
+from collections import Counter
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from builders import as_tuples
+from builders import as_tuples, grid, grid_rows
 from seriesmart.operators import bitmaps, dims, lookup
 from seriesmart.operators.fill import forward_fill
 from seriesmart.operators.numbering import number_rows
-from seriesmart.operators.reshape import outer_merge, pivot_first, unpivot_positions
+from seriesmart.operators.reshape import outer_merge, pivot_first, unpivot_by_header, unpivot_positions
 from seriesmart.operators.upsert import latest_per_key, matched, replay, upsert, without_matched
 
 FEW = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -173,3 +175,23 @@ def test_bitmaps_count_exactly_for_any_coarser_key(spark):
     assert as_tuples(bitmaps.distinct_counts(held, ["k"]), "k", "n") == [("a", 6), ("b", 1)]
     assert bitmaps.distinct_counts(held, []).first().n == 6
     assert bitmaps.distinct_counts(held.limit(0), ["k"]).count() == 0
+
+
+def test_a_large_sheet_meets_its_header_in_blocks(spark):
+    """Rows of one sheet spread over tasks, and find the header in whatever block they are."""
+    rows = grid_rows("m.xlsx", "Renter", 8, [["Geography", "2006", "2011"], *([f"p{at}", str(at), "x"] for at in range(400))])
+    rows += grid_rows("m.xlsx", "Owner", 8, [["Geography", "2016"], ["p", "7"]])
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for name, value in held.items():
+        spark.conf.set(name, value)
+    try:
+        cells = unpivot_by_header(grid(spark, rows), 8, rows_per_block=10).withColumn("task", F.spark_partition_id())
+        found = cells.collect()
+    finally:
+        for name in held:
+            spark.conf.unset(name)
+    assert {(r.sheet, r.label, r.year, r.text) for r in found} == {("Owner", "p", 2016, "7")} | {
+        ("Renter", f"p{at}", year, text) for at in range(400) for year, text in ((2006, str(at)), (2011, "x"))
+    }
+    by_task = Counter(r.task for r in found)
+    assert len(by_task) > 4 and max(by_task.values()) < len(found) / 2
