@@ -1,5 +1,6 @@
 """Near-duplicate documents: SetSketch registers, bands, joint estimates, and exact checks."""
 
+from collections import defaultdict
 from math import log
 
 import numpy as np
@@ -16,7 +17,9 @@ BANDS, BAND_ROWS = 42, 6
 BASE, RATE, LARGEST = 1.001, 20.0, 65_535
 SIMILAR = (80, 100)  # intersection to union
 UNLIKELY = 0.62  # five deviations of the estimate below the threshold
+LEAST_EQUAL = 112  # with fewer equal registers, sizes allowing, no order of the others makes UNLIKELY the likeliest
 TILE_SHINGLES = 1 << 18
+ROWS_AT_ONCE = 4096
 CACHED_WORDS = 400_000
 BATCH_BYTES = 4 << 20
 ROW = "_dedup_row"
@@ -92,18 +95,28 @@ def band_keys(rows: np.ndarray) -> np.ndarray:
 GRID = np.linspace(0, 1, 101)[:-1]
 
 
-def likely_similarity(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> float:
-    """The Jaccard similarity under which the registers' order is likeliest, sizes being known."""
-    more, less = int((a > b).sum()), int((a < b).sum())
+def likely_similarities(more: np.ndarray, less: np.ndarray, n_a: int, n_b: np.ndarray) -> np.ndarray:
+    """The Jaccard similarities under which the registers' orders are likeliest, sizes being known.
+
+    ``more`` and ``less`` count the registers of one sketch of ``n_a`` elements that are above and below those of
+    each of several others.
+    """
+    more, less, n_b = more[:, None], less[:, None], n_b[:, None]
     equal = REGISTERS - more - less
     u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
-    grid = GRID * min(u / v, v / u)
+    grid = GRID * np.minimum(u / v, v / u)
     shrink = (BASE - 1) / BASE
     p_more = -np.log1p(-(u - v * grid) * shrink) / log(BASE)
     p_less = -np.log1p(-(v - u * grid) * shrink) / log(BASE)
     rest = np.maximum(1 - p_more - p_less, 1e-12)
     chance = more * np.log(np.maximum(p_more, 1e-12)) + less * np.log(np.maximum(p_less, 1e-12)) + equal * np.log(rest)
-    return float(grid[int(np.argmax(chance))])
+    return grid[np.arange(len(grid)), np.argmax(chance, axis=1)]
+
+
+def likely_similarity(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> float:
+    """The same for one pair of sketches."""
+    more, less = np.array([(a > b).sum()]), np.array([(a < b).sum()])
+    return float(likely_similarities(more, less, n_a, np.array([n_b]))[0])
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -184,6 +197,46 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return made.join(wanted, same).select("rep", "n", "registers", "shingles")
 
 
+class _Kept:
+    """The few rows of a group, beside which its many rows pass one by one."""
+
+    def __init__(self):
+        self.reps, self.parts, self.sketches, self.sets = [], [], [], []
+        self.sizes, self.linked = None, defaultdict(set)
+
+    def add(self, rep: int, part: int, registers: np.ndarray, found: np.ndarray) -> None:
+        self.reps.append(rep)
+        self.parts.append(part)
+        self.sketches.append(registers)
+        self.sets.append(found)
+
+    def linked_with(self, part: int, registers: np.ndarray, found: np.ndarray) -> list[int]:
+        """Of each part that the given row links its own part with, where no row before did, one row."""
+        if self.sizes is None:
+            self.sizes = np.array([len(s) for s in self.sets], np.int64)
+            self.parts = np.array(self.parts, np.int64)
+            self.sketches = np.array(self.sketches, np.uint16).reshape(-1, REGISTERS)
+        n, linked, out = len(found), self.linked[part], []
+        allowed = SIMILAR[1] * np.minimum(self.sizes, n) >= SIMILAR[0] * np.maximum(self.sizes, n)
+        possible = np.flatnonzero(allowed & (self.parts != part))
+        for start in range(0, len(possible), ROWS_AT_ONCE):
+            near = possible[start : start + ROWS_AT_ONCE]
+            if linked:
+                near = near[~np.isin(self.parts[near], list(linked))]
+            near = near[(self.sketches[near] == registers).sum(axis=1) >= LEAST_EQUAL]
+            if not len(near):
+                continue
+            others = self.sketches[near]
+            more, less = (registers > others).sum(axis=1), (registers < others).sum(axis=1)
+            for at in near[likely_similarities(more, less, n, self.sizes[near]) >= UNLIKELY].tolist():
+                other = int(self.parts[at])
+                if other not in linked and similar(found, self.sets[at]):
+                    linked.add(other)
+                    self.linked[other].add(part)
+                    out.append(self.reps[at])
+        return out
+
+
 def _compare(few: DataFrame, many: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between rows of ``few`` and rows of ``many`` in the same group.
 
@@ -195,25 +248,18 @@ def _compare(few: DataFrame, many: DataFrame, sets: DataFrame) -> DataFrame:
     """
 
     def run(batches):
-        group, kept, linked = None, [], set()
+        group, kept = None, None
         for batch in batches:
             links = []
             columns = (batch.column(i).to_pylist() for i in range(6))
             for key, side, rep, part, raw_registers, raw_set in zip(*columns):
                 if key != group:
-                    group, kept, linked = key, [], set()
-                own = (rep, part, np.frombuffer(raw_registers, np.uint16), np.frombuffer(raw_set, np.uint64))
+                    group, kept = key, _Kept()
+                own = np.frombuffer(raw_registers, np.uint16), np.frombuffer(raw_set, np.uint64)
                 if side == 0:
-                    kept.append(own)
-                    continue
-                for other in kept:
-                    parts = (min(part, other[1]), max(part, other[1]))
-                    n, m = len(own[3]), len(other[3])
-                    if parts[0] == parts[1] or parts in linked or SIMILAR[1] * min(n, m) < SIMILAR[0] * max(n, m):
-                        continue
-                    if likely_similarity(own[2], other[2], n, m) >= UNLIKELY and similar(own[3], other[3]):
-                        links.append((other[0], rep))
-                        linked.add(parts)
+                    kept.add(rep, part, *own)
+                else:
+                    links += [(other, rep) for other in kept.linked_with(part, *own)]
             found = list(zip(*links)) or [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["a", "b"])
 

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from compare import connect, spark_rows, sql_rows
@@ -101,3 +103,51 @@ def test_empty_table(spark):
 def test_equals_its_sql(spark, folder):
     name = "op3_near_duplicates"
     assert spark_rows(QUERIES[name](spark, folder)) == sql_rows(connect(folder), SQL[name])
+
+
+def test_rows_of_a_group_are_compared_at_once_and_as_one_by_one():
+    """The links are those of a loop over pairs that stops at linked parts."""
+    rng = np.random.default_rng(5)
+    bases = [np.unique(rng.integers(1, 1 << 62, 60).astype(np.uint64)) for _ in range(4)]
+    sets = []
+    for at in range(80):
+        base = bases[at % 4]
+        kept = base[rng.random(len(base)) < 0.93]
+        sets.append(np.unique(np.concatenate([kept, rng.integers(1, 1 << 62, int(rng.integers(0, 8))).astype(np.uint64)])))
+    rows = [(rep, rep // 3, dedup.registers(found), found) for rep, found in enumerate(sets)]
+    group, linked, want, got = dedup._Kept(), set(), [], []
+    for row in rows[:50]:
+        group.add(*row)
+    for rep, part, sketch, found in rows[20:]:
+        got += [(other, rep) for other in group.linked_with(part, sketch, found)]
+        for other, other_part, other_sketch, whole in rows[:50]:
+            parts = frozenset((part, other_part))
+            if len(parts) == 1 or parts in linked or 100 * min(len(found), len(whole)) < 80 * max(len(found), len(whole)):
+                continue
+            likely = dedup.likely_similarity(sketch, other_sketch, len(found), len(whole))
+            if likely >= dedup.UNLIKELY and dedup.similar(found, whole):
+                want.append((other, rep))
+                linked.add(parts)
+    assert got == want and len(want) > 20
+
+
+@pytest.mark.parametrize("sizes", [(1, 1), (5, 4), (4, 5), (1000, 801), (9, 8), (95, 100)])
+def test_too_few_equal_registers_are_never_likely(sizes):
+    more, less = np.meshgrid(np.arange(dedup.REGISTERS + 1), np.arange(dedup.REGISTERS + 1))
+    held = more + less <= dedup.REGISTERS
+    more, less = more[held], less[held]
+    likely = dedup.likely_similarities(more, less, sizes[0], np.full(len(more), sizes[1]))
+    assert (likely[dedup.REGISTERS - more - less < dedup.LEAST_EQUAL] < dedup.UNLIKELY).all()
+
+
+def test_a_large_group_is_compared_in_little_time():
+    """Hundreds of rows beside many, of one size and without a link: no pair takes a call of its own."""
+    rng = np.random.default_rng(6)
+    sketches = rng.integers(0, 60_000, (1500, dedup.REGISTERS)).astype(np.uint16)
+    group, found = dedup._Kept(), np.arange(1, 100, dtype=np.uint64)
+    for rep, sketch in enumerate(sketches):
+        group.add(rep, rep, sketch, found)
+    began = time.process_time()
+    for rep, sketch in enumerate(sketches[:300]):
+        assert not group.linked_with(10_000 + rep, sketch[::-1].copy(), found)
+    assert time.process_time() - began < 10
