@@ -15,6 +15,8 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     rest = [c for c in df.columns if c not in keys and c not in order]
     if not order and not rest:
         return df.distinct()
+    if not order and len(rest) == 1:  # without a struct the greatest is kept in a hash table, unsorted
+        return df.groupBy(*keys).agg(F.max(rest[0]).alias(rest[0])).select(df.columns)
     newest = F.max(F.struct(*order, *rest)).alias("_newest")
     picked = df.groupBy(*keys).agg(newest)
     return picked.select(*(c if c in keys else F.col(f"_newest.{c}") for c in df.columns))

@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from seriesmart import schemas
 from seriesmart.operators import dims as dimension
-from seriesmart.operators.upsert import as_layout, replay
+from seriesmart.operators.upsert import as_layout, latest_per_key, replay
 from seriesmart.sources.scratch import Scratch
 from seriesmart.sources.tables import ALL, Derived, Summary, commit, upsert_edit
 
@@ -81,8 +81,8 @@ def load(
 ) -> dict[str, int]:
     """Upsert (source, transformed frame) pairs, given in load order, as one version of the mart.
 
-    Each source is typed and written by itself first, which runs its plan: one that fails
-    is left out and the others of its table still load. Frames for one table then
+    Each source is typed, reduced to one row per key (the larger values, as the upsert would) and written by
+    itself first, which runs its plan: one that fails is left out and the others of its table still load. Frames for one table then
     become one batch and one upsert: replaying them one by one would end with the
     same rows. Every table is tried; those that can be loaded are published together, with a calendar over
     their years and a summary of their dates, and the failures are raised together, with what was
@@ -94,7 +94,8 @@ def load(
         for at, (source, frame) in enumerate(batches):
             table = TARGETS[source]
             try:
-                staged = run.stage(as_layout(frame, schemas.staging(table.layout)), f"{at}-{source}")
+                single = latest_per_key(as_layout(frame, schemas.staging(table.layout)), table.keys, [])
+                staged = run.stage(single, f"{at}-{source}")
             except Exception as problem:  # noqa: BLE001 - reported with the others below
                 problems.append(ExceptionGroup(f"{source} failed", [problem]))
             else:

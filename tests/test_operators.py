@@ -195,3 +195,11 @@ def test_a_large_sheet_meets_its_header_in_blocks(spark):
     }
     by_task = Counter(r.task for r in found)
     assert len(by_task) > 4 and max(by_task.values()) < len(found) / 2
+
+
+def test_the_latest_of_one_value_is_found_without_sorting_rows(spark):
+    rows = spark.createDataFrame([(1, 2.5), (1, None), (2, None), (None, 1.0), (None, 3.0)], "k INT, v DOUBLE")
+    typed = rows.select("k", F.col("v").cast("decimal(12,4)"))
+    latest = latest_per_key(typed, ["k"], [])
+    assert as_tuples(latest.select("k", F.col("v").cast("double")), "k", "v") == [(1, 2.5), (2, None), (None, 3.0)]
+    assert "SortAggregate" not in latest._jdf.queryExecution().executedPlan().toString()

@@ -1,6 +1,7 @@
 """A whole refresh: downloaded files in, published fact tables out."""
 
 import os
+from collections import Counter
 from dataclasses import replace
 
 import pytest
@@ -8,9 +9,11 @@ from pyspark.sql import functions as F
 
 from builders import archive_bytes, as_tuples, workbook_bytes
 from seriesmart import fixed_values as fixed
+from seriesmart.checks import files
 from seriesmart.plans import availability, questions, runs
 from seriesmart.plans.loads import LoadProblems, load
 from seriesmart.sources import commits
+from seriesmart.sources.scratch import Scratch
 from seriesmart.sources.tables import publish, read_published, versions
 
 
@@ -217,3 +220,35 @@ def test_the_report_comes_from_kept_dates(spark, tmp_path):
     load(spark, root, [("cpi_cma", spark.createDataFrame([(3, 202106, shelter, "2")], layout))])
     kept = before & set(runs.open_mart(spark, root).dates.inputFiles())
     assert kept and not any("year=2021" in f for f in kept)  # only the years of the load are counted again
+
+
+def test_a_load_writes_one_row_per_key_of_each_source(spark, tmp_path, monkeypatch):
+    written, stage = {}, Scratch.stage
+
+    def counted(self, df, name, *more):
+        held = stage(self, df, name, *more)
+        written[name] = held.count()
+        return held
+
+    monkeypatch.setattr(Scratch, "stage", counted)
+    rows = [(1, 202001, 1, float(at)) for at in range(50)] + [(2, 202001, 1, 7.0)]
+    facts = spark.createDataFrame(rows, "geography_id INT, date_id INT, indicator_id INT, value DOUBLE")
+    load(spark, str(tmp_path), [("cpi_cma", facts), ("nhpi", facts.filter("value < 3"))])
+    assert written["0-cpi_cma"] == 2 and written["1-nhpi"] == 1
+    found = read_published(spark, f"{tmp_path}/fact_monthly")
+    assert {(r.geography_id, float(r.value)) for r in found.collect()} == {(1, 2.0), (2, 7.0)}
+
+
+def test_two_loads_of_a_mart_transform_each_source_once(spark, folder, monkeypatch):
+    calls = Counter()
+
+    def counted(name, run):
+        return lambda *given: calls.update([name]) or run(*given)
+
+    for name in ("E6_rental_survey", "E8_mortgage_rates", "E9_credit_trends"):
+        monkeypatch.setitem(files.CHECKS, name, files.CHECKS[name].__class__(counted(name, files.CHECKS[name].run), None))
+    monkeypatch.setattr(files, "published", counted("published", files.published))
+    monkeypatch.setattr(files, "load", lambda *given: None)
+    monkeypatch.setattr(files.runs, "open_mart", lambda *given: None)
+    files.loaded_mart(spark, folder, "date_id > 199600", "date_id > 0")
+    assert calls == {"published": 1, "E6_rental_survey": 1, "E8_mortgage_rates": 1, "E9_credit_trends": 1}
